@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demand_engine.functions.times import calendar, hour_of
-from demand_engine.operators.tables import quoted, without_nulls
+from demand_engine.operators.tables import whole_rows, without_nulls
 from demand_engine.schemas import MEAN, WEATHER_FILLS, WEEKEND_DAYS
 
 # Trip column -> column of the station-hour table; its value is that of the group's first trip.
@@ -18,8 +18,6 @@ FIRST_OF_TRIP = {
     "start_station_total_docks": "total_docks",
 }
 
-_LONG_MIN = -(2**63)
-
 
 def station_hours(
     trips: DataFrame,
@@ -48,16 +46,10 @@ def station_hours(
 def column_means(df: DataFrame, columns: Sequence[str]) -> Column:
     """The means of some columns over the whole table, as a struct in a scalar subquery.
 
-    The filter is true for every row. It makes the subquery need all columns of `df`, so that the
-    plan under it equals the main plan and Spark runs their common shuffle once; with fewer columns
-    the trips would be scanned and shuffled a second time.
+    The subquery takes whole rows, so that its plan shares the shuffle of the main plan.
     """
-    every = F.xxhash64(*(quoted(c) for c in df.columns)) >= F.lit(_LONG_MIN)
-    return (
-        df.where(every)
-        .agg(F.struct(*(F.avg(c).alias(c) for c in columns)).alias("means"))
-        .scalar()
-    )
+    means = F.struct(*(F.avg(c).alias(c) for c in columns)).alias("means")
+    return whole_rows(df).agg(means).scalar()
 
 
 def fill_missing(

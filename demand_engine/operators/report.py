@@ -19,7 +19,7 @@ from demand_engine.functions.measures import (
 from demand_engine.functions.names import title_case
 from demand_engine.functions.times import hour_label, ntz
 from demand_engine.operators.demand import demand_features
-from demand_engine.operators.tables import between
+from demand_engine.operators.tables import between, whole_rows
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -90,7 +90,7 @@ def map_columns(report: DataFrame) -> DataFrame:
     The scales come from a join with the hourly summary, not from a window, so that an hour with
     very many stations is not sorted into one task.
     """
-    scales = hour_summary(report).select("datetime", "error_max", "elevation_scale")
+    scales = hour_summary(whole_rows(report)).select("datetime", "error_max", "elevation_scale")
     return report.join(scales, "datetime").select(
         "datetime",
         "station",

@@ -93,14 +93,19 @@ def nearest_stations(
 
 
 def interpolate(
-    observations: DataFrame, neighbours: DataFrame, metrics: Sequence[str] = WEATHER_METRICS
+    observations: DataFrame,
+    stations: DataFrame,
+    lat: float = CITY_POINT[0],
+    lng: float = CITY_POINT[1],
+    k: int = NEIGHBOURS,
+    metrics: Sequence[str] = WEATHER_METRICS,
 ) -> DataFrame:
-    """Hourly values at the point the neighbours surround.
+    """Hourly values at a point, estimated from its k nearest stations.
 
     Each metric is the mean of the neighbours' known values, weighted by the inverse square of the
-    distance. A neighbour at the point itself decides alone.
+    distance. A neighbour at the point itself decides alone. What is broadcast has k rows.
     """
-    near = neighbours.select("station_id", "distance_km")
+    near = nearest_stations(stations, lat, lng, k).select("station_id", "distance_km")
     at = F.col("distance_km")
     reported = observations.join(F.broadcast(near), "station_id")
 
