@@ -23,17 +23,20 @@ def station_hours(
     trips: DataFrame,
     order_by: str | Column = "started_at",
     count_name: str = "demand",
-    weather: Sequence[str] = tuple(WEATHER_FILLS),
+    firsts: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Trips per hour and start station, with the place and weather of the first trip in each.
 
+    `firsts` lists what to take from that trip, input column -> output column.
+
     `order_by` decides which trip is first; give a number or time that is unique for a result that
     does not depend on the run. All values and the order key are fixed-width, so that Spark
     aggregates in a hash map before the shuffle: a busy station adds one row per task and hour, not
     one per trip.
     """
     key = F.col(order_by) if isinstance(order_by, str) else order_by
-    firsts = FIRST_OF_TRIP | {c: c for c in weather}
+    if firsts is None:
+        firsts = FIRST_OF_TRIP | {c: c for c in WEATHER_FILLS}
     return trips.groupBy(
         hour_of(F.col("started_at")).alias("datetime"),
         F.col("start_station_name").alias("station"),
@@ -94,6 +97,6 @@ def demand_features(
     Means are taken over all station-hours, before incomplete rows are dropped. `ordered=False`
     leaves out the sort where the order is of no use, as for training.
     """
-    hours = station_hours(trips, order_by, count_name, tuple(fills))
+    hours = station_hours(trips, order_by, count_name, FIRST_OF_TRIP | {c: c for c in fills})
     rows = without_nulls(fill_missing(hours, fills).transform(add_calendar, "datetime", weekend_days))
     return rows.orderBy("datetime", "station") if ordered else rows

@@ -49,10 +49,14 @@ def version_as_of(df: DataFrame, time_col: str, validity: DataFrame) -> DataFram
     checked = F.when(
         F.size("known") > MAX_VALIDITY_DATES, F.raise_error(F.lit("too many validity dates"))
     ).otherwise(F.col("known"))
-    table = known.select(checked.alias("known")).scalar()
+    table = F.col("__validity")
     reached = F.filter(table, lambda v: v["effective_from"] <= F.col(time_col))
     current = F.coalesce(F.try_element_at(reached, F.lit(-1)), F.try_element_at(table, F.lit(1)))
-    return df.withColumn("station_version", current["station_version"])
+    return (
+        df.withColumn("__validity", known.select(checked.alias("known")).scalar())
+        .withColumn("station_version", current["station_version"])
+        .drop("__validity")
+    )
 
 
 def station_map(stations: DataFrame) -> DataFrame:
