@@ -1 +1,8 @@
 """Station-level demand analytics on Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run inside tasks travel with the job, so that executors need no installed copy.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -13,6 +13,9 @@ from demand_engine.schemas import WEEKEND_DAYS
 # Fixed value: how trip files write a time; the fraction may be missing.
 TRIP_TIME_PATTERN = "yyyy-MM-dd HH:mm:ss[.SSSSSSSSS]"
 
+# Fixed value: a month in the windows of a training run.
+DAYS_PER_MONTH = 30
+
 
 def ntz(value: Column | datetime) -> Column:
     return (value if isinstance(value, Column) else F.lit(value)).cast("timestamp_ntz")
@@ -65,6 +68,5 @@ def day_bounds(first_day: Column, last_day: Column) -> dict[str, Column]:
     }
 
 
-def months_before(c: Column, months: int) -> Column:
-    """`months` times thirty days earlier."""
-    return c - F.expr(f"INTERVAL {int(months) * 30} DAYS")
+def days_before(c: Column, days: int) -> Column:
+    return c - F.expr(f"INTERVAL {int(days)} DAYS")

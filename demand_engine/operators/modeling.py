@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demand_engine.functions.measures import TUNED_PREFIX, tuned_name, typed_parameter
-from demand_engine.functions.times import months_before, ntz
+from demand_engine.functions.times import DAYS_PER_MONTH, days_before, ntz
 from demand_engine.operators.tables import quoted, whole_rows
 from demand_engine.schemas import FEATURE_COLUMNS
 
@@ -89,17 +89,21 @@ def gbt_settings(params: Mapping[str, object]) -> dict[str, object]:
 
 
 def chronological_split(
-    df: DataFrame, as_of: datetime, months: int = TEST_MONTHS, time_col: str = "datetime"
+    df: DataFrame,
+    as_of: datetime,
+    months: int = TEST_MONTHS,
+    time_col: str = "datetime",
+    days_per_month: int = DAYS_PER_MONTH,
 ) -> DataFrame:
     """Add `split`: the last `months` before `as_of` (and later) are `test`, the last `months` of
     what is left are `val`, the rest is `train`. A row without a time belongs to none."""
-    time = F.col(time_col)
-    test_from = months_before(ntz(as_of), months)
+    time, days = F.col(time_col), months * days_per_month
+    test_from = days_before(ntz(as_of), days)
     last_pool = whole_rows(df).where(time < test_from).agg(F.max(time).alias("last")).scalar()
     return df.withColumn(
         "split",
         F.when(time >= test_from, TEST)
-        .when(time >= months_before(last_pool, months), VALIDATION)
+        .when(time >= days_before(last_pool, days), VALIDATION)
         .when(time.isNotNull(), TRAIN),
     )
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from demand_engine.functions.times import DAYS_PER_MONTH
 from demand_engine.operators.demand import demand_features
 from demand_engine.operators.modeling import (
     SEARCH_SPACE,
@@ -16,6 +18,7 @@ from demand_engine.operators.modeling import (
     TRAIN,
     TRIALS,
     VALIDATION,
+    Range,
     best_parameters,
     chronological_split,
     evaluate,
@@ -36,7 +39,8 @@ def train(
     trials: int = TRIALS,
     test_months: int = TEST_MONTHS,
     order_by: str = "started_at",
-    space=None,
+    space: Mapping[str, Range] = SEARCH_SPACE,
+    days_per_month: int = DAYS_PER_MONTH,
 ) -> dict[str, object]:
     """Fit on everything before the test window, score on it, save the model, log the run.
 
@@ -45,11 +49,15 @@ def train(
     """
     spark, started = trips.sparkSession, datetime.now()
     features = demand_features(trips, order_by, ordered=False)
-    data = cut_lineage(chronological_split(features, as_of or started, test_months))
+    data = cut_lineage(
+        chronological_split(
+            features, as_of or started, test_months, days_per_month=days_per_month
+        )
+    )
 
     params = best_parameters(load_runs(spark, runs_path))
     if params is None:
-        params = search(data, trials, space or SEARCH_SPACE)[0]["params"]
+        params = search(data, trials, space)[0]["params"]
     model = train_model(data.where(F.col("split").isin(TRAIN, VALIDATION)), params)
     metrics = evaluate(model, data.where(F.col("split") == TEST))
     save_model(model, model_path)
