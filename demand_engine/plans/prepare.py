@@ -13,7 +13,8 @@ from demand_engine.operators.tables import span
 from demand_engine.operators.weather import attach_weather
 from demand_engine.schemas import STATION_SNAPSHOTS, StationSnapshot
 from demand_engine.sources.datasets import save_trips
-from demand_engine.sources.landing import land
+from demand_engine.sources.files import exists
+from demand_engine.sources.landing import unpack
 from demand_engine.sources.stations_table import read_stations, update_stations
 from demand_engine.sources.trips_table import read_trips, update_trips
 from demand_engine.sources.weather_cache import WeatherCache, WeatherSource
@@ -49,9 +50,10 @@ def prepare(
 ) -> str:
     """The whole job; returns the path of the standardised trips. Safe to repeat."""
     raw, stations = f"{work_dir}/raw", f"{work_dir}/stations"
-    land(spark, source_dir, raw)
-    update_trips(spark, raw, f"{work_dir}/trips")
-    update_stations(spark, raw, stations, snapshots)
+    unpack(spark, source_dir, raw)
+    folders = [f for f in (raw, source_dir) if exists(spark, f)]
+    update_trips(spark, folders, f"{work_dir}/trips")
+    update_stations(spark, folders, stations, snapshots)
     trips = read_trips(spark, f"{work_dir}/trips")
     days = weather_span(trips).first()
     cache = WeatherCache(spark, f"{work_dir}/weather", weather_source)

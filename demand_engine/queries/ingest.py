@@ -23,7 +23,7 @@ from demand_engine.session import scratch_path
 from demand_engine.sources.csv_files import SOURCE_FILE, read_trip_csv
 from demand_engine.sources.datasets import load_table, save_table, save_trips
 from demand_engine.sources.files import created, exists, list_objects, qualified, trip_files
-from demand_engine.sources.landing import land, sanitize
+from demand_engine.sources.landing import unpack
 from demand_engine.sources.stations_table import read_stations, update_stations
 from demand_engine.sources.trips_table import (
     classify,
@@ -106,7 +106,7 @@ _BOTH_SQL = f"{_OLD_SQL} UNION ALL BY NAME {_NEW_SQL}"
 
 
 def _read(spark: SparkSession, root: str) -> DataFrame:
-    return read_trip_csv(trip_files(list_objects(spark, root)), qualified(spark, root))
+    return read_trip_csv(trip_files(list_objects(spark, root)), [qualified(spark, root)])
 
 
 @query(_OLD_SQL)
@@ -147,7 +147,6 @@ def nul_sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit(f"St{nul}op "), "user_id", F.lit(nul)).alias(f"start station {nul}name"),
         )
         _write_csv(rows, f"{root}/{name}")
-    sanitize(spark, [r["path"] for r in trip_files(list_objects(spark, root)).collect()])
     return _read(spark, root).select("bike_id", "start_station_name")
 
 
@@ -182,7 +181,7 @@ def zip_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     folder = qualified(spark, packed)
     rows.repartition(4, "event_id").mapInPandas(_zip_writer(folder), "number int").count()
-    land(spark, folder, qualified(spark, raw))
+    unpack(spark, folder, raw)
     return _read(spark, raw).select("bike_id", "start_station_name")
 
 
@@ -241,10 +240,10 @@ def rebuild_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Old files, then new ones, then nothing: every row is there once."""
     root, target = _raw(spark, sf_dir, new=False), scratch_path(spark, "trips")
-    update_trips(spark, root, target)
+    update_trips(spark, [root], target)
     _write_csv(_new_files(table(spark, sf_dir, "events")), f"{root}/new_trips")
-    update_trips(spark, root, target)
-    if update_trips(spark, root, target)["loaded"]:
+    update_trips(spark, [root], target)
+    if update_trips(spark, [root], target)["loaded"]:
         raise AssertionError("an unchanged folder was loaded again")
     return read_trips(spark, target).select(*_COLUMNS)
 
@@ -253,7 +252,7 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def changed_file_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table holding stale, doubled rows of files that have changed since."""
     root, target = _raw(spark, sf_dir), scratch_path(spark, "trips")
-    update_trips(spark, root, target)
+    update_trips(spark, [root], target)
     rows = _read(spark, root).where(F.col(SOURCE_FILE).startswith("old_trips"))
     rows.unionByName(rows).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
@@ -261,7 +260,7 @@ def changed_file_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     listing = list_objects(spark, root)
     older = F.when(F.col("name").startswith("old_trips"), 60).otherwise(0)
     save_manifest(listing.withColumn("mtime", F.col("mtime") - older), target)
-    update_trips(spark, root, target)
+    update_trips(spark, [root], target)
     return read_trips(spark, target).select(*_COLUMNS)
 
 
@@ -292,7 +291,7 @@ def station_snapshots_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = [
         StationSnapshot(s.version, f"list{s.version}/*.csv", s.effective_from) for s in SNAPSHOTS
     ]
-    return read_stations(spark, update_stations(spark, root, f"{root}/table", lists))
+    return read_stations(spark, update_stations(spark, [root], f"{root}/table", lists))
 
 
 @query(

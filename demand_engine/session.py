@@ -45,6 +45,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the reliable checkpoint folder, so that lost executors cost no recomputation."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write `df` as a table to the shared folder and read it back.
+
+    For a table that is read many times: lost executors cost no recomputation of it, and unlike a
+    checkpoint it is columnar, so that each reader takes only the columns and rows it needs.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

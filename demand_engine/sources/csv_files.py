@@ -1,10 +1,11 @@
-"""CSV scans over files whose headers differ."""
+"""CSV scans over files whose headers differ and some of which hold NUL bytes."""
 
 from __future__ import annotations
 
+import csv
 from collections import defaultdict
 from collections.abc import Iterator, Mapping, Sequence
-from csv import reader
+from functools import reduce
 from io import TextIOWrapper
 
 import pandas as pd
@@ -15,94 +16,146 @@ from pyspark.sql import types as T
 from demand_engine.functions.times import parse_time
 from demand_engine.operators.tables import canonical, quoted, rename_known, union_relaxed
 from demand_engine.schemas import STATION_HEADERS, STATION_TYPES, TRIP_HEADERS, TRIP_TYPES
-from demand_engine.sources.files import decoded_path, opened, spread
+from demand_engine.sources.files import decoded_path, name_below, opened, spread
 
 # Fixed value: how the files write a missing value.
-NULL_TEXT = "\\N"
+CSV_OPTIONS = {"nullValue": "\\N", "escape": '"'}
 
+NUL = "\x00"
 SOURCE_FILE = "source_file"
 
 
 def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        headers = []
+        lines = []
         for path in batch["path"]:
             with opened(path) as stream:
-                lines = TextIOWrapper(stream, encoding="utf-8-sig", newline="")
-                headers.append([c.replace("\x00", "") for c in next(reader(lines), [])])
-        yield pd.DataFrame({"path": batch["path"], "header": headers})
+                text = TextIOWrapper(stream, encoding="utf-8-sig", errors="replace")
+                lines.append(text.readline().rstrip("\n").replace("\x00", ""))
+        yield pd.DataFrame({"path": batch["path"], "line": lines})
 
 
-def headers(files: DataFrame) -> dict[tuple[str, ...], list[str]]:
-    """Header -> paths. Tasks read the first line of each file of the listing."""
-    found = spread(files.select("path")).mapInPandas(_first_lines, "path string, header array<string>")
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
+def headers(files: DataFrame) -> dict[str, list[str]]:
+    """Header line -> paths. Tasks read the first line of each file of the listing."""
+    found = spread(files.select("path")).mapInPandas(_first_lines, "path string, line string")
+    groups: dict[str, list[str]] = defaultdict(list)
     for row in found.collect():
-        groups[tuple(row["header"])].append(row["path"])
-    return {h: sorted(paths) for h, paths in sorted(groups.items())}
-
-
-def read_text_columns(spark: SparkSession, header: Sequence[str], paths: list[str]) -> DataFrame:
-    """Files with one header, all columns as text, with `source_path`; a large file is split."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("nullValue", NULL_TEXT)
-        .option("escape", '"')
-        .csv(paths)
+        groups[row["line"]].append(row["path"])
+    return {line: sorted(paths) for line, paths in sorted(groups.items())}
+
+
+def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(source_path, line) of text files; large files are split over tasks."""
+    return spark.read.text(list(paths)).select(
+        decoded_path(F.col("_metadata.file_path")).alias("source_path"),
+        F.col("value").alias("line"),
+    )
+
+
+def with_nul(spark: SparkSession, paths: Sequence[str]) -> set[str]:
+    """Those of the files that hold a NUL byte."""
+    dirty = _lines(spark, paths).where(F.contains("line", F.lit(NUL)))
+    return {r["source_path"] for r in dirty.select("source_path").distinct().collect()}
+
+
+def sanitized_lines(spark: SparkSession, header: str, paths: Sequence[str]) -> DataFrame:
+    """(source_path, line) without NUL bytes and without the header line of each file.
+
+    Lines carry no position in a file that is split, so all lines equal to the header are taken out
+    and, since equal lines are interchangeable, all but one per file are put back.
+    """
+    clean = _lines(spark, paths).withColumn("line", F.replace("line", F.lit(NUL), F.lit("")))
+    is_header = F.col("line") == F.lit(header)
+    repeated = (
+        clean.where(is_header)
+        .groupBy("source_path")
+        .agg((F.count(F.lit(1)) - 1).cast("int").alias("n"))
+        .where(F.col("n") > 0)
     )
+    again = repeated.select(
+        "source_path", F.explode(F.array_repeat(F.lit(header), F.col("n"))).alias("line")
+    )
+    return clean.where(~is_header).unionByName(again)
+
+
+def _parsed(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
+    ddl = ", ".join(f"c{i} STRING" for i in range(len(columns)))
+    row = F.from_csv("line", ddl, CSV_OPTIONS)
+    return (
+        lines.where(F.trim("line") != "")
+        .select("source_path", row.alias("row"))
+        .select(
+            *(F.col(f"row.c{i}").alias(c) for i, c in enumerate(columns)), "source_path"
+        )
+    )
+
+
+def _scanned(spark: SparkSession, columns: Sequence[str], paths: Sequence[str]) -> DataFrame:
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    rows = spark.read.schema(schema).options(header=True, **CSV_OPTIONS).csv(list(paths))
     return rows.select("*", decoded_path(F.col("_metadata.file_path")).alias("source_path"))
 
 
+def read_text_columns(
+    spark: SparkSession, header: str, clean: Sequence[str], dirty: Sequence[str]
+) -> DataFrame:
+    """Files with one header, all columns as text, and `source_path`.
+
+    Clean files go through Spark's CSV scan. Files with NUL bytes are read as lines, freed of them
+    and parsed after that, as a NUL next to a quote would mislead the scan.
+    """
+    columns = next(csv.reader([header]), [])
+    parts = []
+    if clean:
+        parts.append(_scanned(spark, columns, clean))
+    if dirty:
+        parts.append(_parsed(sanitized_lines(spark, header, dirty), columns))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def read_csv(
-    files: DataFrame, names: Mapping[str, str], types: Mapping[str, str], base: str | None = None
+    files: DataFrame,
+    names: Mapping[str, str],
+    types: Mapping[str, str],
+    roots: Sequence[str] | None = None,
 ) -> DataFrame:
     """The rows of all files under canonical names and types, plus columns not declared as text.
 
     Files are grouped by header, since one scan over different headers would put values into the
-    wrong columns, and the groups are united by name. With `base`, a `source_file` column holds the
-    path below it.
+    wrong columns, and the groups are united by name. With `roots`, the folders the files lie in, a
+    `source_file` column holds the name below them.
     """
     spark = files.sparkSession
+    groups = headers(files)
+    if not groups:
+        raise ValueError("no files to read")
+    nul = with_nul(spark, [p for paths in groups.values() for p in paths])
     parts = []
-    for header, paths in headers(files).items():
-        rows = rename_known(read_text_columns(spark, header, paths), names)
+    for header, paths in groups.items():
+        clean = [p for p in paths if p not in nul]
+        dirty = [p for p in paths if p in nul]
+        rows = rename_known(read_text_columns(spark, header, clean, dirty), names)
         times = {
             c: parse_time(quoted(c))
             for c, t in types.items()
             if t == "timestamp_ntz" and c in rows.columns
         }
         parts.append(canonical(rows.withColumns(times), types))
-    if not parts:
-        raise ValueError("no files to read")
     rows = union_relaxed(parts)
-    if base is None:
-        return rows.drop("source_path")
-    below = F.substr("source_path", F.lit(len(base.rstrip("/")) + 2))
-    return rows.withColumn(SOURCE_FILE, below).drop("source_path")
+    if roots is not None:
+        rows = rows.withColumn(SOURCE_FILE, name_below(F.col("source_path"), roots))
+    return rows.drop("source_path")
 
 
-def read_trip_csv(files: DataFrame, base: str | None = None) -> DataFrame:
-    return read_csv(files, TRIP_HEADERS, TRIP_TYPES, base)
+def read_trip_csv(files: DataFrame, roots: Sequence[str] | None = None) -> DataFrame:
+    return read_csv(files, TRIP_HEADERS, TRIP_TYPES, roots)
 
 
-def read_station_csv(
-    spark: SparkSession, path_glob: str, version: int, effective_from
-) -> DataFrame:
+def read_station_csv(files: DataFrame, version: int, effective_from) -> DataFrame:
     """One published station list with its version and first day."""
-    folder, _, pattern = path_glob.rpartition("/")
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .load(folder)
-        .select("path")
-    )
     return read_csv(files, STATION_HEADERS, STATION_TYPES).withColumns(
         {
             "station_version": F.lit(version),
             "effective_from": F.lit(effective_from).cast("timestamp_ntz"),
         }
     )
-

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import fnmatch
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
 from typing import IO, Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -84,6 +86,22 @@ def list_objects(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
     ).where(F.col("name").startswith(prefix) & ~F.col("name").endswith("/"))
 
 
+def list_folders(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
+    """The files of several folders in one listing; of equal names the first folder's file counts."""
+    listings = [
+        list_objects(spark, root).withColumn("__rank", F.lit(i)) for i, root in enumerate(roots)
+    ]
+    if len(listings) == 1:
+        return listings[0].drop("__rank")
+    rows = reduce(DataFrame.unionByName, listings)
+    first = F.min_by(F.struct("path", "modified", "mtime", "length"), "__rank").alias("first")
+    return rows.groupBy("name").agg(first).select("name", "first.*")
+
+
+def base_name(name: Column) -> Column:
+    return F.element_at(F.split(name, "/"), -1)
+
+
 def trip_files(listing: DataFrame) -> DataFrame:
     """The trip files of a listing, by name."""
     return listing.where(F.col("name").endswith(".csv") & F.col("name").contains("trip")).orderBy(
@@ -91,6 +109,21 @@ def trip_files(listing: DataFrame) -> DataFrame:
     )
 
 
+def matching(listing: DataFrame, pattern: str) -> DataFrame:
+    """The files whose base name (or name, if the pattern has a slash) fits a pattern."""
+    name = F.col("name") if "/" in pattern else base_name(F.col("name"))
+    return listing.where(name.rlike("^" + fnmatch.translate(pattern)))
+
+
+def name_below(path: Column, roots: Sequence[str]) -> Column:
+    """The listing name of a path: what follows the folder it lies in."""
+    name = F.lit(None).cast("string")
+    for root in sorted(roots, key=len):
+        base = root.rstrip("/") + "/"
+        name = F.when(path.startswith(base), F.substr(path, F.lit(len(base) + 1))).otherwise(name)
+    return name
+
+
 def spread(files: DataFrame) -> DataFrame:
     """Deal a file list over the cluster, for tasks that work through whole files."""
     return files.repartition(4 * files.sparkSession.sparkContext.defaultParallelism)

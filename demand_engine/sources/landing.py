@@ -1,4 +1,4 @@
-"""Raw files into a folder of plain CSV files: archives unpacked, NUL bytes removed."""
+"""Archives of CSV files, unpacked into a folder."""
 
 from __future__ import annotations
 
@@ -11,13 +11,21 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demand_engine.sources.files import created, decoded_path, exists, list_objects, opened, spread
+from demand_engine.sources.files import (
+    base_name,
+    created,
+    exists,
+    list_objects,
+    opened,
+    qualified,
+    spread,
+)
 
 _CHUNK = 4 * 1024 * 1024
-_MEMBERS = "archive string, member string, file string, bytes bigint"
+_MEMBERS = "archive string, member string, bytes bigint"
 
 
-def _copy_without_nul(source: IO[bytes], target: IO[bytes]) -> int:
+def copy_without_nul(source: IO[bytes], target: IO[bytes]) -> int:
     """Copy chunk by chunk, leaving out NUL bytes; the number of bytes written."""
     written = 0
     while chunk := source.read(_CHUNK):
@@ -36,88 +44,59 @@ def _list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 {
                     "archive": [path] * len(members),
                     "member": [m.filename for m in members],
-                    "file": [m.filename.rpartition("/")[2] for m in members],
                     "bytes": [m.file_size for m in members],
                 }
             )
 
 
 def archive_members(spark: SparkSession, source_dir: str) -> DataFrame:
-    """The CSV members of all archives in a folder: (archive, member, file, bytes).
+    """The CSV members of all archives in a folder: (file, archive, member, bytes).
 
     `file` is the member's name without folders. Only the archives' directories are read.
     """
-    archives = list_objects(spark, source_dir).where(F.col("name").contains(".zip")).select("path")
-    return archives.mapInPandas(_list_members, _MEMBERS)
+    archives = list_objects(spark, source_dir).where(F.col("name").contains(".zip"))
+    return (
+        spread(archives.select("path"))
+        .mapInPandas(_list_members, _MEMBERS)
+        .select(base_name(F.col("member")).alias("file"), "*")
+    )
 
 
-def land(spark: SparkSession, source_dir: str, raw_dir: str) -> list[str]:
-    """Bring archive members and plain CSV files of `source_dir` into `raw_dir`.
+def unpack(spark: SparkSession, source_dir: str, raw_dir: str) -> DataFrame:
+    """Write the CSV members of all archives into `raw_dir`, without their folders and NUL bytes.
 
-    Members lose their folders. Where names meet, the first by archive and member name wins, plain
-    files come after archives, and a file already in `raw_dir` stays. One task streams one file in
-    chunks, so memory does not grow with it; an archive member cannot be split further. Returns the
-    names written.
+    Of members with the same name the first by archive and member counts, and a file that is
+    already there stays. A compressed member cannot be split, so one task streams it, in chunks of
+    fixed size; different members of one archive go to different tasks. A repeated task writes the
+    same file again. Returns (file, bytes) of what was written.
     """
-    plain = (
-        list_objects(spark, source_dir)
-        .where(F.col("name").endswith(".csv") & ~F.col("name").contains(".zip"))
-        .select(
-            F.lit(None).cast("string").alias("archive"),
-            F.col("path").alias("member"),
-            F.element_at(F.split("name", "/"), -1).alias("file"),
-            F.col("length").alias("bytes"),
+    first = (
+        archive_members(spark, source_dir)
+        .groupBy("file")
+        .agg(
+            F.min_by(
+                F.struct("archive", "member"), F.struct("archive", "member")
+            ).alias("source")
         )
+        .select("file", "source.*")
     )
-    found = archive_members(spark, source_dir).unionByName(plain)
-    rank = F.struct(F.col("archive").isNull(), "archive", "member")
-    first = found.groupBy("file").agg(
-        F.min_by(F.struct("archive", "member", "bytes"), rank).alias("source")
-    ).select("file", "source.*")
-
     wanted = first
     if exists(spark, raw_dir):
         have = list_objects(spark, raw_dir).select(F.col("name").alias("file"))
         wanted = first.join(have, "file", "left_anti")
-    target = raw_dir.rstrip("/")
+    target = qualified(spark, raw_dir).rstrip("/")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
-                with created(f"{target}/{row.file}", uuid.uuid4().hex) as out:
-                    if row.archive is None:
-                        with opened(row.member) as stream:
-                            _copy_without_nul(stream, out)
-                    else:
-                        with opened(row.archive) as stream, zipfile.ZipFile(stream) as archive:
-                            with archive.open(row.member) as member:
-                                _copy_without_nul(member, out)
-                yield pd.DataFrame({"file": [row.file]})
-
-    written = spread(wanted).mapInPandas(write, "file string")
-    return sorted(r["file"] for r in written.collect())
-
-
-def files_with_nul(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The files among `paths` that hold a NUL byte; the search splits large files over tasks."""
-    lines = spark.read.text(paths)
-    return (
-        lines.where(F.contains("value", F.lit("\x00")))
-        .select(decoded_path(F.col("_metadata.file_path")).alias("path"))
-        .distinct()
-    )
-
-
-def sanitize(spark: SparkSession, paths: list[str]) -> list[str]:
-    """Rewrite in place, without NUL bytes, those files that have one. Returns their paths."""
-    dirty = files_with_nul(spark, paths)
-
-    def rewrite(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path in batch["path"]:
-                with opened(path) as stream, created(path, uuid.uuid4().hex) as out:
-                    _copy_without_nul(stream, out)
-                yield pd.DataFrame({"path": [path]})
-
-    done = spread(dirty).mapInPandas(rewrite, "path string")
-    return sorted(r["path"] for r in done.collect())
+                with (
+                    created(f"{target}/{row.file}", uuid.uuid4().hex) as out,
+                    opened(row.archive) as stream,
+                    zipfile.ZipFile(stream) as archive,
+                    archive.open(row.member) as member,
+                ):
+                    size = copy_without_nul(member, out)
+                yield pd.DataFrame({"file": [row.file], "bytes": [size]})
+
+    done = spread(wanted).mapInPandas(write, "file string, bytes bigint").collect()
+    return spark.createDataFrame(done, "file string, bytes bigint")

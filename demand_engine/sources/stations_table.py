@@ -9,15 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from demand_engine.operators.tables import union_relaxed
 from demand_engine.schemas import STATION_SNAPSHOTS, StationSnapshot
 from demand_engine.sources.csv_files import read_station_csv
+from demand_engine.sources.files import list_folders, matching
 
 
 def read_snapshots(
-    spark: SparkSession, raw_dir: str, snapshots: Sequence[StationSnapshot] = STATION_SNAPSHOTS
+    listing: DataFrame, snapshots: Sequence[StationSnapshot] = STATION_SNAPSHOTS
 ) -> DataFrame:
-    """The rows of every list under the canonical columns."""
+    """The rows of every list among the files, under the canonical columns."""
     return union_relaxed(
         [
-            read_station_csv(spark, f"{raw_dir}/{s.file_glob}", s.version, s.effective_from)
+            read_station_csv(matching(listing, s.file_pattern), s.version, s.effective_from)
             for s in snapshots
         ]
     )
@@ -25,11 +26,12 @@ def read_snapshots(
 
 def update_stations(
     spark: SparkSession,
-    raw_dir: str,
+    folders: Sequence[str],
     table: str,
     snapshots: Sequence[StationSnapshot] = STATION_SNAPSHOTS,
 ) -> str:
-    read_snapshots(spark, raw_dir, snapshots).write.mode("overwrite").parquet(table)
+    rows = read_snapshots(list_folders(spark, folders), snapshots)
+    rows.write.mode("overwrite").parquet(table)
     return table
 
 

@@ -10,6 +10,7 @@ the rows of a file replace the folder of that file, so nothing is loaded twice.
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 from demand_engine.sources.csv_files import SOURCE_FILE, read_trip_csv
 from demand_engine.sources.files import (
     exists,
+    list_folders,
     list_objects,
     qualified,
     read_text,
@@ -99,14 +101,16 @@ def _schema(spark: SparkSession, table: str) -> T.StructType | None:
     return T.StructType.fromJson(json.loads(read_text(spark, path)))
 
 
-def update_trips(spark: SparkSession, raw_dir: str, table: str) -> dict[str, list[str]]:
-    """Bring the table in line with the trip files of a folder; returns names by what was done.
+def update_trips(
+    spark: SparkSession, folders: Sequence[str], table: str
+) -> dict[str, list[str]]:
+    """Bring the table in line with the trip files of some folders; returns names by what was done.
 
     New files are added and changed ones replaced, each in its own folder, while the rest of the
     table is not touched. When a file has changed (or there is no table yet) the table ends up with
     the present files only; otherwise rows of files that are gone stay.
     """
-    listing = trip_files(list_objects(spark, raw_dir))
+    listing = trip_files(list_folders(spark, folders))
     files = classify(listing, load_manifest(spark, table)).orderBy("name").collect()
     done: dict[str, list[str]] = {"loaded": [], "dropped": []}
     if not files:
@@ -123,7 +127,7 @@ def update_trips(spark: SparkSession, raw_dir: str, table: str) -> dict[str, lis
         name: _data_files(spark, stored[name]) for name in done["loaded"] if name in stored
     }
     paths = spark.createDataFrame([(f["path"],) for f in todo], "path string")
-    _write(spark, read_trip_csv(paths, qualified(spark, raw_dir)), table)
+    _write(spark, read_trip_csv(paths, [qualified(spark, f) for f in folders]), table)
 
     # A file that has no rows any more writes no folder, so the old one is still there.
     emptied = [n for n, old in before.items() if _data_files(spark, stored[n]) == old]
