@@ -12,7 +12,8 @@ TUNED_PREFIX = "tuned_"
 
 def whole_trips(prediction: Column) -> Column:
     """A prediction as a trip count: not negative, halves to the even neighbour."""
-    return F.bround(F.greatest(prediction, F.lit(0.0))).cast("bigint")
+    at_least_zero = F.when(prediction < 0, F.lit(0.0)).otherwise(prediction)
+    return F.bround(at_least_zero).cast("bigint")
 
 
 def prediction_error(actual: Column, predicted: Column) -> Column:

@@ -47,12 +47,9 @@ def station_hours(
 
 
 def column_means(df: DataFrame, columns: Sequence[str]) -> Column:
-    """The means of some columns over the whole table, as a struct in a scalar subquery.
-
-    The subquery takes whole rows, so that its plan shares the shuffle of the main plan.
-    """
+    """The means of some columns over the whole table, as a struct in a scalar subquery."""
     means = F.struct(*(F.avg(c).alias(c) for c in columns)).alias("means")
-    return whole_rows(df).agg(means).scalar()
+    return df.agg(means).scalar()
 
 
 def fill_missing(
@@ -94,9 +91,14 @@ def demand_features(
 ) -> DataFrame:
     """The feature table: one complete row per station and hour, by time.
 
-    Means are taken over all station-hours, before incomplete rows are dropped. `ordered=False`
-    leaves out the sort where the order is of no use, as for training.
+    Means are taken over all station-hours, before incomplete rows are dropped. Whole rows and an
+    unmoved null filter keep the plan under the means the same as the main one, so the trips are
+    scanned and shuffled once. `ordered=False` leaves out the sort where the order is of no use, as
+    for training.
     """
-    hours = station_hours(trips, order_by, count_name, FIRST_OF_TRIP | {c: c for c in fills})
-    rows = without_nulls(fill_missing(hours, fills).transform(add_calendar, "datetime", weekend_days))
+    hours = whole_rows(
+        station_hours(trips, order_by, count_name, FIRST_OF_TRIP | {c: c for c in fills})
+    )
+    filled = fill_missing(hours, fills).transform(add_calendar, "datetime", weekend_days)
+    rows = without_nulls(filled, pushed=False)
     return rows.orderBy("datetime", "station") if ordered else rows

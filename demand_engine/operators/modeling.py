@@ -99,7 +99,7 @@ def chronological_split(
     what is left are `val`, the rest is `train`. A row without a time belongs to none."""
     time, days = F.col(time_col), months * days_per_month
     test_from = days_before(ntz(as_of), days)
-    last_pool = whole_rows(df).where(time < test_from).agg(F.max(time).alias("last")).scalar()
+    last_pool = whole_rows(df).agg(F.max(F.when(time < test_from, time)).alias("last")).scalar()
     return df.withColumn(
         "split",
         F.when(time >= test_from, TEST)
@@ -120,11 +120,12 @@ def assembler(columns: Sequence[str] = FEATURE_COLUMNS) -> VectorAssembler:
     return VectorAssembler(inputCols=list(columns), outputCol="features", handleInvalid="error")
 
 
-def feature_matrix(df: DataFrame, label: str = "demand") -> DataFrame:
-    """(features, label) and the split, if there is one."""
-    keep = [c for c in ("split",) if c in df.columns]
+def feature_matrix(
+    df: DataFrame, label: str = "demand", keep: Sequence[str] = ()
+) -> DataFrame:
+    """(features, label) of each row, and the columns to keep beside them."""
     rows = df.withColumn("label", quoted(label).cast("double"))
-    return assembler().transform(rows).select("features", "label", *keep)
+    return assembler().transform(rows).select(*keep, "features", "label")
 
 
 def train_model(

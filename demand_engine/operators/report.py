@@ -90,8 +90,13 @@ def map_columns(report: DataFrame) -> DataFrame:
     The scales come from a join with the hourly summary, not from a window, so that an hour with
     very many stations is not sorted into one task.
     """
-    scales = hour_summary(whole_rows(report)).select("datetime", "error_max", "elevation_scale")
-    return report.join(scales, "datetime").select(
+    report = whole_rows(report)
+    scales = hour_summary(report).select(
+        F.col("datetime").alias("__datetime"), "error_max", "elevation_scale"
+    )
+    # Null-safe, since a plain equality would add a filter to one branch only.
+    same_hour = F.col("datetime").eqNullSafe(F.col("__datetime"))
+    return report.join(scales, same_hour).select(
         "datetime",
         "station",
         title_case(F.col("station")).alias("station_title"),

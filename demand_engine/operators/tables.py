@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,9 +118,19 @@ def before_time(df: DataFrame, column: str, cutoff: datetime | Column) -> DataFr
     return df.where(F.col(column) < ntz(cutoff))
 
 
-def without_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows with a value in every column. NaN counts as a value, unlike in `DataFrame.dropna`."""
-    return df.where(reduce(and_, (quoted(c).isNotNull() for c in columns or df.columns)))
+def without_nulls(
+    df: DataFrame, columns: Sequence[str] | None = None, pushed: bool = True
+) -> DataFrame:
+    """Rows with a value in every column. NaN counts as a value, unlike in `DataFrame.dropna`.
+
+    `pushed=False` states the condition as one number, which Spark does not take apart and move
+    towards the scan. That is for a table whose unfiltered rows are read in the same plan, see
+    `whole_rows`.
+    """
+    values = [quoted(c) for c in columns or df.columns]
+    if pushed:
+        return df.where(reduce(and_, (v.isNotNull() for v in values)))
+    return df.where(reduce(add, (v.isNull().cast("int") for v in values)) == 0)
 
 
 def whole_rows(df: DataFrame) -> DataFrame:
@@ -148,9 +158,5 @@ def latest_per_key(
     """
     ranks = [rank] if isinstance(rank, str) else list(rank)
     order = F.col(ranks[0]) if len(ranks) == 1 else F.struct(*ranks)
-    rest = [c for c in df.columns if c not in (*keys, *ranks)]
-    return (
-        df.groupBy(*keys)
-        .agg(*(F.max_by(c, order).alias(c) for c in rest))
-        .select([c for c in df.columns if c not in ranks])
-    )
+    rest = [c for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(*(F.max_by(c, order).alias(c) for c in rest)).select(df.columns)

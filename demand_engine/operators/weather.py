@@ -46,7 +46,7 @@ def as_weather(observations: DataFrame) -> DataFrame:
 def merge_weather(parts: Sequence[DataFrame]) -> DataFrame:
     """One row per time; where parts overlap, the later part wins."""
     ranked = [p.withColumn("__part", F.lit(i)) for i, p in enumerate(parts)]
-    return latest_per_key(union_relaxed(ranked), ["time"], "__part")
+    return latest_per_key(union_relaxed(ranked), ["time"], "__part").drop("__part")
 
 
 def gaps(cache: DataFrame, start: datetime, end: datetime) -> DataFrame:

@@ -121,7 +121,7 @@ def trip_span(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT user_id, arg_max_null(event_type, event_id) AS event_type,
+    """SELECT user_id, max(event_id) AS event_id, arg_max_null(event_type, event_id) AS event_type,
         arg_max_null(value, event_id) AS value FROM events GROUP BY 1"""
 )
 def keep_last_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:

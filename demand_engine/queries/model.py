@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +14,8 @@ from demand_engine.operators.report import prediction_report
 from demand_engine.plans.prepare import whole_days
 from demand_engine.plans.train import train
 from demand_engine.queries.registry import query
-from demand_engine.queries.views import enriched, table
+from demand_engine.queries.views import enriched, features_sql, sql, table
+from demand_engine.schemas import FEATURE_COLUMNS, WEATHER_FILLS
 from demand_engine.session import cut_lineage, scratch_path
 from demand_engine.sources.datasets import RUN_SCHEMA, load_model, load_runs, log_run, save_model
 
@@ -139,12 +141,33 @@ def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_lineage(M.chronological_split(rows, _JANUARY_END, 1, days_per_month=10))
 
 
-@query()
+@query(
+    sql(
+        f"""SELECT datetime, station, demand::double AS label, [hour, weekday, month, year,
+                is_weekend::int, total_docks, lat, lng, temp, rhu, prcp, wspd, wdir, snow]::double[] AS v,
+            {', '.join(f'v[{i + 1}] AS f{i}' for i in range(14))},
+            CASE WHEN datetime >= TIMESTAMP '2024-01-21' THEN 'test'
+                WHEN datetime >= (SELECT max(datetime) FROM features
+                    WHERE datetime < TIMESTAMP '2024-01-21') - INTERVAL 10 DAY THEN 'val'
+                ELSE 'train' END AS split
+        FROM features""",
+        "hours",
+        features=features_sql(),
+    ).replace("SELECT datetime, station, demand::double", "SELECT * EXCLUDE (v) FROM (SELECT datetime, station, demand::double")
+    + ")"
+)
 def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
-
-    matrix = M.feature_matrix(_features(spark, sf_dir))
-    return matrix.withColumn("features", vector_to_array("features"))
+    """The vectors' elements, in order, as columns."""
+    keys = _features(spark, sf_dir)
+    matrix = M.feature_matrix(keys, keep=("datetime", "station", "split"))
+    vector = matrix.withColumn("v", vector_to_array("features"))
+    return vector.select(
+        "datetime", "station", "label", "split",
+        *(
+            (F.round(F.col("v")[i], 6) if c in WEATHER_FILLS else F.col("v")[i]).alias(f"f{i}")
+            for i, c in enumerate(FEATURE_COLUMNS)
+        ),
+    )
 
 
 @query()
