@@ -17,6 +17,11 @@ TRIP_TIME_PATTERN = "yyyy-MM-dd HH:mm:ss[.SSSSSSSSS]"
 DAYS_PER_MONTH = 30
 
 
+
+def _epoch() -> Column:
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+
+
 def ntz(value: Column | datetime) -> Column:
     return (value if isinstance(value, Column) else F.lit(value)).cast("timestamp_ntz")
 
@@ -26,9 +31,27 @@ def parse_time(c: Column, pattern: str = TRIP_TIME_PATTERN) -> Column:
     return F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz")
 
 
+def hour_number(c: Column) -> Column:
+    """Full hours since 1970 as a number, the cheapest key to group and join hours by.
+
+    For zone-free times `unix_timestamp` is plain arithmetic, independent of the session's zone,
+    while `date_trunc` converts to zoned time and back for each row. It cuts towards zero, so times
+    before 1970 are set right separately.
+    """
+    seconds = F.unix_timestamp(c)
+    cut = (c < _epoch() + F.make_dt_interval(secs=seconds)).cast("int")
+    early = F.floor((seconds - cut) / F.lit(3600))
+    return F.when(c >= _epoch(), F.call_function("div", seconds, F.lit(3600))).otherwise(early)
+
+
+def hour_time(number: Column) -> Column:
+    """The time a numbered hour starts."""
+    return _epoch() + F.make_dt_interval(hours=number.cast("int"))
+
+
 def hour_of(c: Column) -> Column:
     """The full hour a time lies in."""
-    return F.date_trunc("hour", c).cast("timestamp_ntz")
+    return hour_time(hour_number(c))
 
 
 def iso_weekday(c: Column) -> Column:

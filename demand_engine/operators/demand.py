@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demand_engine.functions.times import calendar, hour_of
+from demand_engine.functions.times import calendar, hour_number, hour_time
 from demand_engine.operators.tables import whole_rows, without_nulls
 from demand_engine.schemas import MEAN, WEATHER_FILLS, WEEKEND_DAYS
 
@@ -37,13 +37,16 @@ def station_hours(
     key = F.col(order_by) if isinstance(order_by, str) else order_by
     if firsts is None:
         firsts = FIRST_OF_TRIP | {c: c for c in WEATHER_FILLS}
-    return trips.groupBy(
-        hour_of(F.col("started_at")).alias("datetime"),
+    hours = trips.groupBy(
+        hour_number(F.col("started_at")).alias("__hour"),
         F.col("start_station_name").alias("station"),
     ).agg(
         F.count(F.lit(1)).alias(count_name),
         *(F.min_by(source, key).alias(name) for source, name in firsts.items()),
     )
+    return hours.select(
+        hour_time(F.col("__hour")).alias("datetime"), "station", count_name, *firsts.values()
+    )
 
 
 def column_means(df: DataFrame, columns: Sequence[str]) -> Column:

@@ -86,7 +86,11 @@ def spread_left_join(
     """
     on = list(on)
     if slices is None:
-        slices = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spark = left.sparkSession
+        slices = max(
+            int(spark.conf.get("spark.sql.shuffle.partitions")),
+            4 * spark.sparkContext.defaultParallelism,
+        )
     some_null = reduce(or_, (F.col(c).isNull() for c in on))
     all_set = reduce(and_, (F.col(c).isNotNull() for c in on))
     counts = left.where(all_set).groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demand_engine.functions.measures import distance_km, nan_to_null
-from demand_engine.functions.times import hour_of, ntz
+from demand_engine.functions.times import hour_number, hour_of, ntz
 from demand_engine.operators.joins import Size, left_lookup
 from demand_engine.operators.quality import validate
 from demand_engine.operators.tables import latest_per_key, rename_known, union_relaxed
@@ -22,8 +22,10 @@ NEIGHBOURS = 4
 
 def attach_weather(trips: DataFrame, weather: DataFrame, size: Size | None = None) -> DataFrame:
     """The weather of the hour a trip starts in; null columns where there is none."""
-    hourly = weather.withColumnRenamed("time", "__hour")
-    keyed = trips.withColumn("__hour", hour_of(F.col("started_at")))
+    # A row of weather off the full hour has no trips; the number alone would round it down.
+    on_the_hour = weather.where(hour_of(F.col("time")) == F.col("time"))
+    hourly = on_the_hour.withColumn("__hour", hour_number(F.col("time"))).drop("time")
+    keyed = trips.withColumn("__hour", hour_number(F.col("started_at")))
     return left_lookup(keyed, hourly, ["__hour"], size).drop("__hour")
 
 
@@ -53,7 +55,7 @@ def gaps(cache: DataFrame, start: datetime, end: datetime) -> DataFrame:
     """What a request needs: rows (part, from_time, to_time).
 
     `head` and `tail` lie outside the cached times and have to be fetched, `cached` is the clamped
-    middle. Only parts that apply are listed.
+    middle. Only parts that apply are listed; without any cached time all is `head`.
     """
     low, high = F.col("low"), F.col("high")
 
@@ -64,7 +66,7 @@ def gaps(cache: DataFrame, start: datetime, end: datetime) -> DataFrame:
         return F.when(applies, entry)
 
     parts = F.array(
-        part("head", start, low, ntz(start) < low),
+        part("head", start, F.coalesce(low, ntz(end)), low.isNull() | (ntz(start) < low)),
         part("cached", F.greatest(ntz(start), low), F.least(ntz(end), high), low.isNotNull()),
         part("tail", high, end, ntz(end) > high),
     )

@@ -17,7 +17,7 @@ from demand_engine.queries.registry import query
 from demand_engine.queries.views import enriched, features_sql, sql, table
 from demand_engine.schemas import FEATURE_COLUMNS, WEATHER_FILLS
 from demand_engine.session import cut_lineage, scratch_path
-from demand_engine.sources.datasets import RUN_SCHEMA, load_model, load_runs, log_run, save_model
+from demand_engine.sources.datasets import load_model, load_runs, log_run, save_model
 
 _AS_OF = datetime(2001, 8, 1)
 _SPLIT_SQL = """SELECT o_orderkey, o_orderdate,
@@ -64,19 +64,26 @@ def train_and_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train_rows.unionByName(rows.where(F.col("split") == M.VALIDATION))
 
 
-@query(
-    """SELECT round(sqrt(avg(e * e)), 4) AS rmse, round(avg(abs(e)), 4) AS mae,
+_METRICS_SQL = """SELECT round(sqrt(avg(e * e)), 4) AS rmse, round(avg(abs(e)), 4) AS mae,
         round(1 - sum(e * e) / (var_pop(l_extendedprice) * count(*)), 6) AS r2
     FROM (SELECT *, l_extendedprice - l_quantity * 2000 AS e FROM lineitem)"""
-)
-def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem").select(
+
+
+def _price_guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_extendedprice").alias("label"),
         (F.col("l_quantity") * 2000).alias("prediction"),
     )
-    return M.regression_metrics(rows).select(
-        F.round("rmse", 4).alias("rmse"), F.round("mae", 4).alias("mae"), F.round("r2", 6).alias("r2")
-    )
+
+
+def _rounded_metrics(df: DataFrame) -> DataFrame:
+    digits = {"rmse": 4, "mae": 4, "r2": 6}
+    return df.select(*(F.round(c, n).alias(c) for c, n in digits.items()))
+
+
+@query(_METRICS_SQL)
+def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded_metrics(M.regression_metrics(_price_guesses(spark, sf_dir)))
 
 
 def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,17 +219,13 @@ def training_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_runs(spark, f"{path}/runs").select("rmse", "mae", "r2", "params")
 
 
-@query("SELECT count(*) AS runs, round(min(o_totalprice), 6) AS best FROM orders WHERE o_orderkey = (SELECT min(o_orderkey) FROM orders)")
+@query(_METRICS_SQL)
 def run_log_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A run whose error is the price of the first order, logged and read back."""
-    price = table(spark, sf_dir, "orders").agg(F.min_by("o_totalprice", "o_orderkey")).first()[0]
+    """The metrics of all line items, logged as a run and read back as the best one."""
     path = scratch_path(spark, "runs")
-    metrics = {"rmse": price, "mae": 0.0, "r2": 0.0}
+    metrics = M.regression_metrics(_price_guesses(spark, sf_dir)).first().asDict()
     log_run(spark, path, {"tuned_max_depth": 4}, metrics, datetime(2024, 1, 1))
-    runs = load_runs(spark, path)
-    if runs.schema.simpleString() != spark.createDataFrame([], RUN_SCHEMA).schema.simpleString():
-        raise AssertionError("the run log changed its schema")
-    return runs.agg(F.count("run_id").alias("runs"), F.round(F.min("rmse"), 6).alias("best"))
+    return _rounded_metrics(M.best_run(load_runs(spark, path)))
 
 
 @query()

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demand_engine.functions import names
+from demand_engine.functions.times import hour_number, hour_time
 from demand_engine.operators.stations import station_version
 from demand_engine.plans.prepare import enrich
 from demand_engine.schemas import StationSnapshot
@@ -112,14 +113,14 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hourly = table(spark, sf_dir, "events").groupBy(
-        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("time")
-    )
     values = {**WEATHER_VALUES, "observed": _OBSERVED}
-    return (
-        hourly.agg(*(F.expr(e).alias(c) for c, e in values.items()))
-        .where(F.col("observed") > 0)
-        .drop("observed")
+    hourly = (
+        table(spark, sf_dir, "events")
+        .groupBy(hour_number(F.col("ts")).alias("number"))
+        .agg(*(F.expr(e).alias(c) for c, e in values.items()))
+    )
+    return hourly.where(F.col("observed") > 0).select(
+        hour_time(F.col("number")).alias("time"), *WEATHER_VALUES
     )
 
 

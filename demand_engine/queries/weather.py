@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demand_engine.functions.measures import distance_km
+from demand_engine.functions.times import hour_of
 from demand_engine.operators import weather as W
 from demand_engine.operators.quality import violations
 from demand_engine.queries.registry import query
@@ -187,7 +188,7 @@ def interpolate_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event is an observation at the station of its user."""
     observed = table(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias("station_id"),
-        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("time"),
+        hour_of(F.col("ts")).alias("time"),
         F.col("value").alias("temp"),
         F.when(F.col("event_type") != "error", F.col("value") / 2).alias("wspd"),
     )

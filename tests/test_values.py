@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,6 +29,34 @@ def test_lenient_times(spark, text, time):
     assert one(spark, times.parse_time(F.col("t")), t=(text, "string")) == time
 
 
+HOURS = [
+    datetime(1970, 1, 1),
+    datetime(1970, 1, 1, 0, 59, 59, 999999),
+    datetime(1969, 12, 31, 23, 59, 59, 500000),
+    datetime(1969, 12, 31, 23),
+    datetime(1969, 12, 31, 22, 59, 59, 999999),
+    datetime(1960, 2, 29, 5, 30),
+    datetime(2024, 3, 10, 2, 30),
+    datetime(2024, 11, 3, 1, 59, 59, 999999),
+    None,
+]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_hours_in_any_session_zone(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(t,) for t in HOURS], "t timestamp_ntz").repartition(2)
+        rows = df.select("t", times.hour_number(F.col("t")).alias("n"), times.hour_of(F.col("t")).alias("h"))
+        got = {r["t"]: (r["n"], r["h"]) for r in rows.collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got.pop(None) == (None, None)
+    for t, (number, hour) in got.items():
+        assert number == (t - datetime(1970, 1, 1)) // timedelta(hours=1)
+        assert hour == t.replace(minute=0, second=0, microsecond=0)
+
+
 def test_weekend_is_friday_and_saturday_by_default(spark):
     week = [datetime(2024, 1, d) for d in range(1, 8)]
     df = spark.createDataFrame([(d,) for d in week], "t timestamp_ntz").orderBy("t")

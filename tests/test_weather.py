@@ -40,6 +40,15 @@ def test_outside_hours_have_none_and_hours_are_matched(spark):
     )
 
 
+def test_weather_off_the_hour_matches_nothing(spark):
+    weather = spark.createDataFrame(
+        [(at(14, 30), 20.0), (None, 1.0)], "time timestamp_ntz, temp double"
+    )
+    assert temps(W.attach_weather(trips(spark, at(14, 45), None), weather)) == {
+        at(14, 45): None, None: None,
+    }
+
+
 def test_newer_part_wins_and_nulls_count(spark):
     old = spark.createDataFrame(
         [(at(1), 1.0), (at(2), 2.0), (None, 3.0)], "time timestamp_ntz, temp double"
@@ -88,6 +97,11 @@ def test_gaps(spark, start, end, parts):
     assert bounds.get("tail", (high, end)) == (high, end)
 
 
+def test_gap_of_an_empty_cache_is_everything(spark):
+    cache = spark.createDataFrame([], "time timestamp_ntz, temp double")
+    assert [tuple(r) for r in W.gaps(cache, at(1), at(2)).collect()] == [("head", at(1), at(2))]
+
+
 def test_cache_fetches_only_what_it_lacks(spark, tmp_path):
     asked = []
 
