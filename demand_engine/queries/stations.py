@@ -26,6 +26,7 @@ from demand_engine.queries.views import (
     literals_sql,
     mapped_sql,
     sql,
+    station_table,
     stations,
     table,
     trips,
@@ -74,7 +75,7 @@ def normalize_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def normalize_trip_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = S.station_map(stations(spark, sf_dir))
+    known = S.station_map(station_table(spark, sf_dir))
     named = S.map_names(trips(spark, sf_dir), "start_station_name", known)
     return S.map_names(named, "end_station_name", known).select(
         "ride_id", "start_station_name", "end_station_name"
@@ -170,7 +171,7 @@ def trips_with_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(sql("SELECT * FROM standard_trips", "standard_trips"))
 def standardize_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.standardize(trips(spark, sf_dir), stations(spark, sf_dir), version)
+    return S.standardize(trips(spark, sf_dir), station_table(spark, sf_dir), version)
 
 
 @query(

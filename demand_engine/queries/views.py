@@ -21,6 +21,7 @@ from demand_engine.functions.times import hour_number, hour_time
 from demand_engine.operators.stations import station_version
 from demand_engine.plans.prepare import enrich
 from demand_engine.schemas import StationSnapshot
+from demand_engine.session import cut_lineage
 
 # The events cover January 2024, so the lists of these tables take effect within it.
 SNAPSHOTS = (
@@ -128,9 +129,18 @@ def version(column: str):
     return station_version(column, SNAPSHOTS)
 
 
+def station_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stations as a written table, as the jobs read them; joins look at it several times."""
+    return cut_lineage(stations(spark, sf_dir))
+
+
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips with all attributes, from written stations and weather."""
     return enrich(
-        trips(spark, sf_dir), stations(spark, sf_dir), weather(spark, sf_dir), SNAPSHOTS
+        trips(spark, sf_dir),
+        station_table(spark, sf_dir),
+        cut_lineage(weather(spark, sf_dir)),
+        SNAPSHOTS,
     )
 
 
