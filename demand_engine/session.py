@@ -26,13 +26,22 @@ def engine_session(app: str = "demand_engine", master: str | None = None) -> Spa
     return (builder.master(master) if master else builder).getOrCreate()
 
 
+def is_local(master: str) -> bool:
+    """Whether a master string runs tasks in the driver's own process."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in `spark.checkpoint.dir`.
 
-    Only where that is unset (a local run or a test) is a local folder made and set.
+    Only where that is unset and all tasks run in this very process (`local[...]`) is a local folder
+    made and set; on a cluster an unset folder is an error, since no executor sees another's disk.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named is None:
+        master = spark.sparkContext.master
+        if not is_local(master):
+            raise RuntimeError(f"spark.checkpoint.dir has to name a shared folder when the master is {master}")
         named = tempfile.mkdtemp(prefix="demand_engine-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
