@@ -24,3 +24,46 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demand_engine.llm.jaccard import similar_documents
 
     return similar_documents(_table(spark, sf_dir, "documents"))
+
+
+@_register
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demand_engine.llm.contamination import contamination
+
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op9_benchmark_decontamination"] = r"""
+WITH
+doc AS (SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+item AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+shape AS (SELECT item_id, words, least(len(words), 10) AS size FROM item WHERE len(words) > 0),
+win AS (SELECT DISTINCT item_id, size, array_to_string(words[pos : pos + size - 1], ' ') AS window_text
+    FROM shape, LATERAL (SELECT unnest(generate_series(1, len(words) - size + 1)) AS pos) t),
+place AS (SELECT row_id, size, pos, array_to_string(words[pos : pos + size - 1], ' ') AS window_text
+    FROM doc, (SELECT DISTINCT size FROM win) z, LATERAL (SELECT unnest(generate_series(1, len(words) - size + 1)) AS pos) t),
+met AS (SELECT row_id, pos, size, item_id FROM place JOIN win USING (size, window_text)),
+hit AS (SELECT row_id, count(DISTINCT word_at) AS n_hit
+    FROM (SELECT row_id, unnest(generate_series(pos, pos + size - 1)) AS word_at FROM (SELECT DISTINCT row_id, pos, size FROM met) m) u GROUP BY row_id),
+named AS (SELECT row_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items
+    FROM (SELECT DISTINCT row_id, item_id FROM met WHERE item_id IS NOT NULL) m GROUP BY row_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN hit USING (row_id) LEFT JOIN named USING (row_id)
+"""
+
+
+@_register
+def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demand_engine.llm.exact import exact_duplicates
+
+    return exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op10_exact_dedup"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+    doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
