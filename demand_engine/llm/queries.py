@@ -19,6 +19,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_register
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demand_engine.llm.secrets import find_secrets, secret_report
+
+    return secret_report(find_secrets(_table(spark, sf_dir, "documents")))
+
+
 @_register
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demand_engine.llm.jaccard import similar_documents
@@ -26,6 +33,20 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(_table(spark, sf_dir, "documents"))
 
 
+@_register
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demand_engine.llm.quality import quality_report
+
+    return quality_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_register
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demand_engine.llm.language import language_report
+
+    return language_report(_table(spark, sf_dir, "documents"))
+
+
 @_register
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demand_engine.llm.contamination import contamination
