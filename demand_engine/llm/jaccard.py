@@ -353,17 +353,16 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     sizes = postings.groupBy("token").agg(F.count(F.lit(1)).alias("size"))
     frequent = cut_lineage(sizes.where(F.col("size") > PAIR_GROUP).select("token"))
     edges, degrees = [], []
-    cold = postings
     if not frequent.isEmpty():
-        families = cut_lineage(_families(postings.join(frequent, "token", "left_semi").select("token", "node")))
+        families = _families(postings.join(frequent, "token", "left_semi").select("token", "node"))
         blocks = cut_lineage(_block_links(alive, families, percent))
         edges.append(blocks.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
         degrees.append(blocks.select("node", "links"))
-        cold = postings.join(families, "node", "left").join(frequent, "token", "left_anti")
+        cold = alive.select("node", "n", "matches", "prefix").join(families, "node", "left")
     else:
-        cold = postings.withColumn("family", F.lit(None).cast("bigint"))
+        cold = alive.select("node", "n", "matches", "prefix", F.lit(None).cast("bigint").alias("family"))
     rare = sizes.where((F.col("size") > 1) & (F.col("size") <= PAIR_GROUP)).select("token")
-    cold = cold.join(rare, "token", "left_semi")
+    cold = cold.select("node", "n", "matches", "family", F.explode("prefix").alias("token")).join(rare, "token", "left_semi")
     x, y = cold.alias("x"), cold.alias("y")
     fits = (F.col("x.n") * 100 >= F.col("y.n") * percent) & (F.col("y.n") * 100 >= F.col("x.n") * percent)
     apart = F.col("x.family").isNull() | F.col("y.family").isNull() | (F.col("x.family") != F.col("y.family"))

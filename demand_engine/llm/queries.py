@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folder of public tokenizer files, read by the driver.
+TOKENIZERS = "/opt/tokenizers"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -26,6 +29,13 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(find_secrets(_table(spark, sf_dir, "documents")))
 
 
+@_register
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demand_engine.llm.pieces import encoding_report
+
+    return encoding_report(spark, _table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
 @_register
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demand_engine.llm.jaccard import similar_documents
