@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MARK = "▁"
 #: Text taken at once, and words that a task remembers before it starts anew.
@@ -54,14 +55,9 @@ class Vocabulary:
         apart = "" if any("\n" in p for p in self.ids) else "\n"
         self.word = re.compile(f"{MARK}*[^{MARK}{apart}]+|{MARK}+" + (f"|{apart}" if apart else ""))
 
-    def encoder(self) -> TextEncoder:
-        """One encoder per process that holds this vocabulary."""
-        if "_encoder" not in self.__dict__:
-            self._encoder = TextEncoder(self)
-        return self._encoder
-
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "_encoder"}
+    def plain(self) -> dict:
+        """What a broadcast carries: built-in types only, so that any process can read it."""
+        return {"fields": (self.pieces, self.scores, self.bytes_at, self.special, self.unknown, self.unigram)}
 
     @classmethod
     def load(cls, path: str, unigram: bool = False) -> Vocabulary:
@@ -208,7 +204,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, columns: tuple[str, ...] = (
 
     Repeated rows give repeated rows. Other columns are ignored, whatever their names.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary.plain())
     slim = docs.select(*columns, F.col(text_col).alias("__text"))
 
     def stretches(column: pa.Array) -> Iterator[list[str]]:
@@ -222,7 +218,10 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, columns: tuple[str, ...] = (
         yield held
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = shared.value.encoder()  # lives as long as the broadcast in this process, over several tasks
+        held = shared.value  # one object per process while the broadcast lives, over several tasks
+        if "encoder" not in held:
+            held["encoder"] = TextEncoder(Vocabulary(*held["fields"]))
+        encoder = held["encoder"]
         for batch in batches:
             begin = 0
             for texts in stretches(batch.column("__text")):
@@ -232,7 +231,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, columns: tuple[str, ...] = (
                 yield pa.RecordBatch.from_arrays([*own, lists], [*columns, "ids"])
                 begin += len(texts)
 
-    return slim.mapInArrow(run, slim.select(*columns).schema.add("ids", "array<int>"))
+    return slim.mapInArrow(run, slim.select(*columns).schema.add("ids", T.ArrayType(T.IntegerType())))
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, columns: tuple[str, ...] = ("doc_id",), text: str = "decoded") -> DataFrame:
@@ -241,10 +240,10 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, columns: tuple[str, ...]
     Marks become spaces and the one put before the text is taken off. Bytes that are no UTF-8 become
     replacement characters. Control pieces have no text; ids outside the vocabulary are an error.
     """
-    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary.plain())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = shared.value
+        v = Vocabulary(*shared.value["fields"])
         spelled = [p.replace(MARK, " ").encode() for p in v.pieces]
         for i in v.special:
             spelled[i] = " ⁇ ".encode() if i == v.unknown else b""
@@ -254,7 +253,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, columns: tuple[str, ...]
         begins, letters = np.cumsum(long) - long, np.frombuffer(b"".join(spelled), dtype=np.uint8)
         for batch in batches:
             texts = []
-            for ids in batch.column("ids"):
+            for ids in batch.column("__ids"):
                 own = ids.values.to_numpy() if ids.is_valid and len(ids) else np.zeros(0, dtype=np.int32)
                 size = long[own]
                 ends = np.cumsum(size)
@@ -262,7 +261,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, columns: tuple[str, ...]
                 texts.append(data.decode("utf-8", "replace").removeprefix(" "))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(texts, pa.string())], [*columns, text])
 
-    slim = encoded.select(*columns, "ids")
+    slim = encoded.select(*columns, F.col("ids").alias("__ids"))
     return slim.mapInArrow(run, slim.select(*columns).schema.add(text, "string"))
 
 

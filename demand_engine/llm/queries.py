@@ -57,6 +57,13 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_report(_table(spark, sf_dir, "documents"))
 
 
+@_register
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demand_engine.llm.lines import dedup_lines
+
+    return dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
+
+
 @_register
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demand_engine.llm.contamination import contamination
