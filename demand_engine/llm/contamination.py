@@ -75,11 +75,11 @@ def contamination(
     text_col: str = "text",
     block_windows: int = BLOCK_WINDOWS,
 ) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) per row of `docs`.
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, text_key) per row of `docs`.
 
     Words are runs of ASCII letters and digits, A-Z in lower case, and of all other characters
     beyond ASCII. A word inside any occurrence of a window is hit. Null has no words. Rows that
-    repeat an id and a text give equal rows. Other columns are ignored. Without items nothing is
+    repeat an id and a text give equal rows; `text_key` is xxhash64 of the text. Other columns are ignored. Without items nothing is
     hit; without documents the result is empty.
     """
     found = cut_lineage(windows(items, width))
@@ -105,6 +105,7 @@ def contamination(
         F.size(listed).cast("bigint").alias("n_items"),
         F.sha2(F.array_join(listed, ","), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
+        "text_key",
         "copies",
     )
     return result.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("copy", "copies")

@@ -152,8 +152,8 @@ def scorer(model: bytes | None) -> Callable[[pa.Array, np.ndarray], np.ndarray]:
     return score
 
 
-def quality_scores(docs: DataFrame, model: bytes | None, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """`columns` of `docs` and a `score` per row, from whole texts; null and empty texts included.
+def quality_scores(docs: DataFrame, model: bytes | None, columns: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
+    """`columns` of `docs` and a score (`name`) per row, from whole texts; null and empty texts included.
 
     Other columns may have any name. Repeated rows give repeated rows.
     """
@@ -165,9 +165,9 @@ def quality_scores(docs: DataFrame, model: bytes | None, columns: tuple[str, ...
         score = scorer(shared.value)
         for batch in batches:
             found = pa.array(score(batch.column("__text"), _numbers(batch.column("__chars"))), pa.float64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), found], [*columns, "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), found], [*columns, name])
 
-    schema = slim.select(*columns).schema.add("score", "double")
+    schema = slim.select(*columns).schema.add(name, "double")
     return slim.mapInArrow(run, schema)
 
 

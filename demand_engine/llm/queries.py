@@ -43,6 +43,24 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(_table(spark, sf_dir, "documents"))
 
 
+ORACLES["op3_jaccard_join"] = r"""
+WITH RECURSIVE
+doc AS (SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+gram AS (SELECT DISTINCT row_id, array_to_string(words[pos : pos + least(len(words), 5) - 1], ' ') AS gram
+    FROM (SELECT row_id, words, unnest(generate_series(1, greatest(len(words) - 4, 1))) AS pos FROM doc WHERE len(words) > 0) g),
+own AS (SELECT row_id, count(*) AS n, md5(string_agg(gram, chr(10) ORDER BY gram)) AS content FROM gram GROUP BY row_id),
+pair AS (SELECT x.row_id AS a, y.row_id AS b, count(*) AS common FROM gram x JOIN gram y USING (gram) WHERE x.row_id <> y.row_id GROUP BY ALL),
+link AS (SELECT a, b FROM pair JOIN own x ON x.row_id = a JOIN own y ON y.row_id = b WHERE 100 * common >= 80 * (x.n + y.n - common)),
+reach AS (SELECT row_id AS a, row_id AS b FROM doc UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+least_id AS (SELECT a, min(doc_id) AS component_id FROM reach JOIN doc ON row_id = b GROUP BY a),
+degree AS (SELECT a, count(DISTINCT y.content) AS n_links FROM link JOIN own x ON x.row_id = a JOIN own y ON y.row_id = b
+    WHERE x.content <> y.content GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links
+FROM doc LEFT JOIN own USING (row_id) JOIN least_id ON row_id = least_id.a LEFT JOIN degree ON row_id = degree.a
+"""
+
+
 @_register
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demand_engine.llm.quality import quality_report
@@ -50,6 +68,28 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+@_register
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demand_engine.llm.warc import archive_pages
+
+    return archive_pages(_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+ORACLES["op5_warc"] = """
+WITH page AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+hashed AS (SELECT *, sha1(html) AS hex, max(page_id) OVER (PARTITION BY html) AS kept FROM page),
+digits AS (SELECT *, list_transform(range(8), lambda i: CAST('0x' || substr(hex, CAST(1 + 5 * i AS BIGINT), 5) AS BIGINT)) AS fives FROM hashed)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+    array_to_string(list_transform(fives, lambda v: array_to_string(list_transform([15, 10, 5, 0],
+        lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> s) & 31) + 1, 1)), '')), '') AS payload_digest,
+    CASE WHEN page_id IS DISTINCT FROM kept THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN page_id IS DISTINCT FROM kept THEN kept END AS refers_to
+FROM digits
+"""
+
+
 @_register
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demand_engine.llm.language import language_report
@@ -57,6 +97,28 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_report(_table(spark, sf_dir, "documents"))
 
 
+@_register
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demand_engine.llm.chat import chat_report
+
+    return chat_report(_table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op7_chat_format"] = r"""
+WITH said AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+long AS (SELECT *, 24 + length(role || text) + length(regexp_replace(role || chr(0) || text, '[^\\]', '', 'g'))
+    + length(regexp_replace(role, '[^\n]', '', 'g'))
+    + len(regexp_extract_all(role || chr(0) || text, '<\|im_start\|>|<\|im_end\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>')) AS chars FROM said)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM long GROUP BY conv_id
+"""
+
+
 @_register
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demand_engine.llm.lines import dedup_lines
@@ -68,7 +130,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demand_engine.llm.contamination import contamination
 
-    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
 ORACLES["op9_benchmark_decontamination"] = r"""
