@@ -93,7 +93,7 @@ def dense_spans(run: str, window: int, bits: float) -> list[tuple[int, int]]:
     """
     if len(run) < window:
         return []
-    terms = [0.0, 0.0, *(c * math.log2(c) for c in range(2, window + 1))]
+    terms = [0.0, 0.0, *(c * math.log2(c) for c in range(2, window + 2))]
     most = (math.log2(window) - bits) * window + 1e-9
     counts: dict[str, int] = {}
     total, out = 0.0, []
