@@ -79,9 +79,9 @@ def spread_left_join(
     """Shuffled left join in which no key is bound to one task.
 
     With n rows and `slices` partitions a fair share is n/slices. A key with more rows than that is
-    hot and gets as many slots as fair shares; its left rows are dealt to the slots by a hash of
-    their content (the same on a repeated task), its right rows are copied into each slot. There
-    are fewer than `slices` hot keys and 2 x `slices` slots in all, whatever the data, which bounds
+    hot and gets as many slots as fair shares; its left rows are dealt to the slots in turn by their
+    place in the partition they are read from, so that equal rows spread too and a repeated task
+    deals alike; its right rows are copied into each slot. There are fewer than `slices` hot keys and 2 x `slices` slots in all, whatever the data, which bounds
     what is copied and broadcast. Left rows with a null key have no partner and are dealt freely.
     """
     on = list(on)
@@ -99,12 +99,8 @@ def spread_left_join(
         counts.where(F.col("__n") > fair)
         .select(*on, F.ceil(F.col("__n") / fair).cast("int").alias("__slots"))
     )
-    dealt = [
-        quoted(f.name)
-        for f in left.schema.fields
-        if not isinstance(f.dataType, (T.MapType, T.VariantType))
-    ]
-    slot = F.pmod(F.xxhash64(*dealt), F.when(some_null, slices).otherwise(F.coalesce("__slots", F.lit(1))))
+    turn = F.monotonically_increasing_id()
+    slot = F.pmod(turn, F.when(some_null, slices).otherwise(F.coalesce("__slots", F.lit(1))).cast("bigint"))
     left_slots = (
         left.join(F.broadcast(hot), on, "left").withColumn("__slot", slot.cast("int")).drop("__slots")
     )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from demand_engine.functions.measures import TUNED_PREFIX, tuned_name, typed_parameter
 from demand_engine.functions.times import DAYS_PER_MONTH, days_before, ntz
-from demand_engine.operators.tables import quoted, whole_rows
+from demand_engine.operators.tables import quoted
 from demand_engine.schemas import FEATURE_COLUMNS
 
 # Seed, windows and search size of a training run.
@@ -74,7 +74,9 @@ def gbt_settings(params: Mapping[str, object]) -> dict[str, object]:
         enough = math.ceil(math.log2(int(params["num_leaves"])))
         depth = enough if depth is None else min(int(depth), enough)
     if depth is not None:
-        settings["maxDepth"] = min(int(depth), MAX_DEPTH)
+        if int(depth) > MAX_DEPTH:
+            raise ValueError(f"trees go no deeper than {MAX_DEPTH}: {depth}")
+        settings["maxDepth"] = int(depth)
     if "n_estimators" in params:
         settings["maxIter"] = int(params["n_estimators"])
     if "learning_rate" in params:
@@ -99,7 +101,7 @@ def chronological_split(
     what is left are `val`, the rest is `train`. A row without a time belongs to none."""
     time, days = F.col(time_col), months * days_per_month
     test_from = days_before(ntz(as_of), days)
-    last_pool = whole_rows(df).agg(F.max(F.when(time < test_from, time)).alias("last")).scalar()
+    last_pool = df.agg(F.max(F.when(time < test_from, time)).alias("last")).scalar()
     return df.withColumn(
         "split",
         F.when(time >= test_from, TEST)
@@ -160,14 +162,18 @@ def scorer(model: PipelineModel):
 def regression_metrics(
     df: DataFrame, label: str = "label", prediction: str = "prediction"
 ) -> DataFrame:
-    """One row (rmse, mae, r2) in a single pass; r2 from the label's variance in the same rows."""
+    """One row (rmse, mae, r2) in a single pass; r2 from the label's variance in the same rows.
+
+    Where all labels are equal, r2 is 1 for predictions without error and 0 for others.
+    """
     y, error = F.col(label).cast("double"), F.col(label) - F.col(prediction)
     squares = F.sum(error * error)
     spread = F.var_pop(y) * F.count(y)
+    constant = F.when(F.max(y) == F.min(y), F.when(squares == 0, 1.0).otherwise(0.0))
     return df.agg(
         F.sqrt(F.avg(error * error)).alias("rmse"),
         F.avg(F.abs(error)).alias("mae"),
-        (F.lit(1.0) - F.try_divide(squares, spread)).alias("r2"),
+        F.coalesce(constant, F.lit(1.0) - F.try_divide(squares, spread)).alias("r2"),
     )
 
 

@@ -4,21 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demand_engine.functions.names import clean_station_name, gender, user_type
 from demand_engine.functions.times import ntz
 from demand_engine.operators.joins import Size, left_lookup, measure
-from demand_engine.operators.tables import rename_required
+from demand_engine.operators.tables import quoted
 from demand_engine.schemas import STATION_SNAPSHOTS, StationSnapshot
+from demand_engine.session import cut_lineage
 
 VersionColumn = Callable[[str], Column]
 
 STATION_ATTRIBUTES = ("station_name", "total_docks", "station_version", "public", "district")
 
-# A table of validity dates is folded into one array; more entries than this are refused.
-MAX_VALIDITY_DATES = 10_000
+# Attribute of a station -> column of the trip that visits it in a role.
+_VISITED = {
+    "station_name": "{}_station_name",
+    "station_version": "{}_station_version",
+    "total_docks": "{}_station_total_docks",
+    "public": "{}_station_public",
+    "district": "{}_district",
+}
 
 
 def station_version(
@@ -26,36 +33,79 @@ def station_version(
 ) -> Column:
     """The version in force at a time: the last whose first day is not later, else the first one.
 
-    A null time gets the first version.
+    A null time gets the first version. For a fixed list in ascending order; `version_as_of` takes
+    a table. The place in the list is the number of later first days that the time has reached.
     """
-    version = F.lit(snapshots[0].version)
-    for later in snapshots[1:]:
-        version = F.when(F.col(time_col) >= ntz(later.effective_from), later.version).otherwise(version)
-    return version.alias("station_version")
+    versions = F.array(*(F.lit(s.version) for s in snapshots))
+    reached = [
+        F.coalesce(F.col(time_col) >= ntz(s.effective_from), F.lit(False)).cast("int")
+        for s in snapshots[1:]
+    ]
+    return versions[sum(reached, F.lit(0))].alias("station_version")
 
 
-def version_as_of(df: DataFrame, time_col: str, validity: DataFrame) -> DataFrame:
-    """`station_version` from a table (effective_from, station_version) instead of a fixed list.
+def _spells(validity: DataFrame) -> DataFrame:
+    """(day, since, until, station_version): which version holds, cut at midnights; until may be null.
 
-    The dates travel as one sorted array in a scalar subquery, so that there is neither a range join
-    nor a shuffle of `df`. The table has to be short; a longer one stops the query with an error.
+    Days between two entries have the version of the earlier one, so there is at most one row per
+    entry and one per calendar day. Only the table of days with entries is ordered as a whole; the
+    calendar bounds it.
     """
-    dates = validity.groupBy("effective_from").agg(
-        F.max("station_version").alias("station_version")
+    entries = (
+        validity.where(F.col("effective_from").isNotNull())
+        .groupBy("effective_from")
+        .agg(F.max("station_version").alias("station_version"))
+        .withColumn("day", F.to_date("effective_from"))
     )
-    known = dates.limit(MAX_VALIDITY_DATES + 1).agg(
-        F.array_sort(F.collect_list(F.struct("effective_from", "station_version"))).alias("known")
+    within = Window.partitionBy("day").orderBy("effective_from")
+    own = entries.select(
+        "day",
+        F.col("effective_from").alias("since"),
+        F.lead("effective_from").over(within).alias("until"),
+        "station_version",
     )
-    checked = F.when(
-        F.size("known") > MAX_VALIDITY_DATES, F.raise_error(F.lit("too many validity dates"))
-    ).otherwise(F.col("known"))
-    table = F.col("__validity")
-    reached = F.filter(table, lambda v: v["effective_from"] <= F.col(time_col))
-    current = F.coalesce(F.try_element_at(reached, F.lit(-1)), F.try_element_at(table, F.lit(1)))
-    return (
-        df.withColumn("__validity", known.select(checked.alias("known")).scalar())
-        .withColumn("station_version", current["station_version"])
-        .drop("__validity")
+    days = entries.groupBy("day").agg(
+        F.min("effective_from").alias("first"),
+        F.max_by("station_version", "effective_from").alias("station_version"),
+    )
+    calendar = Window.orderBy("day")
+    days = days.withColumns(
+        {"next": F.lead("day").over(calendar), "next_first": F.lead("first").over(calendar)}
+    ).where(F.col("next").isNotNull())
+    days = days.withColumn("later", F.explode(F.sequence(F.date_add("day", 1), F.col("next"))))
+    carried = days.select(
+        F.col("later").alias("day"),
+        F.col("later").cast("timestamp_ntz").alias("since"),
+        F.when(F.col("later") == F.col("next"), F.col("next_first")).alias("until"),
+        "station_version",
+    )
+    return own.unionByName(carried)
+
+
+def version_as_of(df: DataFrame, time_col: str, validity: DataFrame) -> DataFrame:
+    """`station_version` from a table (effective_from, station_version) of any length.
+
+    Each entry holds until the next; the first one holds before its date and for a null time too.
+    Lookups are by day and then by the few entries of that day. The day table is broadcast when its
+    measured size allows that and joined by a shuffle otherwise.
+    """
+    spells = cut_lineage(_spells(validity))
+    known = validity.where(F.col("effective_from").isNotNull())
+    entry = F.struct("effective_from", "station_version")
+    ends = known.agg(
+        F.max(entry).alias("last"),
+        F.min_by("station_version", F.struct("effective_from", -F.col("station_version"))).alias("first"),
+    )
+    last, first = (ends.select(c).scalar() for c in ("last", "first"))
+    table = spells.toDF("__day", "__since", "__until", "__version")
+    if measure(table).fits():
+        table = F.broadcast(table)
+    time = F.col(time_col)
+    holds = (time >= F.col("__since")) & (F.col("__until").isNull() | (time < F.col("__until")))
+    found = df.join(table, (F.to_date(time) == F.col("__day")) & holds, "left")
+    after = F.when(time >= last["effective_from"], last["station_version"])
+    return found.withColumn("station_version", F.coalesce("__version", after, first)).select(
+        *(quoted(c) for c in df.columns if c != "station_version"), "station_version"
     )
 
 
@@ -119,6 +169,12 @@ def normalize_trips(
     return map_names(named, "end_station_name", names, size)
 
 
+def visited(stations: DataFrame, role: str) -> DataFrame:
+    """The station table with the names that its columns have on a trip, for one role."""
+    named = {c: _VISITED[c].format(role) for c in stations.columns if c in _VISITED}
+    return stations.withColumnsRenamed(named)
+
+
 def attach_stations(
     trips: DataFrame, stations: DataFrame, size: Size | None = None
 ) -> DataFrame:
@@ -127,22 +183,12 @@ def attach_stations(
     Stations that share a clean name and a version repeat the trip, see `duplicate_stations`.
     """
     size = size or measure(stations)
-    result = trips
-    for role in ("start", "end"):
-        roled = rename_required(
-            stations,
-            {
-                "station_name": f"{role}_station_name",
-                "station_version": f"{role}_station_version",
-                "total_docks": f"{role}_station_total_docks",
-                "public": f"{role}_station_public",
-                "district": f"{role}_district",
-            },
-        )
-        result = left_lookup(
-            result, roled, [f"{role}_station_name", f"{role}_station_version"], size
-        )
-    return result
+
+    def attached(rows: DataFrame, role: str) -> DataFrame:
+        keys = [_VISITED[c].format(role) for c in ("station_name", "station_version")]
+        return left_lookup(rows, visited(stations, role), keys, size)
+
+    return attached(attached(trips, "start"), "end")
 
 
 def standardize(

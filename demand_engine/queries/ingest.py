@@ -22,7 +22,7 @@ from demand_engine.schemas import StationSnapshot
 from demand_engine.session import scratch_path
 from demand_engine.sources.csv_files import SOURCE_FILE, read_trip_csv
 from demand_engine.sources.datasets import load_table, save_table, save_trips
-from demand_engine.sources.files import created, exists, list_objects, qualified, trip_files
+from demand_engine.sources.files import created, exists, list_objects, qualified, rename, trip_files
 from demand_engine.sources.landing import unpack
 from demand_engine.sources.stations_table import read_stations, update_stations
 from demand_engine.sources.trips_table import (
@@ -42,16 +42,18 @@ def _when(pattern: str) -> Column:
 
 
 def _old_files(events: DataFrame) -> DataFrame:
-    """The old header; views have no rider type, purchases an unreadable time."""
+    """The old header; only clicks have a rider type, purchases have an unreadable time, and every
+    fifth station name has a line break inside quotes."""
     kind = F.col("event_type")
-    return events.where(kind.isin(*_OLD_TYPES)).select(
+    space = F.when(F.col("event_id") % 5 == 0, "\n").otherwise(" ")
+    return events.select(
         (F.col("event_id") % 90 * 60).alias("tripduration"),
         F.when(kind == "purchase", _when("M/d/yyyy H:mm"))
         .otherwise(_when("yyyy-MM-dd HH:mm:ss.SSSSSS"))
         .alias("starttime"),
         _when("yyyy-MM-dd HH:mm:ss").alias("stoptime"),
         F.col("user_id").alias("start station id"),
-        F.concat(F.lit('The "Row", Stop '), "user_id").alias("start station name"),
+        F.concat(F.lit('The "Row",'), space, F.lit("Stop "), "user_id").alias("start station name"),
         (F.lit(42.25) + F.col("user_id") % 64 / 256).alias("start station latitude"),
         F.col("event_id").alias("bikeid"),
         F.when(kind == "click", "Subscriber").alias("usertype"),
@@ -77,12 +79,25 @@ def _write_csv(df: DataFrame, path: str) -> None:
     ).csv(path)
 
 
+def _write_trips(df: DataFrame, path: str) -> None:
+    """CSV files that have "trips" in their names."""
+    _write_csv(df, path)
+    _name_trips(df.sparkSession, path)
+
+
+def _name_trips(spark: SparkSession, path: str) -> None:
+    for file in list_objects(spark, path).select("path").collect():
+        folder, _, name = file["path"].rpartition("/")
+        rename(spark, file["path"], f"{folder}/trips-{name}")
+
+
 def _raw(spark: SparkSession, sf_dir: str, old: bool = True, new: bool = True) -> str:
     root, events = scratch_path(spark, "raw"), table(spark, sf_dir, "events")
     if old:
-        _write_csv(_old_files(events), f"{root}/old_trips")
+        own = events.where(F.col("event_type").isin(*_OLD_TYPES)) if new else events
+        _write_trips(_old_files(own), f"{root}/old")
     if new:
-        _write_csv(_new_files(events), f"{root}/new_trips")
+        _write_trips(_new_files(events), f"{root}/new")
     return root
 
 
@@ -93,16 +108,16 @@ _COLUMNS = (
 _OLD_SQL = """SELECT event_id % 90 * 60 AS trip_duration,
         CASE WHEN event_type <> 'purchase' THEN ts END AS started_at,
         date_trunc('second', ts) AS ended_at, cast(user_id AS varchar) AS start_station_id,
-        concat('The "Row", Stop ', user_id) AS start_station_name,
+        concat('The "Row",', CASE WHEN event_id % 5 = 0 THEN chr(10) ELSE ' ' END, 'Stop ', user_id) AS start_station_name,
         42.25 + (user_id % 64)::double / 256 AS start_lat, cast(event_id AS varchar) AS bike_id,
         CASE WHEN event_type = 'click' THEN 'Subscriber' END AS user_type,
         concat('02', user_id, 'XX') AS postal_code, cast(event_id % 3 AS varchar) AS gender
-    FROM events WHERE event_type IN ('click', 'view', 'purchase')"""
+    FROM events"""
 _NEW_SQL = """SELECT cast(event_id AS varchar) AS bike_id, event_type AS member_casual,
         concat('S', user_id) AS start_station_id, date_trunc('second', ts) AS started_at,
         date_trunc('millisecond', ts) AS ended_at
     FROM events WHERE event_type NOT IN ('click', 'view', 'purchase')"""
-_BOTH_SQL = f"{_OLD_SQL} UNION ALL BY NAME {_NEW_SQL}"
+_BOTH_SQL = f"{_OLD_SQL} WHERE event_type IN ('click', 'view', 'purchase') UNION ALL BY NAME {_NEW_SQL}"
 
 
 def _read(spark: SparkSession, root: str) -> DataFrame:
@@ -146,7 +161,7 @@ def nul_sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat("event_id", F.lit(nul)).alias("bikeid"),
             F.concat(F.lit(f"St{nul}op "), "user_id", F.lit(nul)).alias(f"start station {nul}name"),
         )
-        _write_csv(rows, f"{root}/{name}")
+        _write_trips(rows, f"{root}/{name}")
     return _read(spark, root).select("bike_id", "start_station_name")
 
 
@@ -192,6 +207,7 @@ def _by_type(spark: SparkSession, sf_dir: str) -> str:
         F.col("event_id").alias("bikeid"), F.concat("event_type", F.lit("-trips")).alias("kind")
     )
     events.write.partitionBy("kind").option("header", True).csv(root)
+    _name_trips(spark, root)
     return root
 
 
@@ -241,7 +257,7 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Old files, then new ones, then nothing: every row is there once."""
     root, target = _raw(spark, sf_dir, new=False), scratch_path(spark, "trips")
     update_trips(spark, [root], target)
-    _write_csv(_new_files(table(spark, sf_dir, "events")), f"{root}/new_trips")
+    _write_trips(_new_files(table(spark, sf_dir, "events")), f"{root}/new")
     update_trips(spark, [root], target)
     if update_trips(spark, [root], target)["loaded"]:
         raise AssertionError("an unchanged folder was loaded again")
@@ -323,8 +339,7 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """SELECT * FROM (SELECT 'user_type' AS "column", 'unreadable' AS "check",
         'not bigint' AS detail, count(*) AS failures FROM events WHERE event_type = 'click')
-    UNION ALL SELECT 'postal_code', 'unreadable', 'not bigint', count(*) FROM events
-        WHERE event_type IN ('click', 'view', 'purchase')"""
+    UNION ALL SELECT 'postal_code', 'unreadable', 'not bigint', count(*) FROM events"""
 )
 def unreadable_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many texts a stricter type would lose, per column."""

@@ -119,7 +119,7 @@ def station_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """WITH validity AS (SELECT date_trunc('year', o_orderdate) AS effective_from,
             year(o_orderdate) - 1995 AS station_version FROM orders
-            WHERE year(o_orderdate) > 1995 GROUP BY ALL)
+            GROUP BY ALL)
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate,
         cast(coalesce(station_version, (SELECT min(station_version) FROM validity)) AS int)
             AS station_version
@@ -130,7 +130,6 @@ def station_version_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     year = F.year("o_orderdate")
     validity = (
         table(spark, sf_dir, "orders")
-        .where(year > 1995)
         .select(
             F.date_trunc("year", "o_orderdate").cast("timestamp_ntz").alias("effective_from"),
             (year - 1995).alias("station_version"),

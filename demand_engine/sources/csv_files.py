@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import csv
+import itertools
 from collections import defaultdict
 from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from io import TextIOWrapper
 
@@ -52,10 +54,55 @@ def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
-def with_nul(spark: SparkSession, paths: Sequence[str]) -> set[str]:
-    """Those of the files that hold a NUL byte."""
-    dirty = _lines(spark, paths).where(F.contains("line", F.lit(NUL)))
-    return {r["source_path"] for r in dirty.select("source_path").distinct().collect()}
+@dataclass(frozen=True)
+class Marks:
+    """Files that need more than a plain scan: those with NUL bytes, and those in which a line may
+    end inside quotes."""
+
+    nul: frozenset[str]
+    broken: frozenset[str]
+
+
+def marks(spark: SparkSession, paths: Sequence[str]) -> Marks:
+    """What is special about each file, found in one pass over the lines.
+
+    A quoted line break leaves a line with an odd number of quotes. A lone quote inside a value does
+    so too; such a file is read in one piece for nothing, but rightly.
+    """
+    line = F.replace("line", F.lit(NUL), F.lit(""))
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    found = (
+        _lines(spark, paths)
+        .groupBy("source_path")
+        .agg(
+            F.bool_or(F.contains("line", F.lit(NUL))).alias("nul"),
+            F.bool_or(quotes % 2 == 1).alias("broken"),
+        )
+        .where("nul OR broken")
+        .collect()
+    )
+    return Marks(
+        frozenset(r["source_path"] for r in found if r["nul"]),
+        frozenset(r["source_path"] for r in found if r["broken"]),
+    )
+
+
+def _whole_file_rows(width: int):
+    """Task function: whole files -> rows of text, for files with NUL bytes and quoted line breaks."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path in batch["path"]:
+                with opened(path) as stream:
+                    text = TextIOWrapper(stream, encoding="utf-8-sig", errors="replace", newline="")
+                    rows = csv.reader(line.replace(NUL, "") for line in text)
+                    next(rows, None)
+                    while held := list(itertools.islice(rows, 10_000)):
+                        cells = [[c if c not in ("", "\\N") else None for c in r] for r in held if r]
+                        full = [(r + [None] * width)[:width] + [path] for r in cells]
+                        yield pd.DataFrame(full, columns=[*(f"c{i}" for i in range(width)), "source_path"], dtype=object)
+
+    return run
 
 
 def sanitized_lines(spark: SparkSession, header: str, paths: Sequence[str]) -> DataFrame:
@@ -90,26 +137,38 @@ def _parsed(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _scanned(spark: SparkSession, columns: Sequence[str], paths: Sequence[str]) -> DataFrame:
+def _scanned(
+    spark: SparkSession, columns: Sequence[str], paths: Sequence[str], multi_line: bool
+) -> DataFrame:
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    rows = spark.read.schema(schema).options(header=True, **CSV_OPTIONS).csv(list(paths))
+    rows = spark.read.schema(schema).options(header=True, multiLine=multi_line, **CSV_OPTIONS).csv(list(paths))
     return rows.select("*", decoded_path(F.col("_metadata.file_path")).alias("source_path"))
 
 
 def read_text_columns(
-    spark: SparkSession, header: str, clean: Sequence[str], dirty: Sequence[str]
+    spark: SparkSession, header: str, paths: Sequence[str], marked: Marks
 ) -> DataFrame:
     """Files with one header, all columns as text, and `source_path`.
 
-    Clean files go through Spark's CSV scan. Files with NUL bytes are read as lines, freed of them
-    and parsed after that, as a NUL next to a quote would mislead the scan.
+    Plain files go through Spark's CSV scan, which splits large ones. Files with line breaks inside
+    quotes go through it file by file. Files with NUL bytes are read as lines, freed of them and
+    parsed after that, as a NUL next to a quote would mislead the scan; with quoted line breaks as
+    well they are parsed as a stream, one task per file.
     """
     columns = next(csv.reader([header]), [])
+    kinds: dict[tuple[bool, bool], list[str]] = defaultdict(list)
+    for path in paths:
+        kinds[path in marked.nul, path in marked.broken].append(path)
     parts = []
-    if clean:
-        parts.append(_scanned(spark, columns, clean))
-    if dirty:
-        parts.append(_parsed(sanitized_lines(spark, header, dirty), columns))
+    for (nul, broken), own in sorted(kinds.items()):
+        if not nul:
+            parts.append(_scanned(spark, columns, own, broken))
+        elif not broken:
+            parts.append(_parsed(sanitized_lines(spark, header, own), columns))
+        else:
+            files = spread(spark.createDataFrame([(p,) for p in own], "path string"))
+            ddl = ", ".join([*(f"c{i} string" for i in range(len(columns))), "source_path string"])
+            parts.append(files.mapInPandas(_whole_file_rows(len(columns)), ddl).toDF(*columns, "source_path"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -129,12 +188,10 @@ def read_csv(
     groups = headers(files)
     if not groups:
         raise ValueError("no files to read")
-    nul = with_nul(spark, [p for paths in groups.values() for p in paths])
+    marked = marks(spark, [p for paths in groups.values() for p in paths])
     parts = []
     for header, paths in groups.items():
-        clean = [p for p in paths if p not in nul]
-        dirty = [p for p in paths if p in nul]
-        rows = rename_known(read_text_columns(spark, header, clean, dirty), names)
+        rows = rename_known(read_text_columns(spark, header, paths, marked), names)
         times = {
             c: parse_time(quoted(c))
             for c, t in types.items()

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Mapping
 
-import pandas as pd
+from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demand_engine.functions.measures import nan_to_null
 from demand_engine.operators.tables import DATE_PARTITION
 from demand_engine.sources.files import exists
 
@@ -42,19 +42,6 @@ def save_trips(df: DataFrame, path: str) -> str:
     return path
 
 
-def from_pandas(spark: SparkSession, frame: pd.DataFrame) -> DataFrame:
-    """A pandas frame with its index as a column; NaN becomes null."""
-    table = spark.createDataFrame(frame.reset_index())
-    return table.withColumns(
-        {
-            f.name: nan_to_null(F.col(f.name)) if f.dataType.typeName() == "double"
-            else F.col(f.name).cast("timestamp_ntz")
-            for f in table.schema.fields
-            if f.dataType.typeName() in ("double", "timestamp")
-        }
-    )
-
-
 def save_model(model: PipelineModel, path: str) -> str:
     model.write().overwrite().save(path)
     return path
@@ -84,7 +71,12 @@ def log_run(
 
 
 def load_runs(spark: SparkSession, path: str) -> DataFrame:
-    """The run log; empty where none was written yet."""
-    if not exists(spark, path):
-        return spark.createDataFrame([], RUN_SCHEMA)
-    return spark.read.schema(RUN_SCHEMA).parquet(path)
+    """The run log; empty where none was written yet or where what is there can't be read."""
+    if exists(spark, path):
+        runs = spark.read.schema(RUN_SCHEMA).parquet(path)
+        try:
+            runs.agg(F.count("run_id"), F.max("start_time"), F.max("rmse"), F.max(F.size("params"))).first()
+            return runs
+        except PySparkException:
+            logging.getLogger(__name__).warning("the run log at %s can't be read", path)
+    return spark.createDataFrame([], RUN_SCHEMA)

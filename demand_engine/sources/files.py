@@ -37,6 +37,12 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
+def rename(spark: SparkSession, path: str, new: str) -> None:
+    fs, where = _hadoop(spark, path)
+    if not fs.rename(where, spark._jvm.org.apache.hadoop.fs.Path(new)):
+        raise OSError(f"{path} can't be renamed to {new}")
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     fs, where = _hadoop(spark, path)
     out = fs.create(where, True)
@@ -103,10 +109,9 @@ def base_name(name: Column) -> Column:
 
 
 def trip_files(listing: DataFrame) -> DataFrame:
-    """The trip files of a listing, by name."""
-    return listing.where(F.col("name").endswith(".csv") & F.col("name").contains("trip")).orderBy(
-        "name"
-    )
+    """The trip files of a listing, by name: CSV files with "trip" in their own name, not a folder's."""
+    own = base_name(F.col("name"))
+    return listing.where(own.endswith(".csv") & own.contains("trip")).orderBy("name")
 
 
 def matching(listing: DataFrame, pattern: str) -> DataFrame:

@@ -68,7 +68,7 @@ def test_nul_bytes(spark, tmp_path, content, clean):
     header, *rows = clean.decode().splitlines()
     uri = listed(spark, tmp_path).first()["path"]
     assert C.headers(listed(spark, tmp_path)) == {header: [uri]}
-    assert C.with_nul(spark, [uri]) == {uri}
+    assert C.marks(spark, [uri]).nul == {uri}
     got = C.sanitized_lines(spark, header, [uri])
     assert sorted(r["line"] for r in got.collect()) == sorted(rows)
 
@@ -239,3 +239,16 @@ def test_a_missing_station_list_is_an_error(spark, tmp_path):
     lists = [StationSnapshot(0, "*_Stations.csv", datetime(2011, 1, 1))]
     with pytest.raises(ValueError, match="no files"):
         stations_table.read_snapshots(files.list_objects(spark, str(tmp_path)), lists)
+
+
+def test_line_breaks_in_quotes(spark, tmp_path):
+    body = 'bikeid,start station name\n1,"Two\nLines"\n2,plain\n3,"a ""b"",\n\nc"\n'
+    put(tmp_path, "trips/stations.csv", "Number,Name\n1,x\n")  # a folder's name makes no trips
+    put(tmp_path, "1-trips.csv", body)
+    put(tmp_path, "2-trips.csv", body.replace("Two", "T\x00wo").replace('"a', '\x00"a'))
+    put(tmp_path, "3-trips.csv", "bikeid,start station name\n9,plain\n")
+    got = C.read_trip_csv(listed(spark, tmp_path), root_of(spark, tmp_path)).collect()
+    own = [("1", "Two\nLines"), ("2", "plain"), ("3", 'a "b",\n\nc')]
+    assert sorted((r["source_file"], r["bike_id"], r["start_station_name"]) for r in got) == [
+        *(("1-trips.csv", *r) for r in own), *(("2-trips.csv", *r) for r in own), ("3-trips.csv", "9", "plain")
+    ]

@@ -74,6 +74,19 @@ def test_hot_key_reaches_many_partitions(skewed, spark):
     assert len(missing) >= 4 and sum(r["count"] for r in missing) == 3000
 
 
+def test_equal_rows_of_a_hot_key_are_split_evenly(spark):
+    """Nothing but the place of a row tells these apart."""
+    facts = spark.createDataFrame([("hot",)] * 8000 + [("cold",)] * 80, "name string").repartition(4)
+    dim = spark.createDataFrame([("hot", 1), ("cold", 2)], "name string, docks int")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        spread = spread_left_join(facts, dim, ["name"], 8)
+        sizes = spread.where("name = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) >= 4 and sum(r["count"] for r in sizes) == 8000
+
+
 def test_shared_names_get_a_suffix(spark):
     left = spark.createDataFrame([(1, "l")], "k int, temp string")
     right = spark.createDataFrame([(1, "r")], "k int, temp string")

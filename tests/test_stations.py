@@ -1,4 +1,5 @@
-from datetime import datetime
+import bisect
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -168,12 +169,18 @@ def test_versions(spark, as_table):
     assert {r["started_at"]: r["station_version"] for r in got.collect()} == DATES
 
 
-def test_a_long_validity_table_is_refused(spark, monkeypatch):
-    monkeypatch.setattr(S, "MAX_VALIDITY_DATES", 3)
-    validity = spark.range(5).select(
-        F.expr("timestamp_ntz'2020-01-01' + make_dt_interval(cast(id AS int))").alias("effective_from"),
-        F.col("id").alias("station_version"),
+def test_validity_tables_have_no_limit(spark):
+    """Twelve thousand dates half a day apart, gaps, ties, a null, and times on every edge."""
+    entries = [(datetime(2000, 1, 1) + timedelta(hours=12 * k), k) for k in range(12_000) if k % 50 < 45]
+    validity = spark.createDataFrame(
+        [*entries, (entries[7][0], 3), (None, 5)], "effective_from timestamp_ntz, station_version int"
     )
-    df = spark.createDataFrame([(NOON,)], "t timestamp_ntz")
-    with pytest.raises(Exception, match="too many validity dates"):
-        S.version_as_of(df, "t", validity).collect()
+    start = datetime(1999, 12, 25)
+    times = [start + timedelta(hours=7 * k, minutes=k % 3) for k in range(25_000)] + [d for d, _ in entries[:500]]
+    df = spark.createDataFrame([(t,) for t in [*times, None]], "t timestamp_ntz")
+    firsts = [d for d, _ in entries]
+    got = S.version_as_of(df, "t", validity).collect()
+    assert len(got) == len(times) + 1
+    for r in got:
+        place = 0 if r["t"] is None else max(bisect.bisect_right(firsts, r["t"]) - 1, 0)
+        assert r["station_version"] == entries[place][1]

@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from demand_engine.operators import weather as W
-from demand_engine.sources.datasets import from_pandas
 from demand_engine.sources.weather_cache import WeatherCache
 
 
@@ -61,12 +60,10 @@ def test_newer_part_wins_and_nulls_count(spark):
 
 
 def test_observations_are_checked(spark):
-    frame = pd.DataFrame(
-        {"rhum": [50.0, float("nan")], "temp": [1.0, 2.0]},
-        index=pd.DatetimeIndex(["2024-01-01 00:00", "2024-01-01 01:00"], name="time"),
+    raw = spark.createDataFrame(
+        [(at(0), 50.0, 1.0), (at(1), float("nan"), 2.0)],
+        "time timestamp_ntz, rhum double, temp double",
     )
-    raw = from_pandas(spark, frame)
-    assert dict(raw.dtypes) == {"time": "timestamp_ntz", "rhum": "double", "temp": "double"}
     got = W.as_weather(raw).orderBy("time").collect()
     assert [r["rhu"] for r in got] == [50.0, None]
     assert len(got[0]) == 12
