@@ -19,9 +19,19 @@ FIRST_OF_TRIP = {
 }
 
 
+def trip_order(columns: Sequence[str]) -> Column:
+    """Order of the trips of one hour, as one number: start time, then a hash of the given columns.
+
+    Trips that tie in both are alike in those columns but for one chance in 2^31.
+    """
+    micros = F.pmod(F.unix_micros(F.col("started_at").cast("timestamp")), F.lit(3_600_000_000))
+    content = F.pmod(F.xxhash64(*(F.col(c) for c in columns)), F.lit(1 << 31))
+    return micros * F.lit(1 << 31) + content
+
+
 def station_hours(
     trips: DataFrame,
-    order_by: str | Column = "started_at",
+    order_by: str | Column | None = None,
     count_name: str = "demand",
     firsts: Mapping[str, str] | None = None,
 ) -> DataFrame:
@@ -29,14 +39,17 @@ def station_hours(
 
     `firsts` lists what to take from that trip, input column -> output column.
 
-    `order_by` decides which trip is first; give a number or time that is unique for a result that
-    does not depend on the run. All values and the order key are fixed-width, so that Spark
+    `order_by` decides which trip is first, a number or time that should be unique. Without it the
+    first to start is, and among those the one with the least hash of what is taken from it, so that
+    the result does not depend on the run. All values and the order key are fixed-width, so that Spark
     aggregates in a hash map before the shuffle: a busy station adds one row per task and hour, not
     one per trip.
     """
-    key = F.col(order_by) if isinstance(order_by, str) else order_by
     if firsts is None:
         firsts = FIRST_OF_TRIP | {c: c for c in WEATHER_FILLS}
+    key = F.col(order_by) if isinstance(order_by, str) else order_by
+    if key is None:
+        key = trip_order(list(firsts))
     hours = trips.groupBy(
         hour_number(F.col("started_at")).alias("__hour"),
         F.col("start_station_name").alias("station"),
@@ -86,7 +99,7 @@ def add_calendar(
 
 def demand_features(
     trips: DataFrame,
-    order_by: str | Column = "started_at",
+    order_by: str | Column | None = None,
     count_name: str = "demand",
     fills: Mapping[str, float | str] = WEATHER_FILLS,
     weekend_days: Sequence[int] = WEEKEND_DAYS,

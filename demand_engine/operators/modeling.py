@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -19,13 +20,17 @@ from demand_engine.functions.times import DAYS_PER_MONTH, days_before, ntz
 from demand_engine.operators.tables import quoted
 from demand_engine.schemas import FEATURE_COLUMNS
 
-# Seed, windows and search size of a training run.
+# Seed, windows, search size and rounds without gain of a training run.
 SEED = 42
 TEST_MONTHS = 3
 TRIALS = 20
+PATIENCE = 50
 
 TRAIN, VALIDATION, TEST = "train", "val", "test"
 
+# Trials of a search that run at once.
+SIDE_BY_SIDE = 4
+
 # Spark's trees go no deeper than this.
 MAX_DEPTH = 30
 
@@ -130,28 +135,78 @@ def feature_matrix(
     return assembler().transform(rows).select(*keep, "features", "label")
 
 
+def _vectors(df: DataFrame, label: str, keep: Sequence[str] = ()) -> DataFrame:
+    rows = df.select(*FEATURE_COLUMNS, F.col(label).cast("double").alias("label"), *keep)
+    return assembler().transform(rows)
+
+
+def _trees(params: Mapping[str, object], seed: int) -> GBTRegressor:
+    trees = GBTRegressor(featuresCol="features", labelCol="label", seed=seed)
+    return trees.setParams(**gbt_settings(params))
+
+
 def train_model(
     df: DataFrame,
     params: Mapping[str, object] | None = None,
     label: str = "demand",
-    validate_on: str | None = None,
     seed: int = SEED,
 ) -> PipelineModel:
-    """Boosted regression trees on the feature table.
+    """Boosted regression trees on the feature table."""
+    fitted = _trees(params or {}, seed).fit(_vectors(df, label))
+    return PipelineModel(stages=[assembler(), fitted])
+
+
+def best_round(errors: Sequence[float], patience: int = PATIENCE) -> tuple[int, bool]:
+    """(number of rounds with the least error, whether `patience` rounds without gain follow it)."""
+    best = 0
+    for number, error in enumerate(errors):
+        if error < errors[best]:
+            best = number
+        elif number - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+@dataclass(frozen=True)
+class Boosting:
+    """Boosting that was watched on held-out rows: the rounds to keep and the RMSE after each round."""
+
+    rounds: int
+    errors: list[float]
+
+    @property
+    def rmse(self) -> float:
+        return self.errors[self.rounds - 1]
 
-    `validate_on` names a boolean column marking rows that are not trained on but end the boosting
-    once their error stops falling.
+
+def watch_boosting(
+    df: DataFrame,
+    params: Mapping[str, object],
+    validate_on: str,
+    label: str = "demand",
+    seed: int = SEED,
+    patience: int = PATIENCE,
+) -> Boosting:
+    """How many rounds to boost: until the RMSE of the rows marked by `validate_on` has not improved
+    for `patience` rounds, or as many as the parameters allow.
+
+    Rounds are fitted in blocks, each twice as many as before, so that a trial which stops early
+    doesn't pay for all it might have had. A seed gives each block the same first trees. The error
+    after every round comes from one pass over the held-out rows.
     """
-    trees = GBTRegressor(featuresCol="features", labelCol="label", seed=seed)
-    trees.setParams(**gbt_settings(params or {}))
-    if validate_on is not None:
-        trees.setValidationIndicatorCol(validate_on)
-    vectors = assembler()
-    columns = [*FEATURE_COLUMNS, F.col(label).cast("double").alias("label")]
-    if validate_on is not None:
-        columns.append(validate_on)
-    fitted = trees.fit(vectors.transform(df.select(*columns)))
-    return PipelineModel(stages=[vectors, fitted])
+    table = _vectors(df, label, [validate_on])
+    fitted_on, held_out = table.where(~F.col(validate_on)), table.where(F.col(validate_on))
+    if held_out.isEmpty() or fitted_on.isEmpty():
+        raise ValueError("boosting needs rows to fit on and rows to validate on")
+    most = int(params.get("n_estimators", GBTRegressor().getMaxIter()))
+    block = min(most, 2 * patience)
+    while True:
+        model = _trees({**params, "n_estimators": block}, seed).fit(fitted_on)
+        errors = [math.sqrt(e) for e in model.evaluateEachIteration(held_out, "squared")]
+        rounds, stopped = best_round(errors, patience)
+        if stopped or block == most:
+            return Boosting(rounds, errors[: rounds + patience])
+        block = min(most, 2 * block)
 
 
 def scorer(model: PipelineModel):
@@ -188,22 +243,23 @@ def search(
     label: str = "demand",
     seed: int = SEED,
 ) -> list[dict[str, object]]:
-    """Random search: fit on `train`, stop early and score on `val`; the trials, best first.
+    """Random search: fit on `train`, stop early by `val`; the trials, best first, with their rounds.
 
     The trial points are drawn up front from the seed. Each fit is a distributed Spark job over the
-    same table, which the caller keeps (see `plans.train`).
+    same table, which the caller keeps (see `plans.train`); a few trials run side by side.
     """
     rng = random.Random(seed)
     drawn = [{name: r.draw(rng) for name, r in space.items()} for _ in range(trials)]
     rows = df.where(F.col("split").isin(TRAIN, VALIDATION)).withColumn(
         "held_out", F.col("split") == VALIDATION
     )
-    held_out = rows.where(F.col("held_out"))
-    results = []
-    for number, params in enumerate(drawn):
-        model = train_model(rows, params, label, validate_on="held_out", seed=seed)
-        rmse = evaluate(model, held_out, label)["rmse"]
-        results.append({"trial": number, "rmse": rmse, "params": params})
+
+    def tried(number: int) -> dict[str, object]:
+        found = watch_boosting(rows, drawn[number], "held_out", label, seed)
+        return {"trial": number, "rmse": found.rmse, "rounds": found.rounds, "params": drawn[number]}
+
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        results = list(pool.map(tried, range(trials)))
     return sorted(results, key=lambda t: (t["rmse"], t["trial"]))
 
 

@@ -29,7 +29,7 @@ def prediction_report(
     score: Scorer,
     start: datetime,
     end: datetime,
-    order_by: str | Column = "started_at",
+    order_by: str | Column | None = None,
     ordered: bool = True,
 ) -> DataFrame:
     """Station-hours of a closed time range with `actual`, `predicted` and `error`.

@@ -23,6 +23,7 @@ from demand_engine.operators.modeling import (
     chronological_split,
     evaluate,
     search,
+    split_counts,
     train_model,
     with_tuned_prefix,
 )
@@ -38,12 +39,15 @@ def train(
     as_of: datetime | None = None,
     trials: int = TRIALS,
     test_months: int = TEST_MONTHS,
-    order_by: str = "started_at",
+    order_by: str | None = None,
     space: Mapping[str, Range] = SEARCH_SPACE,
     days_per_month: int = DAYS_PER_MONTH,
 ) -> dict[str, object]:
     """Fit on everything before the test window, score on it, save the model, log the run.
 
+    An empty window is an error before anything is fitted. A search stops each trial by its error on
+    the validation window; the final fit has as many rounds as the best trial's best.
+
     The feature table is written once to the reliable checkpoint folder, since each fit reads it
     many times. Parameters of the best logged run are reused; only without any is there a search.
     """
@@ -55,9 +59,14 @@ def train(
         )
     )
 
+    sizes = split_counts(data).first().asDict()
+    if empty := [name for name, rows in sizes.items() if not rows]:
+        raise ValueError(f"nothing to fit or to score: {', '.join(empty)} is 0")
+
     params = best_parameters(load_runs(spark, runs_path))
     if params is None:
-        params = search(data, trials, space)[0]["params"]
+        best = search(data, trials, space)[0]
+        params = {**best["params"], "n_estimators": best["rounds"]}
     model = train_model(data.where(F.col("split").isin(TRAIN, VALIDATION)), params)
     metrics = evaluate(model, data.where(F.col("split") == TEST))
     save_model(model, model_path)

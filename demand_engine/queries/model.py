@@ -189,11 +189,16 @@ def train_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def early_stopping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boosting that may stop early on the validation rows; scores of those rows."""
+    """The error of the validation rows after every round, and the round at which boosting ends.
+
+    Ten rounds without gain end it here, fifty in a job.
+    """
     rows = _features(spark, sf_dir).where(F.col("split") != M.TEST)
     rows = rows.withColumn("held_out", F.col("split") == M.VALIDATION)
-    model = M.train_model(rows, {"max_depth": 3, "n_estimators": 8}, validate_on="held_out")
-    return M.regression_metrics(model.transform(rows.where("held_out")), "demand")
+    found = M.watch_boosting(rows, {"max_depth": 3, "n_estimators": 40, "learning_rate": 0.3}, "held_out", patience=10)
+    return spark.createDataFrame(
+        [(k, e, k == found.rounds) for k, e in enumerate(found.errors, 1)], "round int, rmse double, chosen boolean"
+    )
 
 
 @query()
@@ -201,8 +206,8 @@ def random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trials of a search, best first."""
     found = M.search(_features(spark, sf_dir), 2, _SMALL_SPACE)
     return spark.createDataFrame(
-        [(t["trial"], t["rmse"], {k: str(v) for k, v in t["params"].items()}) for t in found],
-        "trial int, rmse double, params map<string,string>",
+        [(t["trial"], t["rmse"], t["rounds"], {k: str(v) for k, v in t["params"].items()}) for t in found],
+        "trial int, rmse double, rounds int, params map<string,string>",
     )
 
 

@@ -6,6 +6,7 @@ import logging
 import uuid
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -77,6 +78,6 @@ def load_runs(spark: SparkSession, path: str) -> DataFrame:
         try:
             runs.agg(F.count("run_id"), F.max("start_time"), F.max("rmse"), F.max(F.size("params"))).first()
             return runs
-        except PySparkException:
+        except (PySparkException, Py4JJavaError):
             logging.getLogger(__name__).warning("the run log at %s can't be read", path)
     return spark.createDataFrame([], RUN_SCHEMA)

@@ -1,3 +1,4 @@
+import random
 import zipfile
 from datetime import datetime, timedelta
 
@@ -6,13 +7,14 @@ from pyspark.sql import functions as F
 
 from demand_engine.functions.times import hour_of
 from demand_engine.operators import modeling as M
-from demand_engine.operators.demand import demand_features
+from demand_engine.operators.demand import demand_features, station_hours
 from demand_engine.operators.report import prediction_report
 from demand_engine.operators.weather import clamped
 from demand_engine.plans.prepare import prepare, whole_days
 from demand_engine.plans.train import train
 from demand_engine.queries import views
-from demand_engine.schemas import FEATURE_COLUMNS
+from demand_engine.schemas import FEATURE_COLUMNS, WEATHER_FILLS
+from demand_engine.session import shared_dir
 from demand_engine.sources.datasets import load_model, load_runs, load_table, log_run
 
 SPACE = {
@@ -126,6 +128,66 @@ def test_search_is_repeatable_and_sorted(spark, small):
     assert first[0]["rmse"] <= first[1]["rmse"]
 
 
+def test_rounds_end_fifty_after_the_best():
+    falling = [10 - k / 10 for k in range(60)]
+    assert M.best_round(falling) == (60, False)
+    assert M.best_round([*falling, *[9.0] * 49]) == (60, False)
+    assert M.best_round([*falling, *[9.0] * 50, 0.0]) == (60, True)
+    assert M.best_round([1.0]) == (1, False)
+
+
+def test_a_slow_rate_keeps_many_rounds(spark, small):
+    """Each round gains less than one part in a hundred; boosting has to go on all the same."""
+    rows = demand_features(views.enriched(spark, small), "ride_id", ordered=False)
+    rows = rows.withColumn("demand", F.col("hour") * 3 + F.col("weekday")).withColumn("held", F.col("hour") % 5 == 0)
+    found = M.watch_boosting(rows.cache(), {"max_depth": 2, "learning_rate": 0.05, "n_estimators": 30}, "held", patience=5)
+    assert found.rounds > 20 and found.rmse == min(found.errors)
+    with pytest.raises(ValueError, match="validate"):
+        M.watch_boosting(rows.where("NOT held"), {}, "held")
+
+
+def test_an_empty_window_fails_before_any_fit(spark, small, tmp_path, monkeypatch):
+    monkeypatch.setattr(M, "_trees", None)  # a fit would raise another error
+    with pytest.raises(ValueError, match="test_rows is 0"):
+        train(views.enriched(spark, small), str(tmp_path / "m"), str(tmp_path / "r"), datetime(2030, 1, 1), days_per_month=10)
+
+
+def test_metrics_of_equal_labels_and_a_broken_log(spark, tmp_path):
+    def r2(rows):
+        return M.regression_metrics(spark.createDataFrame(rows, "label double, prediction double")).first()["r2"]
+
+    assert r2([(2.0, 2.0), (2.0, 2.0)]) == 1.0 and r2([(2.0, 1.0), (2.0, 2.0)]) == 0.0
+    (tmp_path / "runs").mkdir()
+    (tmp_path / "runs" / "part-0.parquet").write_bytes(b"no parquet")
+    assert M.best_parameters(load_runs(spark, str(tmp_path / "runs"))) is None
+    with pytest.raises(ValueError, match="deeper"):
+        M.gbt_settings({"max_depth": 31})
+
+
+def test_the_first_trip_does_not_depend_on_the_order_of_rows(spark):
+    noon = datetime(2024, 1, 5, 12)
+    rows = [(noon if k % 3 else noon.replace(minute=1), "a", float(k), 1.0, k, *([float(k)] * 6)) for k in range(60)]
+    schema = "started_at timestamp_ntz, start_station_name string, start_lat double, start_lng double, start_station_total_docks int, " + ", ".join(f"{c} double" for c in WEATHER_FILLS)
+    seen = set()
+    for seed in range(4):
+        shuffled = spark.createDataFrame(random.Random(seed).sample(rows, 60), schema).repartition(seed + 1)
+        seen |= {tuple(r) for r in station_hours(shuffled).collect()}
+    assert len(seen) == 1 and next(iter(seen))[2] == 60
+
+
+@pytest.mark.parametrize(("master", "local"), [("local", True), ("local[8]", True), ("local-cluster[3,2,1000]", False), ("yarn", False), ("spark://h:7077", False)])
+def test_only_local_runs_may_use_a_local_folder(master, local):
+    class Unset:
+        conf = type("C", (), {"get": staticmethod(lambda key, default: default)})
+        sparkContext = type("S", (), {"master": master, "getCheckpointDir": staticmethod(lambda: None), "setCheckpointDir": staticmethod(lambda path: None)})
+
+    if local:
+        assert shared_dir(Unset)
+    else:
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_dir(Unset)
+
+
 TRIP_CSV = (
     "tripduration,starttime,stoptime,start station name,start station latitude,"
     "start station longitude,end station name,bikeid,usertype,gender\n"
