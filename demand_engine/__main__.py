@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import argparse
-from datetime import datetime
+from datetime import datetime, time
 
+from pyspark.sql import functions as F
+
+from demand_engine.functions.times import previous_month
 from demand_engine.operators.modeling import TEST_MONTHS, TRIALS, scorer
-from demand_engine.operators.report import prediction_report
 from demand_engine.operators.tables import between
 from demand_engine.plans.prepare import prepare, whole_days
+from demand_engine.plans.report import write_report
 from demand_engine.plans.train import train
+from demand_engine.schemas import STATION_SNAPSHOTS, with_files
 from demand_engine.session import engine_session
-from demand_engine.sources.datasets import load_model, load_table, save_table
+from demand_engine.sources.datasets import load_model, load_table
 
 
 def _arguments() -> argparse.Namespace:
@@ -22,16 +26,17 @@ def _arguments() -> argparse.Namespace:
     job.add_argument("source_dir")
     job.add_argument("work_dir")
     job.add_argument("observations", help="Parquet table of hourly weather observations")
+    job.add_argument("--station-files", nargs="+", metavar="NAME", help="exact names of the station lists, by version")
 
     job = jobs.add_parser("train", help="fit and log a model")
     job.add_argument("work_dir")
     job.add_argument("--trials", type=int, default=TRIALS)
     job.add_argument("--test-months", type=int, default=TEST_MONTHS)
 
-    job = jobs.add_parser("report", help="write actual against predicted demand")
+    job = jobs.add_parser("report", help="write actual against predicted demand, its hours and its map")
     job.add_argument("work_dir")
-    job.add_argument("first_day", type=datetime.fromisoformat)
-    job.add_argument("last_day", type=datetime.fromisoformat)
+    for day in ("first_day", "last_day"):
+        job.add_argument(day, type=datetime.fromisoformat, nargs="?", help="default: the previous month")
     return parser.parse_args()
 
 
@@ -40,9 +45,14 @@ def main() -> None:
     spark = engine_session()
     if args.job == "prepare":
         observed = load_table(spark, args.observations)
+        lists = with_files(args.station_files) if args.station_files else STATION_SNAPSHOTS
         print(
             prepare(
-                spark, args.source_dir, args.work_dir, lambda a, b: between(observed, "time", a, b)
+                spark,
+                args.source_dir,
+                args.work_dir,
+                lambda a, b: between(observed, "time", a, b),
+                lists,
             )
         )
         return
@@ -51,10 +61,15 @@ def main() -> None:
     if args.job == "train":
         print(train(trips, model, f"{args.work_dir}/runs", None, args.trials, args.test_months))
         return
-    report = prediction_report(
-        trips, scorer(load_model(model)), *whole_days(args.first_day, args.last_day)
-    )
-    print(save_table(report, f"{args.work_dir}/report"))
+    if args.last_day is None:
+        month = previous_month(F.current_date())
+        days = spark.range(1).select(*(c.alias(name) for name, c in month.items())).first()
+        first, last = (datetime.combine(d, time.min) for d in days)
+        days = whole_days(args.first_day or first, last)
+    else:
+        days = whole_days(args.first_day, args.last_day)
+    for path in write_report(spark, trips, scorer(load_model(model)), *days, args.work_dir):
+        print(path)
 
 
 if __name__ == "__main__":

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from demand_engine.schemas import StationSnapshot, STATION_SNAPSHOTS
+from demand_engine.schemas import StationSnapshot, STATION_SNAPSHOTS, with_files
 from demand_engine.sources import csv_files as C
 from demand_engine.sources import files, landing, stations_table, trips_table
 
@@ -241,6 +241,16 @@ def test_a_missing_station_list_is_an_error(spark, tmp_path):
         stations_table.read_snapshots(files.list_objects(spark, str(tmp_path)), lists)
 
 
+def test_exact_names_of_station_lists(spark, tmp_path):
+    names = ["one.csv", "two.csv", "three.csv"]
+    for number, name in enumerate([*names, "other two.csv"]):
+        put(tmp_path, name, f"Name,Total docks\nS{number},{number}\n")
+    rows = stations_table.read_snapshots(files.list_objects(spark, str(tmp_path)), with_files(names)).collect()
+    assert sorted((r["station_version"], r["station_name"]) for r in rows) == [(0, "S0"), (1, "S1"), (2, "S2")]
+    with pytest.raises(ValueError, match="3 station files"):
+        with_files(["a.csv"])
+
+
 def test_line_breaks_in_quotes(spark, tmp_path):
     body = 'bikeid,start station name\n1,"Two\nLines"\n2,plain\n3,"a ""b"",\n\nc"\n'
     put(tmp_path, "trips/stations.csv", "Number,Name\n1,x\n")  # a folder's name makes no trips

@@ -11,6 +11,7 @@ from demand_engine.operators.demand import demand_features, station_hours
 from demand_engine.operators.report import prediction_report
 from demand_engine.operators.weather import clamped
 from demand_engine.plans.prepare import prepare, whole_days
+from demand_engine.plans.report import write_report
 from demand_engine.plans.train import train
 from demand_engine.queries import views
 from demand_engine.schemas import FEATURE_COLUMNS, WEATHER_FILLS
@@ -238,10 +239,12 @@ def test_prepare_from_raw_files_to_a_report(spark, tmp_path):
 
     features = demand_features(trips, "started_at")
     assert [r["demand"] for r in features.collect()] == [2, 1, 2, 1, 2, 1]
-    report = prediction_report(
-        trips, lambda f: f.withColumn("prediction", F.lit(1.4)),
-        *whole_days(datetime(2018, 1, 2), datetime(2018, 1, 2)),
-    )
+    def score(f):
+        return f.withColumn("prediction", F.lit(1.4))
+
+    paths = write_report(spark, trips, score, *whole_days(datetime(2018, 1, 2), datetime(2018, 1, 3)), work)
+    assert [load_table(spark, p).count() for p in paths] == [4, 26, 4, 4]
+    report = prediction_report(trips, score, *whole_days(datetime(2018, 1, 2), datetime(2018, 1, 2)))
     assert [(r["actual"], r["predicted"], r["error"]) for r in report.collect()] == [(2, 1, 1), (1, 1, 0)]
     plan = report._jdf.queryExecution().executedPlan().toString()
     assert "started_date" in plan.split("PartitionFilters: ", 1)[1].split("]")[0]
