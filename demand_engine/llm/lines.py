@@ -5,9 +5,10 @@ goes if an earlier line's form is within one edit of its own. Order is by docume
 text, and line number.
 
 1. Equal forms meet by a 128-bit hash; only a form's first place matters from there on.
-2. A form within one edit of another shares either its first half or its last half with it. Forms
-   that share no half with any other have no neighbour; all others emit the hash of each variant with
-   one character deleted, and of themselves.
+2. A form within one edit of another shares either its first half or its last half with it, and of
+   any number of parts all but one. Forms that share no half, or not all parts but one, with any other
+   have no neighbour; all others emit the hash of each variant with one character deleted, and of
+   themselves.
 3. Two forms of one length are within one edit if and only if they give the same variant by deleting
    at the same place; two whose lengths differ by one, if a variant of the longer is the shorter. Both
    are joins on hashed keys in which no pairs of a group are formed: each member meets the group's
@@ -33,6 +34,8 @@ from demand_engine.session import cut_lineage
 MIN_CHARS = 16
 #: Places looked up by broadcast; more of them are joined by a shuffle of the texts.
 BROADCAST_PLACES = 1_000_000
+#: Parts for the second test.
+PARTS = 16
 _PRIME = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _INVERSE = pow(_PRIME, -1, 1 << 64)
@@ -85,44 +88,81 @@ def _polynomial(codes: np.ndarray, powers: np.ndarray) -> tuple[np.ndarray, int]
     return variants, int(sums[-1])
 
 
-def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task function: candidate lines of documents -> their variants' hashes by place, and the form itself at -1."""
-    powers = np.ones(1, dtype=np.uint64)
+def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task function: documents and their wanted lines -> the lines' normal forms."""
     for batch in batches:
+        rows = []
         for text, wanted in zip(batch.column("text"), batch.column("wanted")):
             lines = text.as_py().split("\n")
-            for entry in wanted.as_py():
-                form = normal_form(lines[entry["line"]])
-                codes = np.frombuffer(form.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64) + np.uint64(1)
-                while len(powers) < len(codes):
-                    powers = np.concatenate([powers, powers * np.uint64(pow(_PRIME, len(powers), 1 << 64))])
-                variants, whole = _polynomial(codes, powers)
-                n = len(variants) + 1
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.append(variants, np.uint64(whole)).view(np.int64)),
-                        pa.array(np.append(np.arange(n - 1), -1), pa.int32()),
-                        pa.array(np.full(n, entry["h1"])),
-                        pa.array(np.full(n, entry["h2"])),
-                        pa.array([None] * (n - 1) + [form], pa.string()),
-                    ],
-                    ["variant", "place", "h1", "h2", "form"],
-                )
+            rows += [(e["h1"], e["h2"], normal_form(lines[e["line"]])) for e in wanted.as_py()]
+        h1, h2, form = zip(*rows) if rows else ((), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(form, pa.string())], ["h1", "h2", "form"])
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task function: forms -> a hash of all parts but one, for each of them.
+
+    The parts are those of the form's own length and of one less, so that a form and one that is
+    longer by a character have the parts of the shorter in common.
+    """
+    for batch in batches:
+        owner, keys = [], []
+        for i, form in enumerate(batch.column("form")):
+            text = form.as_py()
+            n = len(text)
+            found = set()
+            for size in (n, n - 1):
+                for q in range(PARTS):
+                    low, high = q * size // PARTS, (q + 1) * size // PARTS
+                    rest = f"{size} {q} {text[:low]}\n{text[n - (size - high) :]}"
+                    found.add(struct.unpack("<q", hashlib.blake2b(rest.encode(), digest_size=8).digest())[0])
+            owner += [i] * len(found)
+            keys += found
+        at = pa.array(owner, pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column("h1").take(at), batch.column("h2").take(at), pa.array(keys, pa.int64())], ["h1", "h2", "key"])
+
+
+def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task function: forms -> their variants' hashes by place, and the form itself at -1."""
+    powers = np.ones(1, dtype=np.uint64)
+    for batch in batches:
+        for h1, h2, form in zip(*(batch.column(c).to_pylist() for c in ("h1", "h2", "form"))):
+            codes = np.frombuffer(form.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64) + np.uint64(1)
+            while len(powers) < len(codes):
+                powers = np.concatenate([powers, powers * np.uint64(pow(_PRIME, len(powers), 1 << 64))])
+            variants, whole = _polynomial(codes, powers)
+            n = len(variants) + 1
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.append(variants, np.uint64(whole)).view(np.int64)),
+                    pa.array(np.append(np.arange(n - 1), -1), pa.int32()),
+                    pa.array(np.full(n, h1)),
+                    pa.array(np.full(n, h2)),
+                ],
+                ["variant", "place", "h1", "h2"],
+            )
+
+
+def _sharing(keys: DataFrame) -> DataFrame:
+    """(h1, h2) of forms that have a key in common with another form; keys: (h1, h2, key), distinct."""
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("key")
+    return cut_lineage(keys.join(shared, "key", "left_semi").select("h1", "h2").distinct())
 
 
 def _late_forms(documents: DataFrame, forms: DataFrame) -> DataFrame:
     """(h1, h2) of forms that have an earlier form within one edit."""
     keys = forms.select("h1", "h2", F.explode(F.array("k0", "k1", "k2", "k3")).alias("key")).where(F.col("key").isNotNull())
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("key")
-    meeting = cut_lineage(keys.join(shared, "key", "left_semi").select("h1", "h2").distinct())
-    candidates = cut_lineage(meeting.join(forms, ["h1", "h2"]).select("h1", "h2", "first"))
+    candidates = cut_lineage(_sharing(keys).join(forms, ["h1", "h2"]).select("h1", "h2", "first"))
     wanted = candidates.groupBy("first.doc_id", "first.text_key").agg(F.collect_list(F.struct("first.line", "h1", "h2")).alias("wanted"))
     if candidates.count() <= BROADCAST_PLACES:
         wanted = F.broadcast(wanted)
     w = wanted.alias("w")
     d = documents.alias("d")
     found = d.join(w, F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.text_key") == F.col("w.text_key")))
-    made = found.select("d.text", "w.wanted").mapInArrow(_variants, "variant bigint, place int, h1 bigint, h2 bigint, form string")
+    found = found.select("d.text", "w.wanted").mapInArrow(_forms, "h1 bigint, h2 bigint, form string")
+    texts = cut_lineage(found.dropDuplicates(["h1", "h2"]))
+    near = _sharing(texts.mapInArrow(_parts, "h1 bigint, h2 bigint, key bigint"))
+    made = texts.join(near, ["h1", "h2"]).mapInArrow(_variants, "variant bigint, place int, h1 bigint, h2 bigint")
     made = cut_lineage(made.join(candidates, ["h1", "h2"]))
     me = F.struct("first", "h1", "h2")
     deleted, whole = made.where("place >= 0").select("variant", "place", me.alias("me")), made.where("place < 0").select("variant", me.alias("me"))
@@ -134,7 +174,6 @@ def _late_forms(documents: DataFrame, forms: DataFrame) -> DataFrame:
     earliest = pairs.groupBy("me").agg(F.min("other").alias("other")).select(
         F.col("me.h1").alias("h1"), F.col("me.h2").alias("h2"), F.col("other.h1").alias("o1"), F.col("other.h2").alias("o2")
     )
-    texts = made.where("place < 0").select("h1", "h2", "form").dropDuplicates(["h1", "h2"])
     checked = earliest.join(texts, ["h1", "h2"]).join(texts.toDF("o1", "o2", "other_form"), ["o1", "o2"])
     return cut_lineage(checked.where(F.levenshtein("form", "other_form") <= 1).select("h1", "h2"))
 
