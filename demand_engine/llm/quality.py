@@ -123,7 +123,7 @@ def _fit(table: pa.Table) -> bytes:
 def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fold: int = 3, held: int = 1) -> bytes | None:
     """A fitted model from labelled documents outside the held-out fold; None if there are none.
 
-    Uses about `fit_rows` documents per label at most. A document with several labels has their
+    Uses about `fit_rows` documents per label at most; that bounds what is broadcast. A document with several labels has their
     mean, rounded; null labels and ids are ignored.
     """
     known = labels.select(F.col("doc_id").alias("id"), "quality").where(F.col("id").isNotNull() & F.col("quality").isNotNull())
@@ -131,7 +131,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fo
     rows = bounded_sample(known, "id", "label", fit_rows)
     held_chars = F.col("n_chars") if "n_chars" in docs.columns else F.lit(None)
     texts = docs.select(F.col("doc_id").alias("id"), F.col("text"), held_chars.cast("double").alias("n_chars"))
-    sample = texts.join(rows, "id").select(F.xxhash64("id", "text").alias("place"), "label", "text", "n_chars")
+    sample = texts.join(F.broadcast(rows), "id").select(F.xxhash64("id", "text").alias("place"), "label", "text", "n_chars")
     return fit_in_one_task(sample, _fit)
 
 
