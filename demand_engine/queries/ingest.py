@@ -91,11 +91,11 @@ def _name_trips(spark: SparkSession, path: str) -> None:
         rename(spark, file["path"], f"{folder}/trips-{name}")
 
 
-def _raw(spark: SparkSession, sf_dir: str, old: bool = True, new: bool = True) -> str:
+def _raw(spark: SparkSession, sf_dir: str, new: bool = True, every: bool = False) -> str:
+    """Old files with three types of events (with `every`, all), and new ones with the others."""
     root, events = scratch_path(spark, "raw"), table(spark, sf_dir, "events")
-    if old:
-        own = events.where(F.col("event_type").isin(*_OLD_TYPES)) if new else events
-        _write_trips(_old_files(own), f"{root}/old")
+    own = events if every else events.where(F.col("event_type").isin(*_OLD_TYPES))
+    _write_trips(_old_files(own), f"{root}/old")
     if new:
         _write_trips(_new_files(events), f"{root}/new")
     return root
@@ -126,7 +126,7 @@ def _read(spark: SparkSession, root: str) -> DataFrame:
 
 @query(_OLD_SQL)
 def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, _raw(spark, sf_dir, new=False)).select(*_COLUMNS[:-1])
+    return _read(spark, _raw(spark, sf_dir, new=False, every=True)).select(*_COLUMNS[:-1])
 
 
 @query(_BOTH_SQL)
@@ -343,6 +343,6 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def unreadable_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many texts a stricter type would lose, per column."""
-    rows = _read(spark, _raw(spark, sf_dir, new=False))
+    rows = _read(spark, _raw(spark, sf_dir, new=False, every=True))
     types = {"user_type": "bigint", "postal_code": "bigint", "gender": "bigint"}
     return unreadable(rows, types)
