@@ -35,7 +35,7 @@ from demand_engine.llm.graphs import components
 from demand_engine.llm.vectors import mix, shingles
 from demand_engine.session import cut_lineage
 
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_000_000
 CHUNK_DOCUMENTS = 60_000
 #: Tokens in the prefixes of at most so many documents are joined pair by pair, others block by block.
 PAIR_GROUP = 128

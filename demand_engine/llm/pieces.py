@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding by shared-prefix search over distinct marked words.
 
 A text's spaces become marks, one more mark is put before it, and it is cut into words that begin
-with their marks; no piece of the vocabulary reaches over such a cut, which is checked. The distinct
+with their marks, and once more between a letter and a punctuation mark where no piece has the two in
+a row; no piece of the vocabulary reaches over such a cut, which is checked. The distinct
 words of a stretch of texts are sorted, which lays their trie out depth first: the forward table of a
 word is kept up to the prefix that it has in common with its successor, and only the rest is computed.
 
@@ -16,6 +17,7 @@ piece, and it depends on the prefix alone as well.
 from __future__ import annotations
 
 import re
+import string
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -28,9 +30,9 @@ from pyspark.sql import types as T
 
 MARK = "▁"
 #: Text taken at once, and words that a task remembers before it starts anew.
-STRETCH_CHARS = 4 << 20
-REMEMBERED_WORDS = 500_000
-REMEMBERED_PAIRS = 1_000_000
+STRETCH_CHARS = 2 << 20
+REMEMBERED_WORDS = 250_000
+REMEMBERED_PAIRS = 400_000
 
 
 @dataclass
@@ -53,7 +55,11 @@ class Vocabulary:
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece has a mark after other characters: words can't be cut at marks")
         apart = "" if any("\n" in p for p in self.ids) else "\n"
-        self.word = re.compile(f"{MARK}*[^{MARK}{apart}]+|{MARK}+" + (f"|{apart}" if apart else ""))
+        letter = re.compile(r"[^\W\d_]")
+        after_letters = {b for p in self.ids for a, b in zip(p, p[1:]) if letter.match(a)}
+        free = re.escape("".join(c for c in string.punctuation if c not in after_letters))
+        more = f"|(?<![^\\W\\d_])[{free}]" if free else ""
+        self.word = re.compile(f"(?:{MARK}+|[^{MARK}{apart}])(?:[^{MARK}{apart}{free}]{more})*" + (f"|{apart}" if apart else ""))
 
     def plain(self) -> dict:
         """What a broadcast carries: built-in types only, so that any process can read it."""
@@ -81,25 +87,53 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.after: dict[str, dict[str, bool]] = {}
+        self.past: dict[str, tuple | None] = {}
         self.pairs = 0
         self.lowest = min(vocabulary.scores, default=0.0) - 10.0
 
-    def merged(self, text: str) -> list[str]:
-        """Byte-pair encoding of a short text by its definition: the best pair merges, leftmost first."""
-        parts, ids, scores = list(text), self.v.ids, self.v.scores
-        while True:
-            best, at = None, -1
-            for k in range(len(parts) - 1):
-                i = ids.get(parts[k] + parts[k + 1])
-                if i is not None and (best is None or scores[i] > best):
-                    best, at = scores[i], k
-            if best is None:
-                return parts
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    def history(self, piece: str) -> tuple[list[float], list[str], list[str]] | None:
+        """How a piece's own text merges: scores in order, and the first and last part before each and
+        at the end. None if it merges to anything else."""
+        if piece not in self.past:
+            parts, ids, scores = list(piece), self.v.ids, self.v.scores
+            steps, firsts, lasts = [], [parts[0]], [parts[-1]]
+            while True:
+                found = [(-scores[i], k) for k in range(len(parts) - 1) if (i := ids.get(parts[k] + parts[k + 1])) is not None]
+                if not found:
+                    break
+                cost, k = min(found)
+                parts[k : k + 2] = [parts[k] + parts[k + 1]]
+                steps.append(-cost)
+                firsts.append(parts[0])
+                lasts.append(parts[-1])
+            self.past[piece] = (steps, firsts, lasts) if len(parts) == 1 else None
+        return self.past[piece]
 
     def _joins(self, left: str, right: str) -> bool:
-        """Whether merging the joint text of two adjacent pieces gives just those; `left` may be empty."""
-        return self.merged(left + right) == ([left, right] if left else [right])
+        """Whether merging the joint text of two adjacent pieces gives just those; `left` may be empty.
+
+        Both sides merge as they do alone, best score first, leftmost among equals, as long as the
+        parts that meet in the middle are not the best pair of all.
+        """
+        after = self.history(right)
+        if after is None or not left:
+            return after is not None
+        (own, _, lasts), (other, firsts, _) = self.past[left], after
+        ids, scores, i, j = self.v.ids, self.v.scores, 0, 0
+        while True:
+            across = ids.get(lasts[i] + firsts[j])
+            mine = own[i] if i < len(own) else None
+            theirs = other[j] if j < len(other) else None
+            if across is not None:
+                score = scores[across]
+                if (mine is None or score > mine) and (theirs is None or score >= theirs):
+                    return False
+            if mine is None and theirs is None:
+                return True
+            if theirs is None or (mine is not None and mine >= theirs):
+                i += 1
+            else:
+                j += 1
 
     def words(self, words: list[str]) -> Iterator[list[str]]:
         """The pieces of each of the given words, which are sorted."""
