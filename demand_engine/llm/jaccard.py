@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -95,9 +96,13 @@ def _needed(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _spread(width: int, buckets: int):
-    """Task function: documents -> their sizes and nodes, postings by bucket, and what the chunk keeps."""
+    """Task function: documents -> their sizes and nodes, postings by bucket, and what the chunk keeps.
 
-    def chunk_rows(ids: list, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    A chunk is named by its task's partition and its number there, so chunks of equal sets stay apart
+    and a task that is repeated gives the same names.
+    """
+
+    def chunk_rows(number: int, ids: list, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         n = np.array([len(s) for s in sets], dtype=np.int32)
         flat = np.concatenate(sets)
         ends = np.cumsum(n, dtype=np.int64)
@@ -116,7 +121,7 @@ def _spread(width: int, buckets: int):
         tokens, owner = tokens[order], owner[order]
         first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
         count = np.diff(np.append(first, len(tokens)))
-        chunk = int(mix(np.array([np.bitwise_xor.reduce(mix(nodes[kept].view(np.uint64))) ^ np.uint64(len(tokens))])).view(np.int64)[0])
+        chunk = int(mix(np.array([TaskContext.get().partitionId() << 32 | number], dtype=np.uint64)).view(np.int64)[0])
         several = np.repeat(count > 1, count)
         yield _rows(
             _CHUNK, 1, route=[chunk % buckets], chunk=[chunk], payload=[_pack(nodes[kept], n[kept], tokens[several], owner[several])]
@@ -134,7 +139,7 @@ def _spread(width: int, buckets: int):
         yield _rows(_POSTINGS, len(routes), route=routes, chunk=np.full(len(routes), chunk), payload=blobs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, sets, held = [], [], 0
+        ids, sets, held, number = [], [], 0, 0
         for batch in batches:
             known = batch.column(0).to_pylist()
             for first, found in shingles(batch.column(1), width):
@@ -143,10 +148,10 @@ def _spread(width: int, buckets: int):
                     sets.append(s)
                     held += len(s)
                     if held >= CHUNK_TOKENS or len(ids) >= CHUNK_DOCUMENTS:
-                        yield from chunk_rows(ids, sets)
-                        ids, sets, held = [], [], 0
+                        yield from chunk_rows(number, ids, sets)
+                        ids, sets, held, number = [], [], 0, number + 1
         if ids:
-            yield from chunk_rows(ids, sets)
+            yield from chunk_rows(number, ids, sets)
 
     return run
 

@@ -70,6 +70,31 @@ def test_all_links_by_pairs_and_by_blocks(spark, monkeypatch, group):
     assert got == brute(rows)
 
 
+def results(df):
+    return sorted(((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in similar_documents(df).collect()), key=repr)
+
+
+def copies(n):
+    """A text n times, and one with two thirds of its words whose other third is frequent: no link, unless tokens count twice."""
+    words, common = [f"w{k}" for k in range(90)], [f"v{k}" for k in range(30)]
+    rows = [(k, " ".join(words)) for k in range(n)] + [(100, " ".join(words[:60] + common))]
+    return rows + [(200 + k, " ".join(common + [f"c{k}x{j}" for j in range(9)])) for k in range(8)]
+
+
+def test_copies_in_partitions_of_their_own(spark):
+    rows = copies(3)
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, len(rows)), "doc_id bigint, text string")
+    assert df.rdd.getNumPartitions() == len(rows)
+    assert results(df) == brute(rows)
+
+
+def test_copies_longer_than_a_chunk(spark, monkeypatch):
+    monkeypatch.setattr(module, "CHUNK_TOKENS", 300)
+    rows = copies(20)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    assert results(df) == brute(rows)
+
+
 def test_empty_table(spark):
     assert similar_documents(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
