@@ -248,3 +248,21 @@ def test_prepare_from_raw_files_to_a_report(spark, tmp_path):
     assert [(r["actual"], r["predicted"], r["error"]) for r in report.collect()] == [(2, 1, 1), (1, 1, 0)]
     plan = report._jdf.queryExecution().executedPlan().toString()
     assert "started_date" in plan.split("PartitionFilters: ", 1)[1].split("]")[0]
+
+
+def test_registered_searches_are_whole(spark, small, monkeypatch):
+    """All trials over all parameters; the fits themselves are left out here."""
+    from demand_engine.queries import model
+
+    tried = []
+
+    def watched(df, params, *_):
+        tried.append(params)
+        return M.Boosting(1, [1.0])
+
+    monkeypatch.setattr(M, "watch_boosting", watched)
+    assert model.random_search(spark, small).count() == len(tried) == 20
+    assert all(set(p) == set(M.SEARCH_SPACE) for p in tried) and max(p["n_estimators"] for p in tried) > 1000
+    tried.clear()
+    model.training_job(spark, small)
+    assert len(tried) == 20 and all(set(p) == set(M.SEARCH_SPACE) for p in tried)
