@@ -269,14 +269,17 @@ def changed_file_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table holding stale, doubled rows of files that have changed since."""
     root, target = _raw(spark, sf_dir), scratch_path(spark, "trips")
     update_trips(spark, [root], target)
-    rows = _read(spark, root).where(F.col(SOURCE_FILE).startswith("old_trips"))
+    rows = _read(spark, root).where(F.col(SOURCE_FILE).startswith("old/"))
+    if rows.isEmpty():
+        raise AssertionError("there are no stale rows to replace")
     rows.unionByName(rows).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(SOURCE_FILE).parquet(f"{target}/data")
     listing = list_objects(spark, root)
-    older = F.when(F.col("name").startswith("old_trips"), 60).otherwise(0)
+    older = F.when(F.col("name").startswith("old/"), 60).otherwise(0)
     save_manifest(listing.withColumn("mtime", F.col("mtime") - older), target)
-    update_trips(spark, [root], target)
+    if not update_trips(spark, [root], target)["loaded"]:
+        raise AssertionError("changed files were not loaded again")
     return read_trips(spark, target).select(*_COLUMNS)
 
 

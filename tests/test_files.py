@@ -262,3 +262,18 @@ def test_line_breaks_in_quotes(spark, tmp_path):
     assert sorted((r["source_file"], r["bike_id"], r["start_station_name"]) for r in got) == [
         *(("1-trips.csv", *r) for r in own), *(("2-trips.csv", *r) for r in own), ("3-trips.csv", "9", "plain")
     ]
+
+
+def test_registered_rebuild_loads_changed_files_again(spark, small, monkeypatch):
+    from demand_engine.queries import ingest
+
+    done = []
+
+    def update(*given):
+        done.append(trips_table.update_trips(*given))
+        return done[-1]
+
+    monkeypatch.setattr(ingest, "update_trips", update)
+    ingest.changed_file_rebuild(spark, small)
+    first, second = (d["loaded"] for d in done)
+    assert second and second == [n for n in first if n.startswith("old/")] and second != first
