@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from demand_engine.llm.contamination import contamination
 from demand_engine.llm.jaccard import similar_documents
-from demand_engine.llm.lines import dedup_lines
+from demand_engine.llm.lines import dedup_lines, has_lines
 from demand_engine.llm.pieces import Vocabulary, encode
 from demand_engine.llm.quality import fit_quality, quality_scores
 from demand_engine.session import cut_lineage
@@ -26,8 +26,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that an earlier line nearly equals; those that lose all lines go."""
-    left = dedup_lines(docs, counts=True).where("text is null or text <> '' or n_removed = 0")
+    """Documents without lines that an earlier line nearly equals; those with only blank lines left go."""
+    left = dedup_lines(docs, counts=True, equal_from=1)
+    left = left.where(F.col("text").isNull() | (F.col("n_removed") == 0) | has_lines(F.col("text")))
     return left.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*docs.columns)
 
 

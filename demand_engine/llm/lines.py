@@ -1,7 +1,8 @@
 """Near-duplicate lines across documents by a deletion-neighbourhood join; the earliest stays.
 
 Lines are compared in a normal form: lower case, white space runs as one space, ends trimmed. A line
-goes if an earlier line's form is within one edit of its own. Order is by document id, a hash of the
+goes if an earlier line's form is within one edit of its own. Short forms, where one edit is another
+word, go only if an earlier form equals theirs (`equal_from`). Order is by document id, a hash of the
 text, and line number.
 
 1. Equal forms meet by a 128-bit hash; only a form's first place matters from there on.
@@ -24,14 +25,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demand_engine.session import cut_lineage
 
-#: Lines whose normal form is shorter always stay.
+#: Lines whose normal form is shorter are not compared by edits.
 MIN_CHARS = 16
+#: White space is what `str.split` takes for it.
+_NOT_BLANK = r"[^\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 #: Places looked up by broadcast; more of them are joined by a shuffle of the texts.
 BROADCAST_PLACES = 1_000_000
 #: Parts for the second test.
@@ -45,6 +48,11 @@ def normal_form(line: str) -> str:
     return " ".join(line.lower().split())
 
 
+def has_lines(text: Column) -> Column:
+    """Whether any line of a text has a form that is not empty."""
+    return text.rlike(_NOT_BLANK)
+
+
 def _halves(form: str) -> Iterator[bytes]:
     """The parts that a form shares with any other within one edit: a first half or a last half."""
     n = len(form)
@@ -54,22 +62,20 @@ def _halves(form: str) -> Iterator[bytes]:
         yield b">" + form[n - k :].encode()
 
 
-def _places(least: int):
-    """Task function: documents -> one row per line that is long enough."""
+def _places(least: int, lowest: int):
+    """Task function: documents -> one row per line whose form has `lowest` characters; halves from `least` on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             owner, number, hashes, keys = [], [], [], []
             for i, text in enumerate(batch.column("text")):
                 for k, line in enumerate((text.as_py() or "").split("\n")):
-                    if len(line) < least:
-                        continue
                     form = normal_form(line)
-                    if len(form) >= least:
+                    if len(form) >= lowest:
                         owner.append(i)
                         number.append(k)
                         hashes.append(hashlib.blake2b(form.encode(), digest_size=16).digest())
-                        keys.append([struct.unpack("<q", hashlib.blake2b(h, digest_size=8).digest())[0] for h in _halves(form)])
+                        keys.append([struct.unpack("<q", hashlib.blake2b(h, digest_size=8).digest())[0] for h in _halves(form)] if len(form) >= least else [])
             at = pa.array(owner, pa.int64())
             pairs = np.frombuffer(b"".join(hashes), dtype=np.int64).reshape(-1, 2)
             thirds = [pa.array([k[j] if j < len(k) else None for k in keys], pa.int64()) for j in range(4)]
@@ -178,12 +184,17 @@ def _late_forms(documents: DataFrame, forms: DataFrame) -> DataFrame:
     return cut_lineage(checked.where(F.levenshtein("form", "other_form") <= 1).select("h1", "h2"))
 
 
-def kept_lines(docs: DataFrame, least: int = MIN_CHARS) -> tuple[DataFrame, DataFrame]:
+def _lowest(least: int, equal_from: int | None) -> int:
+    """Characters of the shortest forms that are compared at all; empty ones never are."""
+    return least if equal_from is None else max(1, min(least, equal_from))
+
+
+def kept_lines(docs: DataFrame, least: int = MIN_CHARS, equal_from: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(`docs` with __id, __key; (__id, __key, kept): line numbers that are a kept first place)."""
     keyed = docs.withColumns({"__id": F.col("doc_id").cast("bigint"), "__key": F.xxhash64("text")})
-    documents = keyed.select(F.col("__id").alias("doc_id"), F.col("__key").alias("text_key"), "text").where(F.length("text") >= least)
+    documents = keyed.select(F.col("__id").alias("doc_id"), F.col("__key").alias("text_key"), "text").where(has_lines(F.col("text")))
     places = documents.mapInArrow(
-        _places(least), "doc_id bigint, text_key bigint, line int, h1 bigint, h2 bigint, k0 bigint, k1 bigint, k2 bigint, k3 bigint"
+        _places(least, _lowest(least, equal_from)), "doc_id bigint, text_key bigint, line int, h1 bigint, h2 bigint, k0 bigint, k1 bigint, k2 bigint, k3 bigint"
     )
     first = F.min(F.struct("doc_id", "text_key", "line")).alias("first")
     forms = cut_lineage(places.groupBy("h1", "h2").agg(first, *(F.max(k).alias(k) for k in ("k0", "k1", "k2", "k3"))))
@@ -192,15 +203,17 @@ def kept_lines(docs: DataFrame, least: int = MIN_CHARS) -> tuple[DataFrame, Data
     return keyed, kept
 
 
-def dedup_lines(docs: DataFrame, least: int = MIN_CHARS, counts: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, least: int = MIN_CHARS, counts: bool = False, equal_from: int | None = None) -> DataFrame:
     """`docs` (doc_id, text, any others) with duplicate lines taken out of `text`.
 
     With `counts`, also n_lines and n_removed. Lines whose normal form has fewer than `least`
-    characters stay. A null text stays null, and one that loses all its lines becomes empty. Rows
+    characters stay; with `equal_from`, those of so many characters or more go if an earlier form
+    equals theirs. Blank lines stay. A null text stays null, and one that loses all its lines becomes empty. Rows
     that repeat an id and a text count as one place and are treated alike. Null ids come first.
     Columns may have any names but __id, __key, __kept.
     """
-    keyed, kept = kept_lines(docs, least)
+    keyed, kept = kept_lines(docs, least, equal_from)
+    lowest = _lowest(least, equal_from)
     k = kept.alias("k")
     whole = keyed.alias("d").join(k, F.col("d.__id").eqNullSafe(F.col("k.__id")) & (F.col("d.__key") == F.col("k.__key")), "left")
     whole = whole.select(*(F.col(f"d.`{c}`") for c in docs.columns), F.col("k.__kept"))
@@ -219,7 +232,7 @@ def dedup_lines(docs: DataFrame, least: int = MIN_CHARS, counts: bool = False) -
                     gone.append(0)
                     continue
                 lines, stay = text.as_py().split("\n"), set(kept.as_py() or ())
-                left = [x for i, x in enumerate(lines) if i in stay or len(x) < least or len(normal_form(x)) < least]
+                left = [x for i, x in enumerate(lines) if i in stay or len(normal_form(x)) < lowest]
                 texts.append("\n".join(left))
                 totals.append(len(lines))
                 gone.append(len(lines) - len(left))

@@ -123,7 +123,7 @@ FROM long GROUP BY conv_id
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demand_engine.llm.lines import dedup_lines
 
-    return dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
+    return dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True, equal_from=1)
 
 
 @_register

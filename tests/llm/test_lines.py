@@ -1,6 +1,7 @@
 import collections
 import random
 
+import corpus_pipeline
 from pyspark.sql import functions as F
 
 from demand_engine.llm.lines import dedup_lines, normal_form
@@ -64,5 +65,28 @@ def test_many_lines_that_differ_in_one_character(spark):
     assert [r.doc_id for r in got] == [0]
 
 
+def test_short_forms_go_if_an_earlier_one_is_equal(spark):
+    rows = [(1, "Yes\n\n短い文も一つの文である。\nYes"), (2, "yes \n\nYet\n短い文も一つの文である。"), (3, "\u3000\n\x1f\nYET"), (4, "İİİİİİİİİİ\nx"), (5, "İİİİİİİİİİ\ny"), (6, None), (7, "\n \n")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in dedup_lines(df, counts=True, equal_from=1).collect()}
+    assert got == {
+        1: ("Yes\n\n短い文も一つの文である。", 4, 1), 2: ("\nYet", 4, 2), 3: ("\u3000\n\x1f", 3, 1), 4: ("İİİİİİİİİİ\nx", 2, 0),
+        5: ("y", 2, 1), 6: (None, 0, 0), 7: ("\n \n", 3, 0),
+    }
+    assert {r.doc_id: r.n_removed for r in dedup_lines(df, counts=True, equal_from=4).collect()} == {1: 0, 2: 1, 3: 0, 4: 0, 5: 1, 6: 0, 7: 0}
+
+
+def test_registered_and_in_the_pipeline_copies_with_a_short_line_go(spark, tmp_path):
+    text = "A first line of some length\n\nshort\nand another line of some length"
+    rows = [(1, text), (2, text), (3, text + "\nnew"), (4, "\u3000\n\x1f\n\u00a0short"), (5, "\n"), (6, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("n_chars", F.char_length("text").cast("bigint"))
+    left = corpus_pipeline.drop_repeated_lines(spark, df, "").collect()
+    assert {(r.doc_id, r.text, r.n_chars) for r in left} == {(1, text, len(text)), (3, "\nnew", 4), (5, "\n", 1), (6, None, None)}
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    from demand_engine.llm.queries import op8_line_dedup
+
+    assert {r.doc_id: r.n_removed for r in op8_line_dedup(spark, str(tmp_path)).collect()} == {1: 0, 2: 3, 3: 3, 4: 1, 5: 0, 6: 0}
+
+
 def test_empty_table(spark):
     assert dedup_lines(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
