@@ -167,3 +167,77 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
     doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+
+@_register
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demand_engine.llm.trie import trie_report
+
+    return trie_report(_table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op11_prefix_trie"] = r"""
+WITH
+said AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, count(*) OVER (PARTITION BY conv_id) AS n,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+        md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS place
+    FROM conversations WHERE conv_id IS NOT NULL),
+conv AS (SELECT conv_id, any_value(n) AS n, xor(4294967295, list_reduce(
+        list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+        lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [CAST(0 AS BIGINT) FOR i IN range(8)]),
+            lambda r, unused: xor(r >> 1, 3988292384 * (r & 1))))) % 4 AS h
+    FROM said GROUP BY conv_id),
+plan AS (SELECT c.conv_id, c.n, c.h, c.conv_id - c.conv_id % 20 AS first, least(c.h, coalesce(f.n, 0)) AS opened
+    FROM conv c LEFT JOIN conv f ON f.conv_id = c.conv_id - c.conv_id % 20),
+again AS (SELECT p.conv_id, s.place AS place, role, text FROM plan p JOIN said s ON s.conv_id = p.first WHERE s.place < p.h
+    UNION ALL SELECT p.conv_id, s.place - h + opened, role, text FROM plan p JOIN said s ON s.conv_id = p.conv_id WHERE s.place >= h),
+whole AS (SELECT p.conv_id, coalesce(list({'role': role, 'text': text} ORDER BY place) FILTER (place IS NOT NULL), []) AS turns
+    FROM plan p LEFT JOIN again USING (conv_id) GROUP BY p.conv_id),
+step AS (SELECT conv_id, depth, turns[1:depth] AS path, len(turns) AS length FROM whole, LATERAL (SELECT unnest(generate_series(0, len(turns))) AS depth) d),
+node AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(length) = depth AS is_leaf,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (length = depth), '')) AS ends_sha256,
+    CASE WHEN depth = 0 THEN 0 ELSE (count(*) - 1) * len(regexp_extract_all(path[depth].text, '[^\x20\x09-\x0D]+')) END AS saved
+    FROM step GROUP BY path, depth),
+up AS (SELECT path[1:above] AS path, above, depth, is_leaf, saved FROM node, LATERAL (SELECT unnest(generate_series(0, depth)) AS above) a),
+below AS (SELECT path, above AS depth, sum(saved) AS saved_tokens, count(*) FILTER (is_leaf) AS n_leaves,
+    count(*) FILTER (depth = above + 1) AS n_children FROM up GROUP BY path, above)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, b.n_children, b.n_leaves,
+    CAST(b.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM node n JOIN below b ON b.path = n.path AND b.depth = n.depth
+LEFT JOIN node p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.path = n.path[1 : n.depth - 1]
+"""
+
+
+@_register
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demand_engine.llm.mixing import mix_report
+
+    return mix_report(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_source_mix"] = r"""
+WITH
+doc AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 13) AS BIGINT)
+        / CAST(4503599627370496 AS DOUBLE) AS draw FROM documents),
+per AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM doc GROUP BY source),
+weighed AS (SELECT source, source_size, CAST([3, 1, 2][CAST(place % 3 + 1 AS INT)] AS DOUBLE) AS weight, source_size * 2e0 AS most FROM per),
+filled AS (SELECT *, sum(source_size) OVER () * 1.5e0 AS wanted, sum(weight) OVER () AS weights,
+    coalesce(sum(most) OVER before, 0) AS most_before, coalesce(sum(weight) OVER before, 0) AS weight_before
+    FROM weighed WINDOW before AS (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+marked AS (SELECT *, most * (weights - weight_before) < weight * (wanted - most_before) AS is_full FROM filled),
+level AS (SELECT *, coalesce(sum(most) FILTER (is_full) OVER (), 0) AS full_most, coalesce(sum(weight) FILTER (is_full) OVER (), 0) AS full_weight FROM marked),
+aimed AS (SELECT source, source_size, CASE WHEN is_full THEN most ELSE least(weight * (wanted - full_most) / (weights - full_weight), most) END AS target FROM level),
+rated AS (SELECT doc_id, size, source_size, target, draw, CASE WHEN source_size = 0 THEN 0e0 ELSE target / source_size END AS rate
+    FROM doc JOIN aimed ON doc.source IS NOT DISTINCT FROM aimed.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+    CAST(size * (floor(rate) + CAST(draw < rate - floor(rate) AS INT)) AS BIGINT) AS taken
+FROM rated
+"""
+
+
+@_register
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from demand_engine.llm.whitening import whitening_report
+
+    return whitening_report(_table(spark, sf_dir, "embeddings"))
