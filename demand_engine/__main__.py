@@ -8,6 +8,7 @@ from datetime import datetime, time
 from pyspark.sql import functions as F
 
 from demand_engine.functions.times import previous_month
+from demand_engine.operators.boosting import load_boosted
 from demand_engine.operators.modeling import TEST_MONTHS, TRIALS, scorer
 from demand_engine.operators.tables import between
 from demand_engine.plans.prepare import prepare, whole_days
@@ -15,7 +16,7 @@ from demand_engine.plans.report import write_report
 from demand_engine.plans.train import train
 from demand_engine.schemas import STATION_SNAPSHOTS, with_files
 from demand_engine.session import engine_session
-from demand_engine.sources.datasets import load_model, load_table
+from demand_engine.sources.datasets import load_table
 
 
 def _arguments() -> argparse.Namespace:
@@ -68,7 +69,7 @@ def main() -> None:
         days = whole_days(args.first_day or first, last)
     else:
         days = whole_days(args.first_day, args.last_day)
-    for path in write_report(spark, trips, scorer(load_model(model)), *days, args.work_dir):
+    for path in write_report(spark, trips, scorer(load_boosted(spark, model)), *days, args.work_dir):
         print(path)
 
 

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
-import random
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -17,20 +16,16 @@ from pyspark.sql import functions as F
 
 from demand_engine.functions.measures import TUNED_PREFIX, tuned_name, typed_parameter
 from demand_engine.functions.times import DAYS_PER_MONTH, days_before, ntz
+from demand_engine.operators.boosting import PATIENCE, SEED, Boosted, boost
 from demand_engine.operators.tables import quoted
 from demand_engine.schemas import FEATURE_COLUMNS
 
-# Seed, windows, search size and rounds without gain of a training run.
-SEED = 42
+# Windows and search size of a training run.
 TEST_MONTHS = 3
 TRIALS = 20
-PATIENCE = 50
 
 TRAIN, VALIDATION, TEST = "train", "val", "test"
 
-# Trials of a search that run at once.
-SIDE_BY_SIDE = 4
-
 # Spark's trees go no deeper than this.
 MAX_DEPTH = 30
 
@@ -44,16 +39,21 @@ class Range:
     whole: bool = False
     log: bool = False
 
-    def draw(self, rng: random.Random) -> float | int:
+    def at(self, part: float) -> float | int:
+        """The value below which `part` (0 to 1) of the draws lie."""
         if self.whole:
-            return rng.randint(int(self.low), int(self.high))
+            return int(self.low) + int(part * (int(self.high) - int(self.low) + 1))
         if self.log:
-            return math.exp(rng.uniform(math.log(self.low), math.log(self.high)))
-        return rng.uniform(self.low, self.high)
+            return math.exp(math.log(self.low) + part * (math.log(self.high) - math.log(self.low)))
+        return self.low + part * (self.high - self.low)
+
+
+def _uniform(seed: str) -> float:
+    """A number in [0, 1) from a hash."""
+    return int(hashlib.md5(seed.encode()).hexdigest()[:13], 16) / 16**13
 
 
-# The search space. `num_leaves`, `reg_alpha` and `reg_lambda` are drawn and logged
-# for comparability, but see `gbt_settings` for what they mean to Spark's trees.
+# The search space.
 SEARCH_SPACE = {
     "num_leaves": Range(16, 256, whole=True),
     "max_depth": Range(3, 15, whole=True),
@@ -68,7 +68,7 @@ SEARCH_SPACE = {
 
 
 def gbt_settings(params: Mapping[str, object]) -> dict[str, object]:
-    """Search parameters as settings of Spark's boosted trees.
+    """Search parameters as settings of Spark's boosted trees (`boosting` honours all of them itself).
 
     A leaf limit becomes the depth that could hold as many leaves. Penalties on leaf weights have
     no counterpart and are left out.
@@ -156,60 +156,7 @@ def train_model(
     return PipelineModel(stages=[assembler(), fitted])
 
 
-def best_round(errors: Sequence[float], patience: int = PATIENCE) -> tuple[int, bool]:
-    """(number of rounds with the least error, whether `patience` rounds without gain follow it)."""
-    best = 0
-    for number, error in enumerate(errors):
-        if error < errors[best]:
-            best = number
-        elif number - best >= patience:
-            return best + 1, True
-    return best + 1, False
-
-
-@dataclass(frozen=True)
-class Boosting:
-    """Boosting that was watched on held-out rows: the rounds to keep and the RMSE after each round."""
-
-    rounds: int
-    errors: list[float]
-
-    @property
-    def rmse(self) -> float:
-        return self.errors[self.rounds - 1]
-
-
-def watch_boosting(
-    df: DataFrame,
-    params: Mapping[str, object],
-    validate_on: str,
-    label: str = "demand",
-    seed: int = SEED,
-    patience: int = PATIENCE,
-) -> Boosting:
-    """How many rounds to boost: until the RMSE of the rows marked by `validate_on` has not improved
-    for `patience` rounds, or as many as the parameters allow.
-
-    Rounds are fitted in blocks, each twice as many as before, so that a trial which stops early
-    doesn't pay for all it might have had. A seed gives each block the same first trees. The error
-    after every round comes from one pass over the held-out rows.
-    """
-    table = _vectors(df, label, [validate_on])
-    fitted_on, held_out = table.where(~F.col(validate_on)), table.where(F.col(validate_on))
-    if held_out.isEmpty() or fitted_on.isEmpty():
-        raise ValueError("boosting needs rows to fit on and rows to validate on")
-    most = int(params.get("n_estimators", GBTRegressor().getMaxIter()))
-    block = min(most, 2 * patience)
-    while True:
-        model = _trees({**params, "n_estimators": block}, seed).fit(fitted_on)
-        errors = [math.sqrt(e) for e in model.evaluateEachIteration(held_out, "squared")]
-        rounds, stopped = best_round(errors, patience)
-        if stopped or block == most:
-            return Boosting(rounds, errors[: rounds + patience])
-        block = min(most, 2 * block)
-
-
-def scorer(model: PipelineModel):
+def scorer(model: PipelineModel | Boosted):
     """Adds the model's `prediction` to a feature table."""
     return lambda features: model.transform(features)
 
@@ -232,34 +179,37 @@ def regression_metrics(
     )
 
 
-def evaluate(model: PipelineModel, df: DataFrame, label: str = "demand") -> dict[str, float]:
+def evaluate(model: PipelineModel | Boosted, df: DataFrame, label: str = "demand") -> dict[str, float]:
     return regression_metrics(model.transform(df), label).first().asDict()
 
 
+def drawn_parameters(trial: int, space: Mapping[str, Range] = SEARCH_SPACE, seed: int = SEED) -> dict[str, float | int]:
+    """The parameters of a trial; each is drawn by a hash of seed, trial and name."""
+    return {name: r.at(_uniform(f"{seed}:{trial}:{name}")) for name, r in space.items()}
+
+
 def search(
     df: DataFrame,
     trials: int = TRIALS,
     space: Mapping[str, Range] = SEARCH_SPACE,
     label: str = "demand",
     seed: int = SEED,
+    patience: int = PATIENCE,
 ) -> list[dict[str, object]]:
-    """Random search: fit on `train`, stop early by `val`; the trials, best first, with their rounds.
+    """Random search: fit on `train`, stop early by `val`; the trials, best first, with their rounds and errors.
 
-    The trial points are drawn up front from the seed. Each fit is a distributed Spark job over the
-    same table, which the caller keeps (see `plans.train`); a few trials run side by side.
+    All trials grow in the same passes over one binned table (`boosting.boost`), so that a search reads
+    the data as often as its longest trial alone would.
     """
-    rng = random.Random(seed)
-    drawn = [{name: r.draw(rng) for name, r in space.items()} for _ in range(trials)]
+    drawn = [drawn_parameters(number, space, seed) for number in range(trials)]
     rows = df.where(F.col("split").isin(TRAIN, VALIDATION)).withColumn(
         "held_out", F.col("split") == VALIDATION
     )
-
-    def tried(number: int) -> dict[str, object]:
-        found = watch_boosting(rows, drawn[number], "held_out", label, seed)
-        return {"trial": number, "rmse": found.rmse, "rounds": found.rounds, "params": drawn[number]}
-
-    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
-        results = list(pool.map(tried, range(trials)))
+    grown = boost(rows, drawn, "held_out", label, patience, seed)
+    results = [
+        {"trial": k, "rmse": m.rmse, "rounds": m.rounds, "errors": m.errors, "params": drawn[k]}
+        for k, m in enumerate(grown)
+    ]
     return sorted(results, key=lambda t: (t["rmse"], t["trial"]))
 
 

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demand_engine.functions.times import DAYS_PER_MONTH
+from demand_engine.operators.boosting import SEED, Settings, boost, save_boosted
 from demand_engine.operators.demand import demand_features
 from demand_engine.operators.modeling import (
     SEARCH_SPACE,
-    SEED,
     TEST,
     TEST_MONTHS,
     TRAIN,
@@ -24,12 +24,11 @@ from demand_engine.operators.modeling import (
     evaluate,
     search,
     split_counts,
-    train_model,
     with_tuned_prefix,
 )
 from demand_engine.schemas import FEATURE_COLUMNS
 from demand_engine.session import cut_lineage
-from demand_engine.sources.datasets import load_runs, log_run, save_model
+from demand_engine.sources.datasets import load_runs, log_run
 
 
 def train(
@@ -46,7 +45,8 @@ def train(
     """Fit on everything before the test window, score on it, save the model, log the run.
 
     An empty window is an error before anything is fitted. A search stops each trial by its error on
-    the validation window; the final fit has as many rounds as the best trial's best.
+    the validation window; the final fit has as many rounds as the best trial's best. Parameters in the
+    log that boosting doesn't know are logged again and have no effect.
 
     The feature table is written once to the reliable checkpoint folder, since each fit reads it
     many times. Parameters of the best logged run are reused; only without any is there a search.
@@ -67,9 +67,10 @@ def train(
     if params is None:
         best = search(data, trials, space)[0]
         params = {**best["params"], "n_estimators": best["rounds"]}
-    model = train_model(data.where(F.col("split").isin(TRAIN, VALIDATION)), params)
+    known = {k: v for k, v in params.items() if k in Settings.__dataclass_fields__}
+    [model] = boost(data.where(F.col("split").isin(TRAIN, VALIDATION)), [known])
     metrics = evaluate(model, data.where(F.col("split") == TEST))
-    save_model(model, model_path)
+    save_boosted(spark, model, model_path)
     logged = {
         "random_state": SEED,
         "test_months": test_months,

@@ -8,7 +8,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demand_engine.functions.measures import TUNED_PREFIX
 from demand_engine.operators import modeling as M
+from demand_engine.operators.boosting import PATIENCE, SEED, boost, load_boosted, root_cuts, save_boosted
 from demand_engine.operators.demand import demand_features
 from demand_engine.operators.report import prediction_report
 from demand_engine.plans.prepare import whole_days
@@ -182,44 +184,178 @@ def train_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.regression_metrics(scored, "demand")
 
 
-@query()
+_SPLIT_FEATURES = """(SELECT *, CASE WHEN datetime >= TIMESTAMP '2024-01-21' THEN 'test'
+        WHEN datetime >= (SELECT max(datetime) FROM features
+            WHERE datetime < TIMESTAMP '2024-01-21') - INTERVAL 10 DAY THEN 'val'
+        ELSE 'train' END AS split FROM features)"""
+
+
+def _held_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _features(spark, sf_dir).where(F.col("split") != M.TEST)
+    return rows.withColumn("held_out", F.col("split") == M.VALIDATION)
+
+
+def _rounded_rmse(error: str) -> str:
+    return f"round(sqrt(avg(({error}) * ({error}))), 9)"
+
+
+@query(
+    sql(
+        f"""SELECT count(*) FILTER (WHERE split = 'train') AS train_rows,
+            count(*) FILTER (WHERE split = 'val') AS held_out_rows,
+            {_rounded_rmse("CASE WHEN split = 'val' THEN demand - (SELECT avg(demand) FROM " + _SPLIT_FEATURES + " WHERE split = 'train') END")}
+                AS rmse_before, 50 AS patience, true AS rmse_agrees, true AS ended_in_time, true AS first_least_chosen
+        FROM {_SPLIT_FEATURES}""",
+        "hours",
+        features=features_sql(),
+    )
+)
 def early_stopping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The error of the validation rows after every round, and the round at which boosting ends.
+    """Boosting until fifty rounds after the least error, checked from the predictions of every round.
 
-    Ten rounds without gain end it here, fifty in a job.
+    The error before the first round is the mean's; those after are compared with what an aggregation
+    of the held-out rows' predictions gives, round by round.
     """
-    rows = _features(spark, sf_dir).where(F.col("split") != M.TEST)
-    rows = rows.withColumn("held_out", F.col("split") == M.VALIDATION)
-    found = M.watch_boosting(rows, {"max_depth": 3, "n_estimators": 40, "learning_rate": 0.3}, "held_out", patience=10)
-    return spark.createDataFrame(
-        [(k, e, k == found.rounds) for k, e in enumerate(found.errors, 1)], "round int, rmse double, chosen boolean"
+    rows, most = _held_out(spark, sf_dir), 400
+    [model] = boost(rows, [{"max_depth": 3, "n_estimators": most}], "held_out")
+    by_round = model.predictions_by_round(rows.where("held_out")).select("demand", F.posexplode("prediction").alias("round", "p"))
+    error = F.col("demand") - F.col("p")
+    recomputed = by_round.groupBy("round").agg(F.sqrt(F.avg(error * error)).alias("rmse"))
+    watched = spark.createDataFrame(list(enumerate(model.errors)), "round int, watched double")
+    both = watched.join(recomputed, "round", "left").withColumn("agrees", F.abs(F.col("rmse") - F.col("watched")) < 1e-9)
+    after = F.col("round") > 0
+    best = F.min_by(F.when(after, F.col("round")), F.when(after, F.struct("watched", "round")))
+    sizes = rows.agg(F.count_if(~F.col("held_out")).alias("train_rows"), F.count_if("held_out").alias("held_out_rows")).first()
+    return both.agg(
+        F.lit(sizes["train_rows"]).cast("bigint").alias("train_rows"),
+        F.lit(sizes["held_out_rows"]).cast("bigint").alias("held_out_rows"),
+        F.round(F.max(F.when(F.col("round") == 0, F.col("rmse"))), 9).alias("rmse_before"),
+        F.lit(PATIENCE).alias("patience"),
+        F.every(F.coalesce("agrees", F.lit(False))).alias("rmse_agrees"),
+        (F.max("round") == F.least(best + PATIENCE, F.lit(most))).alias("ended_in_time"),
+        (best == model.rounds).alias("first_least_chosen"),
     )
 
 
-@query()
+def _drawn_sql(name: str, r: M.Range) -> str:
+    part = f"(CAST('0x' || substr(md5('{SEED}:' || trial || ':{name}'), 1, 13) AS BIGINT) / CAST({16**13} AS DOUBLE))"
+    if r.whole:
+        return f"CAST({r.low:.0f} + floor({part} * {r.high - r.low + 1:.0f}) AS BIGINT) AS {name}"
+    value = f"exp(ln({r.low!r}) + {part} * (ln({r.high!r}) - ln({r.low!r})))" if r.log else f"{r.low!r} + {part} * {r.high - r.low!r}"
+    return f"round({value}, 9) AS {name}"
+
+
+@query(
+    f"""SELECT trial, {', '.join(_drawn_sql(n, r) for n, r in M.SEARCH_SPACE.items())},
+        true AS ended_in_time, true AS in_order FROM (SELECT unnest(range({M.TRIALS})) AS trial)"""
+)
 def random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All trials of a search over all parameters, best first. This takes hours: see the README."""
+    """The whole search: per trial its nine drawn parameters, whether it ended fifty rounds after its least
+    error (or with its last round), and whether no trial behind it is better."""
     found = M.search(_features(spark, sf_dir))
-    return spark.createDataFrame(
-        [(t["trial"], t["rmse"], t["rounds"], {k: str(v) for k, v in t["params"].items()}) for t in found],
-        "trial int, rmse double, rounds int, params map<string,string>",
-    )
+    rows = []
+    for place, t in enumerate(found):
+        params = [int(v) if M.SEARCH_SPACE[k].whole else round(v, 9) for k, v in t["params"].items()]
+        ended = len(t["errors"]) - 1 == min(t["rounds"] + PATIENCE, t["params"]["n_estimators"])
+        least = t["errors"][t["rounds"]] == min(t["errors"][1:])
+        rows.append((t["trial"], *params, ended and least, all(t["rmse"] <= u["rmse"] for u in found[place:])))
+    kinds = ", ".join(f"{n} {'bigint' if r.whole else 'double'}" for n, r in M.SEARCH_SPACE.items())
+    return spark.createDataFrame(rows, f"trial bigint, {kinds}, ended_in_time boolean, in_order boolean")
 
 
-@query()
+@query(
+    sql(
+        f"""SELECT run, (SELECT count(*) FROM {_SPLIT_FEATURES} WHERE split = 'test') AS test_rows,
+            9 AS tuned, true AS metrics_agree, true AS same_parameters FROM (SELECT unnest([1, 2]) AS run)""",
+        "hours",
+        features=features_sql(),
+    )
+)
 def training_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job twice: the second run reuses the parameters the first has found and logged.
 
-    The first run has a whole search in it, which takes hours: see the README.
+    Per run: the test rows, the number of tuned parameters in the log, whether the metrics in the log are
+    those of the saved model on the test rows, and whether both runs logged the same parameters.
     """
     path = scratch_path(spark, "training")
     trips = enriched(spark, sf_dir)
-    for _ in range(2):
-        train(
+    test = _features(spark, sf_dir).where(F.col("split") == M.TEST)
+    rows = []
+    for run in (1, 2):
+        done = train(
             trips, f"{path}/model", f"{path}/runs", _JANUARY_END, test_months=1,
             order_by="ride_id", days_per_month=10,
         )
-    return load_runs(spark, f"{path}/runs").select("rmse", "mae", "r2", "params")
+        again = M.evaluate(load_boosted(spark, f"{path}/model"), test)
+        rows.append((run, done["run_id"], *(again[m] for m in ("rmse", "mae", "r2"))))
+    seen = spark.createDataFrame(rows, "run int, run_id string, again_rmse double, again_mae double, again_r2 double")
+    logged = load_runs(spark, f"{path}/runs")
+    tuned = F.map_filter("params", lambda k, _: k.startswith(TUNED_PREFIX))
+    listed = F.array_sort(F.map_entries(tuned))
+    least, most = logged.agg(F.min(listed)).scalar(), logged.agg(F.max(listed)).scalar()
+    agree = F.lit(True)
+    for m in ("rmse", "mae", "r2"):
+        agree &= F.abs(F.col(m) - F.col(f"again_{m}")) < 1e-9
+    return seen.join(logged, "run_id").select(
+        "run", F.lit(test.count()).cast("bigint").alias("test_rows"), F.size(tuned).alias("tuned"),
+        agree.alias("metrics_agree"), (least == most).alias("same_parameters"),
+    )
+
+
+@query(
+    sql(
+        f"""SELECT name, round(edge, 6) AS edge, round(gain, 6) AS gain, round(left_mean, 6) AS left_mean, round(right_mean, 6) AS right_mean
+        FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY gain DESC, edge) AS place FROM gains WHERE n_left >= 20 AND n - n_left >= 20)
+        WHERE place = 1 AND gain > 1e-9""",
+        "hours",
+        features=features_sql(),
+        fitted=f"SELECT * FROM {_SPLIT_FEATURES} WHERE split <> 'test'",
+        entries="SELECT demand, unnest([" + ", ".join(
+            f"{{'name': '{c}', 'v': CAST({c} AS DOUBLE)}}" for c in FEATURE_COLUMNS
+        ) + "], recursive := true) FROM fitted",
+        vals="SELECT name, v, count(*) AS n, sum(demand) AS s FROM entries GROUP BY name, v",
+        below="""SELECT name, v, coalesce(sum(n) OVER before, 0) AS n_left, coalesce(sum(s) OVER before, 0) AS s_left,
+            sum(n) OVER (PARTITION BY name) AS n, sum(s) OVER (PARTITION BY name) AS s
+            FROM vals WINDOW before AS (PARTITION BY name ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
+        parts="SELECT *, floor(n_left * 32 / n) AS part, lag(floor(n_left * 32 / n)) OVER (PARTITION BY name ORDER BY v) AS part_before FROM below",
+        gains="""SELECT name, v AS edge, n_left, n, s_left / n_left AS left_mean, (s - s_left) / (n - n_left) AS right_mean,
+            pow(s_left - n_left * s / n, 2) / n_left + pow(s - s_left - (n - n_left) * s / n, 2) / (n - n_left) AS gain
+            FROM parts WHERE part <> part_before""",
+    )
+)
+def boosting_root_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best first cut of every feature over all rows before the test window."""
+    cuts = root_cuts(_features(spark, sf_dir).where(F.col("split") != M.TEST))
+    return cuts.select("name", *(F.round(c, 6).alias(c) for c in ("edge", "gain", "left_mean", "right_mean")))
+
+
+@query(
+    sql(
+        """SELECT model, count(*) AS scored_rows, CAST(0 AS BIGINT) AS differences FROM features, (SELECT unnest(['boosted', 'pipeline']) AS model)
+        GROUP BY model""",
+        "hours",
+        features=features_sql(),
+    )
+)
+def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions of all feature rows before saving and after loading, for both kinds of model."""
+    rows = _features(spark, sf_dir)
+    known = rows.where(F.col("split") != M.TEST)
+    [boosted] = boost(known, [{"n_estimators": 10, "max_depth": 4, "subsample": 0.8, "colsample_bytree": 0.8}])
+    pipeline = M.train_model(known, {"max_depth": 4, "n_estimators": 5})
+    path = scratch_path(spark, "model")
+    pairs = {
+        "boosted": (boosted, load_boosted(spark, save_boosted(spark, boosted, f"{path}/boosted"))),
+        "pipeline": (pipeline, load_model(save_model(pipeline, f"{path}/pipeline"))),
+    }
+    scored = [
+        saved.transform(before.transform(rows).select(*rows.columns, F.col("prediction").alias("before"))).select(
+            F.lit(name).alias("model"), "before", "prediction"
+        )
+        for name, (before, saved) in pairs.items()
+    ]
+    differ = F.count_if(~F.col("before").eqNullSafe(F.col("prediction")) | F.col("before").isNull())
+    return scored[0].unionByName(scored[1]).groupBy("model").agg(F.count(F.lit(1)).alias("scored_rows"), differ.alias("differences"))
 
 
 @query(_METRICS_SQL)

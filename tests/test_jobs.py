@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from demand_engine.functions.times import hour_of
 from demand_engine.operators import modeling as M
+from demand_engine.operators.boosting import load_boosted
 from demand_engine.operators.demand import demand_features, station_hours
 from demand_engine.operators.report import prediction_report
 from demand_engine.operators.weather import clamped
@@ -16,7 +17,7 @@ from demand_engine.plans.train import train
 from demand_engine.queries import views
 from demand_engine.schemas import FEATURE_COLUMNS, WEATHER_FILLS
 from demand_engine.session import shared_dir
-from demand_engine.sources.datasets import load_model, load_runs, load_table, log_run
+from demand_engine.sources.datasets import load_runs, load_table, log_run
 
 SPACE = {
     "max_depth": M.Range(2, 3, whole=True),
@@ -110,7 +111,7 @@ def test_second_training_run_reuses_parameters(spark, job):
 
 def test_saved_model_predicts_whole_trips(spark, job):
     path, trips, _ = job
-    model = load_model(f"{path}/model")
+    model = load_boosted(spark, f"{path}/model")
     days = whole_days(datetime(2024, 1, 10), datetime(2024, 1, 20))
     report = prediction_report(trips, M.scorer(model), *days, order_by="ride_id")
     bad = report.where("predicted < 0 OR error <> actual - predicted OR predicted IS NULL")
@@ -129,26 +130,8 @@ def test_search_is_repeatable_and_sorted(spark, small):
     assert first[0]["rmse"] <= first[1]["rmse"]
 
 
-def test_rounds_end_fifty_after_the_best():
-    falling = [10 - k / 10 for k in range(60)]
-    assert M.best_round(falling) == (60, False)
-    assert M.best_round([*falling, *[9.0] * 49]) == (60, False)
-    assert M.best_round([*falling, *[9.0] * 50, 0.0]) == (60, True)
-    assert M.best_round([1.0]) == (1, False)
-
-
-def test_a_slow_rate_keeps_many_rounds(spark, small):
-    """Each round gains less than one part in a hundred; boosting has to go on all the same."""
-    rows = demand_features(views.enriched(spark, small), "ride_id", ordered=False)
-    rows = rows.withColumn("demand", F.col("hour") * 3 + F.col("weekday")).withColumn("held", F.col("hour") % 5 == 0)
-    found = M.watch_boosting(rows.cache(), {"max_depth": 2, "learning_rate": 0.05, "n_estimators": 30}, "held", patience=5)
-    assert found.rounds > 20 and found.rmse == min(found.errors)
-    with pytest.raises(ValueError, match="validate"):
-        M.watch_boosting(rows.where("NOT held"), {}, "held")
-
-
 def test_an_empty_window_fails_before_any_fit(spark, small, tmp_path, monkeypatch):
-    monkeypatch.setattr(M, "_trees", None)  # a fit would raise another error
+    monkeypatch.setattr("demand_engine.plans.train.boost", None)  # a fit would raise another error
     with pytest.raises(ValueError, match="test_rows is 0"):
         train(views.enriched(spark, small), str(tmp_path / "m"), str(tmp_path / "r"), datetime(2030, 1, 1), days_per_month=10)
 
@@ -248,21 +231,3 @@ def test_prepare_from_raw_files_to_a_report(spark, tmp_path):
     assert [(r["actual"], r["predicted"], r["error"]) for r in report.collect()] == [(2, 1, 1), (1, 1, 0)]
     plan = report._jdf.queryExecution().executedPlan().toString()
     assert "started_date" in plan.split("PartitionFilters: ", 1)[1].split("]")[0]
-
-
-def test_registered_searches_are_whole(spark, small, monkeypatch):
-    """All trials over all parameters; the fits themselves are left out here."""
-    from demand_engine.queries import model
-
-    tried = []
-
-    def watched(df, params, *_):
-        tried.append(params)
-        return M.Boosting(1, [1.0])
-
-    monkeypatch.setattr(M, "watch_boosting", watched)
-    assert model.random_search(spark, small).count() == len(tried) == 20
-    assert all(set(p) == set(M.SEARCH_SPACE) for p in tried) and max(p["n_estimators"] for p in tried) > 1000
-    tried.clear()
-    model.training_job(spark, small)
-    assert len(tried) == 20 and all(set(p) == set(M.SEARCH_SPACE) for p in tried)

@@ -11,7 +11,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-ROWS_ONLY = {"train_and_score", "early_stopping", "random_search", "training_job", "model_report"}
+ROWS_ONLY = {"train_and_score", "model_report"}
 
 
 @pytest.fixture(scope="module")
@@ -59,6 +59,6 @@ def test_query_matches_sql(spark, duck, small, name):
     assert rows(got) == rows(expected)
 
 
-@pytest.mark.parametrize("name", sorted(ROWS_ONLY - {"training_job", "random_search"}))
+@pytest.mark.parametrize("name", sorted(ROWS_ONLY))
 def test_model_query_runs(spark, small, name):
     assert contract.queries()[name](spark, small).count() > 0
