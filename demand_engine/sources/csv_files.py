@@ -11,13 +11,13 @@ from functools import reduce
 from io import TextIOWrapper
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from demand_engine.functions.times import parse_time
 from demand_engine.operators.tables import canonical, quoted, rename_known, union_relaxed
 from demand_engine.schemas import STATION_HEADERS, STATION_TYPES, TRIP_HEADERS, TRIP_TYPES
+from demand_engine.session import cut_lineage, scratch_path
 from demand_engine.sources.files import decoded_path, name_below, opened, spread
 
 # Fixed value: how the files write a missing value.
@@ -46,49 +46,100 @@ def headers(files: DataFrame) -> dict[str, list[str]]:
     return {line: sorted(paths) for line, paths in sorted(groups.items())}
 
 
-def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(source_path, line) of text files; large files are split over tasks."""
-    return spark.read.text(list(paths)).select(
+# One field whose quotes, if it has any, end; a field in quotes that the line leaves open.
+_CLOSED = r'(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|[^",][^,]*+|)'
+_OPEN = r'"[^"]*+(?:""[^"]*+)*+'
+_QUOTED = r'[^"]*+(?:""[^"]*+)*+'
+# Lines that end inside quotes: begun outside; begun inside, if the quotes never end or if others open behind them.
+_OPENS = rf"^(?:{_CLOSED},)*+{_OPEN}\z"
+_STAYS = rf'^(?:{_QUOTED}|{_QUOTED}"[^,]*+,(?:{_CLOSED},)*+{_OPEN})\z'
+
+
+def staged_lines(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """The lines of all files of (path, group), written by group: the one read of the files.
+
+    (source_path, block, place, line, opens, stays, group): `block` is where the split begins that the
+    line was read in, so that large files are read by many tasks, `place` ascends in it. NUL bytes are
+    gone. `opens` and `stays` tell whether a line ends inside quotes, if it begins outside and if it begins
+    inside them.
+    """
+    paths = [r["path"] for r in files.collect()]
+    by_path = files.select(F.col("path").alias("source_path"), "group")
+    quoted_line = F.contains("line", F.lit('"'))
+    lines = spark.read.option("lineSep", "\n").text(paths).select(
         decoded_path(F.col("_metadata.file_path")).alias("source_path"),
-        F.col("value").alias("line"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+        F.replace("value", F.lit(NUL), F.lit("")).alias("line"),
+    )
+    marked = lines.withColumns(
+        {
+            "opens": F.when(quoted_line, F.rlike("line", F.lit(_OPENS))).otherwise(False).cast("int"),
+            "stays": F.when(quoted_line, F.rlike("line", F.lit(_STAYS))).otherwise(True).cast("int"),
+        }
     )
+    path = scratch_path(spark, "lines")
+    marked.join(F.broadcast(by_path), "source_path").write.partitionBy("group").parquet(path)
+    return spark.read.schema(f"{_LINES}, group int").parquet(path)
 
 
-@dataclass(frozen=True)
-class Marks:
-    """Files that need more than a plain scan: those with NUL bytes, and those in which a line may
-    end inside quotes."""
+_LINES = "source_path string, block bigint, place bigint, line string, opens int, stays int"
+
+
+def _begins(rows: DataFrame, within: Sequence[str], order: str) -> DataFrame:
+    """`rows` with what is known of the state, inside quotes or not, that each begins in.
 
-    nul: frozenset[str]
-    broken: frozenset[str]
+    A row either sets the state (opens = stays), turns it (opens > stays) or keeps it. So the state is
+    `turned` modulo 2 behind the last setting row, and that beyond the group's own begin where no row has set it.
+    """
+    before = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    turns = (F.col("opens") > F.col("stays")).cast("int")
+    counted = rows.withColumn("turns", F.coalesce(F.sum(turns).over(before), F.lit(0)))
+    seen = F.when(F.col("opens") == F.col("stays"), F.struct(F.col("opens").alias("to"), (F.col("turns") + turns).alias("turns")))
+    last = counted.withColumn("set", F.last(seen, ignorenulls=True).over(before))
+    turned = F.when(F.col("set").isNull(), F.col("turns")).otherwise(F.col("set.to") + F.col("turns") - F.col("set.turns"))
+    return last.withColumns({"is_set": F.col("set").isNotNull(), "turned": turned % 2}).drop("set", "turns")
 
 
-def marks(spark: SparkSession, paths: Sequence[str]) -> Marks:
-    """What is special about each file, found in one pass over the lines.
+def _records_across_lines(lines: DataFrame) -> DataFrame:
+    """(source_path, block, place, line) per record of files in which records go over several lines.
 
-    A quoted line break leaves a line with an odd number of quotes. A lone quote inside a value does
-    so too; such a file is read in one piece for nothing, but rightly.
+    A scan over the states in which lines begin: inside each block, over the blocks of a file, and back.
+    Lines that are records of their own stay where they are; only pieces of others meet, by the line
+    that opens them, in whatever blocks they lie. A record is held whole by the task that joins it.
     """
-    line = F.replace("line", F.lit(NUL), F.lit(""))
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    found = (
-        _lines(spark, paths)
-        .groupBy("source_path")
-        .agg(
-            F.bool_or(F.contains("line", F.lit(NUL))).alias("nul"),
-            F.bool_or(quotes % 2 == 1).alias("broken"),
-        )
-        .where("nul OR broken")
-        .collect()
+    begun = cut_lineage(_begins(lines, ["source_path", "block"], "place"))
+    last = F.max_by(F.struct("is_set", "turned", "opens", "stays"), "place").alias("last")
+    blocks = begun.groupBy("source_path", "block").agg(last)
+    ends = {to: F.when((F.col("last.turned") + start) % 2 == 1, F.col("last.stays")).otherwise(F.col("last.opens")) for to, start in (("opens", 0), ("stays", 1))}
+    set_ends = F.when(F.col("last.turned") == 1, F.col("last.stays")).otherwise(F.col("last.opens"))
+    whole = blocks.select("source_path", "block", *(F.when(F.col("last.is_set"), set_ends).otherwise(e).alias(to) for to, e in ends.items()))
+    starts = _begins(whole, ["source_path"], "block").select(
+        F.col("source_path").alias("__path"), F.col("block").alias("__block"), F.col("turned").alias("__inside")
+    )
+    at_block = (F.col("source_path") == F.col("__path")) & (F.col("block") == F.col("__block"))
+    inside = F.when(F.col("is_set"), F.col("turned")).otherwise((F.col("turned") + F.col("__inside")) % 2)
+    stated = cut_lineage(begun.join(starts, at_block).select("source_path", "block", "place", "line", "opens", inside.alias("inside")))
+
+    alone = (F.col("inside") == 0) & (F.col("opens") == 0)
+    pieces = stated.where(~alone)
+    opening = F.when(F.col("inside") == 0, F.struct("block", "place"))
+    so_far = Window.partitionBy("source_path", "block").orderBy("place")
+    earlier = Window.partitionBy("source_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    by_block = pieces.groupBy("source_path", "block").agg(F.max(opening).alias("opened"))
+    carried = by_block.select(
+        F.col("source_path").alias("__path"), F.col("block").alias("__block"), F.last("opened", ignorenulls=True).over(earlier).alias("__opened")
     )
-    return Marks(
-        frozenset(r["source_path"] for r in found if r["nul"]),
-        frozenset(r["source_path"] for r in found if r["broken"]),
+    own = pieces.withColumn("own", F.last(opening, ignorenulls=True).over(so_far)).join(carried, at_block)
+    joined = own.groupBy("source_path", F.coalesce("own", "__opened").alias("first")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "place", "line"))), lambda r: r["line"]), "\n").alias("line")
     )
+    columns = ["source_path", "block", "place", "line"]
+    return stated.where(alone).select(columns).unionByName(joined.select("source_path", "first.block", "first.place", "line"))
 
 
 def _whole_file_rows(width: int):
-    """Task function: whole files -> rows of text, for files with NUL bytes and quoted line breaks."""
+    """Task function: whole files -> rows of text, for files whose lines end in carriage returns alone."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -105,70 +156,53 @@ def _whole_file_rows(width: int):
     return run
 
 
-def sanitized_lines(spark: SparkSession, header: str, paths: Sequence[str]) -> DataFrame:
-    """(source_path, line) without NUL bytes and without the header line of each file.
+@dataclass(frozen=True)
+class Marks:
+    """Files that need more than a look at each line: those in which records go over several lines, and
+    those whose lines end in carriage returns alone, which Spark's line reader can't split."""
 
-    Lines carry no position in a file that is split, so all lines equal to the header are taken out
-    and, since equal lines are interchangeable, all but one per file are put back.
-    """
-    clean = _lines(spark, paths).withColumn("line", F.replace("line", F.lit(NUL), F.lit("")))
-    is_header = F.col("line") == F.lit(header)
-    repeated = (
-        clean.where(is_header)
-        .groupBy("source_path")
-        .agg((F.count(F.lit(1)) - 1).cast("int").alias("n"))
-        .where(F.col("n") > 0)
-    )
-    again = repeated.select(
-        "source_path", F.explode(F.array_repeat(F.lit(header), F.col("n"))).alias("line")
-    )
-    return clean.where(~is_header).unionByName(again)
+    across: frozenset[str]
+    carriage: frozenset[str]
+
+
+def marks(lines: DataFrame) -> Marks:
+    """What is special about each file of `staged_lines`."""
+    lone = F.contains(F.regexp_replace("line", r"\r\z", ""), F.lit("\r")) & (F.col("opens") == 0) & (F.col("stays") == 1)
+    found = lines.groupBy("source_path").agg(F.bool_or(F.col("opens") == 1).alias("across"), F.bool_or(lone).alias("carriage"))
+    rows = found.where("across OR carriage").collect()
+    carriage = frozenset(r["source_path"] for r in rows if r["carriage"])
+    return Marks(frozenset(r["source_path"] for r in rows if r["across"]) - carriage, carriage)
 
 
-def _parsed(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _parsed(records: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Records as columns of text, without the first of each file and without blank ones."""
     ddl = ", ".join(f"c{i} STRING" for i in range(len(columns)))
-    row = F.from_csv("line", ddl, CSV_OPTIONS)
+    firsts = records.where("block = 0").groupBy(F.col("source_path").alias("__path")).agg(F.min("place").alias("__first"))
+    is_first = (F.col("source_path") == F.col("__path")) & (F.col("block") == 0) & (F.col("place") == F.col("__first"))
+    text = F.regexp_replace("line", r"\r\z", "")
     return (
-        lines.where(F.trim("line") != "")
-        .select("source_path", row.alias("row"))
-        .select(
-            *(F.col(f"row.c{i}").alias(c) for i, c in enumerate(columns)), "source_path"
-        )
+        records.join(F.broadcast(firsts), is_first, "left_anti")
+        .where(F.trim(text) != "")
+        .select("source_path", F.from_csv(text, ddl, CSV_OPTIONS).alias("row"))
+        .select(*(F.col(f"row.c{i}").alias(c) for i, c in enumerate(columns)), "source_path")
     )
 
 
-def _scanned(
-    spark: SparkSession, columns: Sequence[str], paths: Sequence[str], multi_line: bool
-) -> DataFrame:
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    rows = spark.read.schema(schema).options(header=True, multiLine=multi_line, **CSV_OPTIONS).csv(list(paths))
-    return rows.select("*", decoded_path(F.col("_metadata.file_path")).alias("source_path"))
-
-
-def read_text_columns(
-    spark: SparkSession, header: str, paths: Sequence[str], marked: Marks
-) -> DataFrame:
-    """Files with one header, all columns as text, and `source_path`.
-
-    Plain files go through Spark's CSV scan, which splits large ones. Files with line breaks inside
-    quotes go through it file by file. Files with NUL bytes are read as lines, freed of them and
-    parsed after that, as a NUL next to a quote would mislead the scan; with quoted line breaks as
-    well they are parsed as a stream, one task per file.
-    """
+def read_text_columns(spark: SparkSession, header: str, paths: Sequence[str], lines: DataFrame, marked: Marks) -> DataFrame:
+    """Files with one header, all columns as text, and `source_path`, from their staged lines."""
     columns = next(csv.reader([header]), [])
-    kinds: dict[tuple[bool, bool], list[str]] = defaultdict(list)
-    for path in paths:
-        kinds[path in marked.nul, path in marked.broken].append(path)
+    special = [p for p in paths if p in marked.across]
+    odd = [p for p in paths if p in marked.across or p in marked.carriage]
     parts = []
-    for (nul, broken), own in sorted(kinds.items()):
-        if not nul:
-            parts.append(_scanned(spark, columns, own, broken))
-        elif not broken:
-            parts.append(_parsed(sanitized_lines(spark, header, own), columns))
-        else:
-            files = spread(spark.createDataFrame([(p,) for p in own], "path string"))
-            ddl = ", ".join([*(f"c{i} string" for i in range(len(columns))), "source_path string"])
-            parts.append(files.mapInPandas(_whole_file_rows(len(columns)), ddl).toDF(*columns, "source_path"))
+    if len(odd) < len(paths):
+        plain = lines.where(~F.col("source_path").isin(odd)) if odd else lines
+        parts.append(_parsed(plain.select("source_path", "block", "place", "line"), columns))
+    if special:
+        parts.append(_parsed(cut_lineage(_records_across_lines(lines.where(F.col("source_path").isin(special)))), columns))
+    if len(odd) > len(special):
+        files = spread(spark.createDataFrame([(p,) for p in paths if p in marked.carriage], "path string"))
+        ddl = ", ".join([*(f"c{i} string" for i in range(len(columns))), "source_path string"])
+        parts.append(files.mapInPandas(_whole_file_rows(len(columns)), ddl).toDF(*columns, "source_path"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -181,17 +215,22 @@ def read_csv(
     """The rows of all files under canonical names and types, plus columns not declared as text.
 
     Files are grouped by header, since one scan over different headers would put values into the
-    wrong columns, and the groups are united by name. With `roots`, the folders the files lie in, a
+    wrong columns, and the groups are united by name. Beside its first line each file is read once, as
+    lines, which are written to the shared folder; what is special about a file is found there, and all
+    parsing is done from there. With `roots`, the folders the files lie in, a
     `source_file` column holds the name below them.
     """
     spark = files.sparkSession
     groups = headers(files)
     if not groups:
         raise ValueError("no files to read")
-    marked = marks(spark, [p for paths in groups.values() for p in paths])
+    grouped = [(path, k) for k, paths in enumerate(groups.values()) for path in paths]
+    lines = staged_lines(spark, spark.createDataFrame(grouped, "path string, group int"))
+    marked = marks(lines)
     parts = []
-    for header, paths in groups.items():
-        rows = rename_known(read_text_columns(spark, header, paths, marked), names)
+    for group, (header, paths) in enumerate(groups.items()):
+        own = lines.where(F.col("group") == group)
+        rows = rename_known(read_text_columns(spark, header, paths, own, marked), names)
         times = {
             c: parse_time(quoted(c))
             for c, t in types.items()

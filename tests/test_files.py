@@ -1,4 +1,6 @@
 import os
+import random
+import re
 import zipfile
 from datetime import datetime
 
@@ -68,9 +70,9 @@ def test_nul_bytes(spark, tmp_path, content, clean):
     header, *rows = clean.decode().splitlines()
     uri = listed(spark, tmp_path).first()["path"]
     assert C.headers(listed(spark, tmp_path)) == {header: [uri]}
-    assert C.marks(spark, [uri]).nul == {uri}
-    got = C.sanitized_lines(spark, header, [uri])
-    assert sorted(r["line"] for r in got.collect()) == sorted(rows)
+    lines = C.staged_lines(spark, spark.createDataFrame([(uri, 0)], "path string, group int"))
+    assert C.marks(lines) == C.Marks(frozenset(), frozenset())
+    assert sorted(r["line"] for r in lines.collect()) == sorted([header, *rows])
 
     source, target = open(path, "rb"), open(tmp_path / "copy", "wb")
     with source, target:
@@ -277,3 +279,87 @@ def test_registered_rebuild_loads_changed_files_again(spark, small, monkeypatch)
     ingest.changed_file_rebuild(spark, small)
     first, second = (d["loaded"] for d in done)
     assert second and second == [n for n in first if n.startswith("old/")] and second != first
+
+
+def random_csv(rng, rows):
+    """Text and its records: values with quotes, commas and line breaks, some quotes inside plain values."""
+    records, lines = [], []
+    for k in range(rows):
+        values, cells = [str(k)], [str(k)]
+        for _ in range(2):
+            value = "".join(rng.choice(['"', ",", "\n", "\r\n", "ab", "c d", '""', "é"]) for _ in range(rng.randint(0, 6)))
+            if rng.random() < 0.5:
+                value = rng.choice(["5\" pipe", "plain", "a\"b\"c", "x"])
+                cells.append(value)
+            else:
+                cells.append('"' + value.replace('"', '""') + '"')
+            values.append(value)
+        records.append(tuple(values))
+        lines.append(",".join(cells))
+        if rng.random() < 0.1:
+            lines.append("")
+    return "bikeid,start station name,usertype\n" + "\n".join(lines) + "\n", records
+
+
+@pytest.mark.parametrize("split", [100, 1000, 1 << 27])
+def test_records_across_lines_and_splits(spark, tmp_path, monkeypatch, split):
+    """Large files are split wherever it may be, inside quotes too, and records go over any number of splits."""
+    rng, wanted = random.Random(split), []
+    for number in range(3):
+        text, records = random_csv(rng, 120)
+        long = ("x" * 30 + '"",\n') * 40
+        text += f'long,"{long}",y\n' + "last,a,b"
+        records += [("long", long.replace('""', '"'), "y"), ("last", "a", "b")]
+        put(tmp_path, f"{number}-trips.csv", text)
+        wanted += [(f"{number}-trips.csv", *r) for r in records]
+    stage, splits = C.staged_lines, []
+
+    def staged(spark, listing):
+        before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+        try:
+            lines = stage(spark, listing)
+            splits.append(lines.select("source_path", "block").distinct().count())
+            return lines
+        finally:
+            for k, v in before.items():
+                spark.conf.set(k, v)
+
+    monkeypatch.setattr(C, "staged_lines", staged)
+    got = C.read_trip_csv(listed(spark, tmp_path), root_of(spark, tmp_path))
+    rows = [(r["source_file"], r["bike_id"], r["start_station_name"], r["user_type"]) for r in got.collect()]
+    assert sorted(map(str, rows)) == sorted(map(str, wanted))
+    assert splits[0] > 3 if split < 1 << 20 else splits == [3]
+
+
+def test_each_file_is_read_once(spark, tmp_path):
+    """Beside the first line: files and scratch are told apart by the paths that plans read."""
+    put(tmp_path, "1-trips.csv", "bikeid,usertype\n" + "1,a\n" * 50)
+    put(tmp_path, "2-trips.csv", 'bikeid,usertype\n2,"a\nb"\n')
+    scans = []
+    read = type(spark.read).text
+
+    def text(self, paths, *more, **named):
+        scans.append(list(paths))
+        return read(self, paths, *more, **named)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(spark.read), "text", text)
+        got = C.read_trip_csv(listed(spark, tmp_path))
+        assert got.count() == 51
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert len(scans) == 1 and len(scans[0]) == 2
+    assert set(re.findall(r"Relation ?\[[^]]*\] (\w+)", plan)) == {"parquet"}
+
+
+def test_line_ends(spark, tmp_path):
+    put(tmp_path, "crlf-trips.csv", 'bikeid,usertype\r\n1,a\r\n2,"b\r\nc"\r\n3,\r\n')
+    put(tmp_path, "cr-trips.csv", "bikeid,usertype\r4,d\r5,e\r")
+    put(tmp_path, "bom-trips.csv", "\ufeffbikeid,usertype\n6,f\n\n7,g")
+    put(tmp_path, "empty-trips.csv", "bikeid,usertype\n")
+    got = C.read_trip_csv(listed(spark, tmp_path), root_of(spark, tmp_path)).collect()
+    assert sorted((r["bike_id"], r["user_type"]) for r in got if r["source_file"] != "empty-trips.csv") == [
+        ("1", "a"), ("2", "b\r\nc"), ("3", None), ("4", "d"), ("5", "e"), ("6", "f"), ("7", "g")
+    ]
+    assert len(got) == 7
