@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,51 +63,11 @@ def left_lookup(
     """Left join on equal keys; every left row stays, a row with several partners repeats.
 
     The right side is measured first (pass `size` if that is known). Within the bounds it is
-    broadcast and the left side is not shuffled at all. Beyond them both sides are shuffled and hot
-    keys are spread out, see `spread_left_join`.
+    broadcast and the left side is not shuffled at all. Beyond them it is a sort-merge join, in which
+    adaptive execution splits what the left side has of a hot key, or of no key, over several tasks
+    (`spark.sql.adaptive.skewJoin`, on in `session.engine_session`).
     """
     right = _suffixed(left, right, on, suffix)
     if (size or measure(right)).fits(max_rows, max_bytes):
         return left.join(F.broadcast(right), list(on), "left")
-    return spread_left_join(left, right, on)
-
-
-def spread_left_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], slices: int | None = None
-) -> DataFrame:
-    """Shuffled left join in which no key is bound to one task.
-
-    With n rows and `slices` partitions a fair share is n/slices. A key with more rows than that is
-    hot and gets as many slots as fair shares; its left rows are dealt to the slots in turn by their
-    place in the partition they are read from, so that equal rows spread too and a repeated task
-    deals alike; its right rows are copied into each slot. There are fewer than `slices` hot keys and 2 x `slices` slots in all, whatever the data, which bounds
-    what is copied and broadcast. Left rows with a null key have no partner and are dealt freely.
-    """
-    on = list(on)
-    if slices is None:
-        spark = left.sparkSession
-        slices = max(
-            int(spark.conf.get("spark.sql.shuffle.partitions")),
-            4 * spark.sparkContext.defaultParallelism,
-        )
-    some_null = reduce(or_, (F.col(c).isNull() for c in on))
-    all_set = reduce(and_, (F.col(c).isNotNull() for c in on))
-    counts = left.where(all_set).groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-    fair = counts.agg(F.greatest(F.sum("__n") / F.lit(slices), F.lit(1.0))).scalar()
-    hot = (
-        counts.where(F.col("__n") > fair)
-        .select(*on, F.ceil(F.col("__n") / fair).cast("int").alias("__slots"))
-    )
-    turn = F.monotonically_increasing_id()
-    slot = F.pmod(turn, F.when(some_null, slices).otherwise(F.coalesce("__slots", F.lit(1))).cast("bigint"))
-    left_slots = (
-        left.join(F.broadcast(hot), on, "left").withColumn("__slot", slot.cast("int")).drop("__slots")
-    )
-    right_slots = (
-        right.join(F.broadcast(hot), on, "left")
-        .withColumn(
-            "__slot", F.explode(F.sequence(F.lit(0), F.coalesce("__slots", F.lit(1)) - F.lit(1)))
-        )
-        .drop("__slots")
-    )
-    return left_slots.join(right_slots.hint("merge"), [*on, "__slot"], "left").drop("__slot")
+    return left.join(right.hint("merge"), list(on), "left")

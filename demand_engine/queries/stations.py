@@ -13,7 +13,7 @@ from demand_engine.functions.names import (
     user_type,
 )
 from demand_engine.operators import stations as S
-from demand_engine.operators.joins import spread_left_join
+from demand_engine.operators.joins import left_lookup
 from demand_engine.operators.tables import (
     add_absent,
     rename_known,
@@ -175,18 +175,21 @@ def standardize_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     sql(
-        """SELECT t.*, s.total_docks, s.district FROM trips t
-        LEFT JOIN stations s ON s.station_name = t.start_station_name""",
+        """SELECT t.* REPLACE (CASE WHEN ride_id % 3 = 0 THEN (SELECT min(station_name) FROM stations) ELSE start_station_name END
+            AS start_station_name), s.total_docks, s.district
+        FROM trips t LEFT JOIN stations s ON s.station_name
+            = CASE WHEN ride_id % 3 = 0 THEN (SELECT min(station_name) FROM stations) ELSE start_station_name END""",
         "trips",
         "stations",
     )
 )
 def spread_station_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The join for a dimension too large to broadcast, with hot keys spread out."""
-    docks = stations(spark, sf_dir).select(
-        F.col("station_name").alias("start_station_name"), "total_docks", "district"
-    )
-    return spread_left_join(trips(spark, sf_dir), docks, ["start_station_name"])
+    """The join for a dimension too large to broadcast; a third of the trips starts at one station."""
+    lists = stations(spark, sf_dir)
+    busy = F.when(F.col("ride_id") % 3 == 0, lists.agg(F.min("station_name")).scalar()).otherwise(F.col("start_station_name"))
+    docks = lists.select(F.col("station_name").alias("start_station_name"), "total_docks", "district")
+    rows = trips(spark, sf_dir).withColumn("start_station_name", busy)
+    return left_lookup(rows, docks, ["start_station_name"], max_rows=0)
 
 
 @query(

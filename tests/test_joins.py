@@ -1,7 +1,9 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from demand_engine.operators.joins import Size, left_lookup, measure, spread_left_join
+from demand_engine.operators.joins import Size, left_lookup, measure
 
 
 def plan_of(df):
@@ -51,40 +53,32 @@ def test_large_side_is_not_broadcast_and_rows_are_the_same(skewed):
     assert rows_of(spread.select(plain.columns)) == rows_of(plain)
 
 
-@pytest.mark.parametrize("slices", [1, 4, 64])
-def test_spread_join_matches_plain_join(skewed, slices):
-    facts, dim = skewed
-    plain = facts.join(dim, ["name", "version"], "left")
-    spread = spread_left_join(facts, dim, ["name", "version"], slices)
-    assert spread.columns == plain.columns
-    assert rows_of(spread) == rows_of(plain)
-
-
-def test_hot_key_reaches_many_partitions(skewed, spark):
-    facts, dim = skewed
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        spread = spread_left_join(facts, dim.select("name", "docks"), ["name"], 8)
-        where = spread.withColumn("p", F.spark_partition_id())
-        hot = where.where("name = 'hot'").groupBy("p").count().collect()
-        missing = where.where("name IS NULL").groupBy("p").count().collect()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert len(hot) >= 2 and sum(r["count"] for r in hot) == 3 * 3000
-    assert len(missing) >= 4 and sum(r["count"] for r in missing) == 3000
-
-
-def test_equal_rows_of_a_hot_key_are_split_evenly(spark):
-    """Nothing but the place of a row tells these apart."""
-    facts = spark.createDataFrame([("hot",)] * 8000 + [("cold",)] * 80, "name string").repartition(4)
-    dim = spark.createDataFrame([("hot", 1), ("cold", 2)], "name string, docks int")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+SPLIT = {
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@pytest.mark.parametrize("name", ["hot", None])
+def test_a_hot_key_and_no_key_are_split_over_tasks(spark, name):
+    """A third of the rows. Spark splits by bytes, so that rows which compress to nothing stay together."""
+    rng = random.Random(4)
+    notes = ["".join(rng.choices("abcdefgh", k=20)) for _ in range(30_000)]
+    facts = spark.createDataFrame([(name if k % 3 == 0 else f"k{k % 600}", note) for k, note in enumerate(notes)], "name string, note string").repartition(12)
+    dim = spark.createDataFrame([("hot", 1), *((f"k{k}", k) for k in range(600))], "name string, docks int")
+    before = {k: spark.conf.get(k) for k in SPLIT}
+    for k, v in SPLIT.items():
+        spark.conf.set(k, v)
     try:
-        spread = spread_left_join(facts, dim, ["name"], 8)
-        sizes = spread.where("name = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+        joined = left_lookup(facts, dim, ["name"], max_rows=0).withColumn("task", F.spark_partition_id()).toPandas()
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert len(sizes) >= 4 and sum(r["count"] for r in sizes) == 8000
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    own = joined[joined["name"].isna() if name is None else joined["name"] == name]
+    assert len(joined) == 30_000 and len(own) == 10_000 and own["docks"].isna().all() == (name is None)
+    assert own["task"].nunique() > 1 and own.groupby("task").size().max() < 8_000
 
 
 def test_shared_names_get_a_suffix(spark):
