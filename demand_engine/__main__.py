@@ -17,6 +17,7 @@ from demand_engine.plans.train import train
 from demand_engine.schemas import STATION_SNAPSHOTS, with_files
 from demand_engine.session import engine_session
 from demand_engine.sources.datasets import load_table
+from demand_engine.sources.dated_trips import read_dated
 
 
 def _arguments() -> argparse.Namespace:
@@ -57,7 +58,7 @@ def main() -> None:
             )
         )
         return
-    trips = load_table(spark, f"{args.work_dir}/trips_standardized")
+    trips = read_dated(spark, f"{args.work_dir}/trips_standardized")
     model = f"{args.work_dir}/model"
     if args.job == "train":
         print(train(trips, model, f"{args.work_dir}/runs", None, args.trials, args.test_months))

@@ -27,7 +27,7 @@ from demand_engine.operators.modeling import (
     with_tuned_prefix,
 )
 from demand_engine.schemas import FEATURE_COLUMNS
-from demand_engine.session import cut_lineage
+from demand_engine.session import cut_lineage, workspace
 from demand_engine.sources.datasets import load_runs, log_run
 
 
@@ -52,30 +52,31 @@ def train(
     many times. Parameters of the best logged run are reused; only without any is there a search.
     """
     spark, started = trips.sparkSession, datetime.now()
-    features = demand_features(trips, order_by, ordered=False)
-    data = cut_lineage(
-        chronological_split(
-            features, as_of or started, test_months, days_per_month=days_per_month
+    with workspace(spark, "train"):
+        features = demand_features(trips, order_by, ordered=False)
+        data = cut_lineage(
+            chronological_split(
+                features, as_of or started, test_months, days_per_month=days_per_month
+            )
         )
-    )
 
-    sizes = split_counts(data).first().asDict()
-    if empty := [name for name, rows in sizes.items() if not rows]:
-        raise ValueError(f"nothing to fit or to score: {', '.join(empty)} is 0")
+        sizes = split_counts(data).first().asDict()
+        if empty := [name for name, rows in sizes.items() if not rows]:
+            raise ValueError(f"nothing to fit or to score: {', '.join(empty)} is 0")
 
-    params = best_parameters(load_runs(spark, runs_path))
-    if params is None:
-        best = search(data, trials, space)[0]
-        params = {**best["params"], "n_estimators": best["rounds"]}
-    known = {k: v for k, v in params.items() if k in Settings.__dataclass_fields__}
-    [model] = boost(data.where(F.col("split").isin(TRAIN, VALIDATION)), [known])
-    metrics = evaluate(model, data.where(F.col("split") == TEST))
-    save_boosted(spark, model, model_path)
-    logged = {
-        "random_state": SEED,
-        "test_months": test_months,
-        "features": list(FEATURE_COLUMNS),
-        **with_tuned_prefix(params),
-    }
-    run_id = log_run(spark, runs_path, logged, metrics, started)
-    return {"run_id": run_id, "params": params, "metrics": metrics}
+        params = best_parameters(load_runs(spark, runs_path))
+        if params is None:
+            best = search(data, trials, space)[0]
+            params = {**best["params"], "n_estimators": best["rounds"]}
+        known = {k: v for k, v in params.items() if k in Settings.__dataclass_fields__}
+        [model] = boost(data.where(F.col("split").isin(TRAIN, VALIDATION)), [known])
+        metrics = evaluate(model, data.where(F.col("split") == TEST))
+        save_boosted(spark, model, model_path)
+        logged = {
+            "random_state": SEED,
+            "test_months": test_months,
+            "features": list(FEATURE_COLUMNS),
+            **with_tuned_prefix(params),
+        }
+        run_id = log_run(spark, runs_path, logged, metrics, started)
+        return {"run_id": run_id, "params": params, "metrics": metrics}

@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,9 +51,29 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+#: The folder of the job that is running, if it has one.
+_job_folder: ContextVar[str | None] = ContextVar("job_folder", default=None)
+
+
+@contextmanager
+def workspace(spark: SparkSession, name: str) -> Iterator[str]:
+    """A folder for all intermediate tables of a job, deleted when the job ends, well or not.
+
+    What the job returns must not read them any more.
+    """
+    folder = scratch_path(spark, name)
+    before = _job_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _job_folder.reset(before)
+        where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that nothing else uses."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    """A path that nothing else uses, in the running job's folder or else under the shared one."""
+    return os.path.join(_job_folder.get() or shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -17,8 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from demand_engine.session import cut_lineage
 from demand_engine.sources.csv_files import SOURCE_FILE, read_trip_csv
 from demand_engine.sources.files import (
+    decoded_path,
     exists,
     list_folders,
     list_objects,
@@ -73,8 +75,19 @@ def _stored(spark: SparkSession, table: str) -> dict[str, str]:
     return {unquote(f.partition("=")[2]): f"{table}/data/{f}" for f in folders}
 
 
-def _data_files(spark: SparkSession, folder: str) -> set[str]:
-    return {r["name"] for r in list_objects(spark, folder).select("name").collect()}
+def _data_files(spark: SparkSession, table: str) -> DataFrame:
+    """(name, source_file) of the files that hold the table's rows, in one listing."""
+    path = f"{table}/data"
+    if not exists(spark, path):
+        return spark.createDataFrame([], "name string, source_file string")
+    folder = F.split("name", "/")[0]
+    return list_objects(spark, path).select("name", decoded_path(F.split(folder, "=", 2)[1]).alias(SOURCE_FILE))
+
+
+def loaded_files(spark: SparkSession, table: str) -> dict[str, int | None]:
+    """Files with rows in the table, and the whole-second time that each was loaded with (None: not recorded)."""
+    times = {r["name"]: r["mtime"] for r in load_manifest(spark, table).collect()}
+    return {name: times.get(name) for name in _stored(spark, table)}
 
 
 def _write(spark: SparkSession, rows: DataFrame, table: str) -> None:
@@ -110,33 +123,29 @@ def update_trips(
     table is not touched. When a file has changed (or there is no table yet) the table ends up with
     the present files only; otherwise rows of files that are gone stay.
     """
-    listing = trip_files(list_folders(spark, folders))
-    files = classify(listing, load_manifest(spark, table)).orderBy("name").collect()
+    listing = cut_lineage(classify(trip_files(list_folders(spark, folders)), load_manifest(spark, table)))
     done: dict[str, list[str]] = {"loaded": [], "dropped": []}
-    if not files:
-        return done
-    present = {f["name"] for f in files}
     stored = _stored(spark, table)
-    todo = files if not stored else [f for f in files if f["status"] != "unchanged"]
+    todo = (listing.where(F.col("status") != "unchanged") if stored else listing).orderBy("name").collect()
     if not todo:
         return done
-    rebuild = not stored or any(f["status"] == "changed" for f in todo)
+    rebuild = not stored or needs_rebuild(listing).first()["rebuild"]
 
     done["loaded"] = [f["name"] for f in todo]
-    before = {
-        name: _data_files(spark, stored[name]) for name in done["loaded"] if name in stored
-    }
+    before = cut_lineage(_data_files(spark, table))
     paths = spark.createDataFrame([(f["path"],) for f in todo], "path string")
     _write(spark, read_trip_csv(paths, [qualified(spark, f) for f in folders]), table)
 
-    # A file that has no rows any more writes no folder, so the old one is still there.
-    emptied = [n for n, old in before.items() if _data_files(spark, stored[n]) == old]
+    # A file that has no rows any more writes no folder, so the old one is still there, as it was.
+    fresh = _data_files(spark, table).join(before, "name", "left_anti").select(SOURCE_FILE).distinct()
+    written = {r[SOURCE_FILE] for r in fresh.collect()}
+    emptied = [n for n in done["loaded"] if n in stored and n not in written]
+    present = {r["name"] for r in listing.select("name").collect()}
     gone = [name for name in stored if name not in present] if rebuild else []
-    for name in [*emptied, *gone]:
-        remove(spark, stored[name])
     done["dropped"] = sorted([*emptied, *gone])
-    times = [(f["name"], f["mtime"]) for f in files]
-    save_manifest(spark.createDataFrame(times, MANIFEST_SCHEMA), table)
+    for name in done["dropped"]:
+        remove(spark, stored[name])
+    save_manifest(listing, table)
     return done
 
 

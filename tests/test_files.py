@@ -363,3 +363,19 @@ def test_line_ends(spark, tmp_path):
         ("1", "a"), ("2", "b\r\nc"), ("3", None), ("4", "d"), ("5", "e"), ("6", "f"), ("7", "g")
     ]
     assert len(got) == 7
+
+
+def test_as_many_jobs_for_one_changed_file_as_for_fifty(spark, tmp_path):
+    raw, table, counts = tmp_path / "raw", str(tmp_path / "table"), []
+    paths = [put(raw, f"{k:02d}-trips.csv", trip_csv(k)) for k in range(50)]
+    trips_table.update_trips(spark, [str(raw)], table)
+    for round_, changed in enumerate((paths[:1], paths)):
+        for path in changed:
+            touch(path, 10 * (round_ + 1))
+        spark.sparkContext.setJobGroup(f"update {round_}", "")
+        done = trips_table.update_trips(spark, [str(raw)], table)
+        counts.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"update {round_}")))
+        assert len(done["loaded"]) == len(changed) and done["dropped"] == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert abs(counts[0] - counts[1]) <= 1
+    assert len(ids_in(spark, table)) == 50

@@ -1,3 +1,4 @@
+import os
 import random
 import zipfile
 from datetime import datetime, timedelta
@@ -11,12 +12,13 @@ from demand_engine.operators.boosting import load_boosted
 from demand_engine.operators.demand import demand_features, station_hours
 from demand_engine.operators.report import prediction_report
 from demand_engine.operators.weather import clamped
-from demand_engine.plans.prepare import prepare, whole_days
+from demand_engine.plans.prepare import prepare, refresh, whole_days
 from demand_engine.plans.report import write_report
 from demand_engine.plans.train import train
 from demand_engine.queries import views
-from demand_engine.schemas import FEATURE_COLUMNS, WEATHER_FILLS
-from demand_engine.session import shared_dir
+from demand_engine.schemas import FEATURE_COLUMNS, STATION_SNAPSHOTS, WEATHER_FILLS
+from demand_engine.session import cut_lineage, shared_dir, workspace
+from demand_engine.sources.dated_trips import current_state, read_dated, replace_dates
 from demand_engine.sources.datasets import load_runs, load_table, log_run
 
 SPACE = {
@@ -209,8 +211,9 @@ def test_prepare_from_raw_files_to_a_report(spark, tmp_path):
 
     path = prepare(spark, str(source), work, observations)
     assert prepare(spark, str(source), work, observations) == path
-    trips = load_table(spark, path)
+    trips = read_dated(spark, path)
     assert trips.count() == 10
+    assert not [d for d in os.listdir(shared_dir(spark)) if d.startswith(("prepare-", "train-"))]
     old = trips.where("bike_id <> '9'").collect()
     assert {(r["start_station_name"], r["end_station_name"]) for r in old} == {("main st", "side st")}
     assert {(r["start_station_total_docks"], r["end_station_total_docks"]) for r in old} == {(11, 21)}
@@ -231,3 +234,78 @@ def test_prepare_from_raw_files_to_a_report(spark, tmp_path):
     assert [(r["actual"], r["predicted"], r["error"]) for r in report.collect()] == [(2, 1, 1), (1, 1, 0)]
     plan = report._jdf.queryExecution().executedPlan().toString()
     assert "started_date" in plan.split("PartitionFilters: ", 1)[1].split("]")[0]
+
+    first = current_state(spark, path)
+    moved = source / "new-trips.csv"
+    moved.write_text("started_at,ended_at,start_station_name,bike_id\n2018-01-02 10:00:00,2018-01-02 10:05:00,Nowhere,9\n")
+    os.utime(moved, (0, 10**9))
+    prepare(spark, str(source), work, observations)
+    second = current_state(spark, path)
+    assert second.number == first.number + 1 and set(second.dates) == {"2018-01-01", "2018-01-02", "2018-01-03"}
+    assert {d for d, label in second.dates.items() if first.dates[d] != label} == {"2018-01-02"}
+    assert trips.count() == 10  # who began to read before goes on with what was there
+    again = read_dated(spark, path)
+    assert again.count() == 10 and again.where("started_date = '2018-01-02'").count() == 4
+
+
+def _trip(day, file, bike):
+    started = datetime(2024, 3, day, 9) if day else None
+    return (started, started, "A", "B", 0, 0, "member", bike, file)
+
+
+def test_only_touched_dates_are_made_again(spark, tmp_path):
+    schema = (
+        "started_at timestamp_ntz, ended_at timestamp_ntz, start_station_name string, end_station_name string, "
+        "start_station_version int, end_station_version int, user_type string, bike_id string, source_file string"
+    )
+    stations = spark.createDataFrame([("A", 5, 0, "yes", "x")], "station_name string, total_docks bigint, station_version int, public string, district string")
+    table = str(tmp_path / "dated")
+
+    def run(rows, warm=0, files=None, docks=stations):
+        weather = spark.createDataFrame([(datetime(2024, 3, d, 9), float(d + (warm if d == 5 else 0))) for d in range(1, 9)], "time timestamp_ntz, temp double")
+        times = files or {name: 1 for *_, name in rows}
+        refresh(spark.createDataFrame(rows, schema), docks, weather, STATION_SNAPSHOTS, table, times)
+        return current_state(spark, table)
+
+    def bikes():
+        return sorted((str(r["started_date"]), r["bike_id"], r["temp"]) for r in read_dated(spark, table).collect())
+
+    one = [_trip(1, "a", "1"), _trip(2, "a", "2"), _trip(5, "b", "3"), _trip(None, "b", "4")]
+    first = run(one)
+    assert bikes() == [("2024-03-01", "1", 1.0), ("2024-03-02", "2", 2.0), ("2024-03-05", "3", 5.0), ("None", "4", None)]
+    assert run(one).number == first.number  # nothing has changed
+    two = [*one[:2], _trip(2, "c", "5")]  # b is gone, c is new
+    second = run(two)
+    assert second.dates["2024-03-01"] == first.dates["2024-03-01"] and second.dates["2024-03-02"] != first.dates["2024-03-02"]
+    assert bikes() == [("2024-03-01", "1", 1.0), ("2024-03-02", "2", 2.0), ("2024-03-02", "5", 2.0)]
+    three = [_trip(7, "a", "1"), two[2], _trip(5, "d", "6")]  # another time of a
+    third = run(three, files={"a": 2, "c": 1, "d": 1})
+    assert set(third.dates) == {"2024-03-02", "2024-03-05", "2024-03-07"}
+    warmer = run(three, 1, {"a": 2, "c": 1, "d": 1})
+    assert {d for d, label in warmer.dates.items() if third.dates[d] != label} == {"2024-03-05"} and ("2024-03-05", "6", 6.0) in bikes()
+    other = run(three, 1, {"a": 2, "c": 1, "d": 1}, stations.withColumn("total_docks", F.lit(9).cast("bigint")))
+    assert not set(other.dates.items()) & set(warmer.dates.items())
+    folders = [p for p in (tmp_path / "dated" / "data").glob("*/*")]
+    named = {(d, v) for state in (warmer, other) for d, v in state.dates.items()}
+    assert {(p.parent.name.partition("=")[2], p.name.partition("=")[2]) for p in folders if any(p.iterdir())} == named
+
+
+def test_a_run_that_dies_while_writing_changes_nothing(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([_trip(1, "a", "1")], "started_at timestamp_ntz, ended_at timestamp_ntz, s string, e string, v int, w int, u string, bike_id string, source_file string")
+    table = str(tmp_path / "dated")
+    replace_dates(rows, table, None, {"a": 1}, {}, "s")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr("demand_engine.sources.dated_trips.write_text", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            replace_dates(rows.unionByName(rows), table, {"2024-03-01"}, {"a": 2}, {}, "s")
+    assert read_dated(spark, table).count() == 1 and current_state(spark, table).number == 1
+    replace_dates(rows.limit(0), table, {"2024-03-01"}, {}, {}, "s")
+    assert read_dated(spark, table).count() == 0
+
+
+def test_a_job_folder_goes_with_its_job(spark):
+    with pytest.raises(ZeroDivisionError):
+        with workspace(spark, "job") as folder:
+            assert cut_lineage(spark.range(3)).count() == 3 and os.path.isdir(folder)
+            raise ZeroDivisionError
+    assert not os.path.exists(folder)
