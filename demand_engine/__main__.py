@@ -5,11 +5,13 @@ from __future__ import annotations
 import argparse
 from datetime import datetime, time
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demand_engine.functions.times import previous_month
 from demand_engine.operators.boosting import load_boosted
 from demand_engine.operators.modeling import TEST_MONTHS, TRIALS, scorer
+from demand_engine.operators.places import interpolated_source
 from demand_engine.operators.tables import between
 from demand_engine.plans.prepare import prepare, whole_days
 from demand_engine.plans.report import write_report
@@ -28,6 +30,7 @@ def _arguments() -> argparse.Namespace:
     job.add_argument("source_dir")
     job.add_argument("work_dir")
     job.add_argument("observations", help="Parquet table of hourly weather observations")
+    job.add_argument("--observing-stations", help="Parquet table (station_id, lat, lng); with it, observations have a station_id and the city's weather is estimated from them")
     job.add_argument("--station-files", nargs="+", metavar="NAME", help="exact names of the station lists, by version")
 
     job = jobs.add_parser("train", help="fit and log a model")
@@ -48,15 +51,12 @@ def main() -> None:
     if args.job == "prepare":
         observed = load_table(spark, args.observations)
         lists = with_files(args.station_files) if args.station_files else STATION_SNAPSHOTS
-        print(
-            prepare(
-                spark,
-                args.source_dir,
-                args.work_dir,
-                lambda a, b: between(observed, "time", a, b),
-                lists,
-            )
-        )
+
+        def asked(start: datetime, end: datetime) -> DataFrame:
+            return between(observed, "time", start, end)
+
+        source = interpolated_source(observed, load_table(spark, args.observing_stations)) if args.observing_stations else asked
+        print(prepare(spark, args.source_dir, args.work_dir, source, lists))
         return
     trips = read_dated(spark, f"{args.work_dir}/trips_standardized")
     model = f"{args.work_dir}/model"

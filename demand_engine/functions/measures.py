@@ -39,14 +39,19 @@ def grouped_digits(c: Column) -> Column:
     return F.format_number(c, 0)
 
 
-def distance_km(lat: Column, lng: Column, to_lat: float, to_lng: float) -> Column:
-    """Great-circle distance to a fixed point."""
-    dlat = F.radians(lat - F.lit(to_lat)) / 2
-    dlng = F.radians(lng - F.lit(to_lng)) / 2
+def distance_between(lat: Column, lng: Column, to_lat: Column, to_lng: Column) -> Column:
+    """Great-circle distance of two points."""
+    dlat = F.radians(lat - to_lat) / 2
+    dlng = F.radians(lng - to_lng) / 2
     chord = F.pow(F.sin(dlat), F.lit(2)) + F.cos(F.radians(lat)) * F.cos(
-        F.radians(F.lit(to_lat))
+        F.radians(to_lat)
     ) * F.pow(F.sin(dlng), F.lit(2))
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(chord))
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.when(chord > 1, F.lit(1.0)).otherwise(chord)))
+
+
+def distance_km(lat: Column, lng: Column, to_lat: float, to_lng: float) -> Column:
+    """Great-circle distance to a fixed point."""
+    return distance_between(lat, lng, F.lit(to_lat), F.lit(to_lng))
 
 
 def nan_to_null(c: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demand_engine.functions.measures import distance_km, nan_to_null
@@ -94,6 +94,13 @@ def nearest_stations(
     )
 
 
+def weighted_mean(value: Column, distance: Column) -> Column:
+    """Aggregate: the mean of known values by the inverse square of their distance; those at no distance decide alone."""
+    weight = F.when(value.isNotNull() & (distance > 0), 1 / (distance * distance))
+    exact = F.avg(F.when(distance == 0, value))
+    return F.coalesce(exact, F.try_divide(F.sum(value * weight), F.sum(weight)))
+
+
 def interpolate(
     observations: DataFrame,
     stations: DataFrame,
@@ -108,14 +115,7 @@ def interpolate(
     distance. A neighbour at the point itself decides alone. What is broadcast has k rows.
     """
     near = nearest_stations(stations, lat, lng, k).select("station_id", "distance_km")
-    at = F.col("distance_km")
     reported = observations.join(F.broadcast(near), "station_id")
-
-    def estimate(metric: str):
-        value = F.col(metric)
-        weight = F.when(value.isNotNull() & (at > 0), 1 / (at * at))
-        exact = F.avg(F.when(at == 0, value))
-        return F.coalesce(exact, F.try_divide(F.sum(value * weight), F.sum(weight))).alias(metric)
-
     present = [m for m in metrics if m in observations.columns]
-    return reported.groupBy("time").agg(*(estimate(m) for m in present))
+    estimates = (weighted_mean(F.col(m), F.col("distance_km")).alias(m) for m in present)
+    return reported.groupBy("time").agg(*estimates)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from demand_engine.functions.measures import distance_km
 from demand_engine.functions.times import hour_of
 from demand_engine.operators import weather as W
+from demand_engine.operators.places import interpolate_each, interpolated_source, nearest_to_each
 from demand_engine.operators.quality import violations
 from demand_engine.queries.registry import query
 from demand_engine.queries.views import _lat, _lng, sql, table, trips, weather
@@ -186,11 +187,85 @@ def nearest_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def interpolate_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event is an observation at the station of its user."""
-    observed = table(spark, sf_dir, "events").select(
+    estimated = W.interpolate(_observed(spark, sf_dir), _places(spark, sf_dir))
+    return estimated.select("time", F.round("temp", 6).alias("temp"), F.round("wspd", 6).alias("wspd"))
+
+
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Targets: customers, one in eleven without a known place, the others all around the globe and near the stations."""
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("target_id"), *(F.expr(e).alias(c) for c, e in _TARGET.items()))
+
+
+_TARGET = {
+    "lat": "CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 5 = 0 THEN c_custkey * 37 % 1800 / 10e0 - 90e0 ELSE 42.25e0 + c_custkey % 640 / 2560e0 END",
+    "lng": "CASE WHEN c_custkey % 5 = 0 THEN c_custkey * 61 % 3600 / 10e0 - 180e0 ELSE -71e0 - c_custkey % 640 / 2560e0 END",
+}
+_TARGETS_SQL = f"SELECT c_custkey AS target_id, {', '.join(f'{e} AS {c}' for c, e in _TARGET.items())} FROM customer"
+_FAR = """2 * 6371.0088 * asin(sqrt(least(1, pow(sin(radians(t.lat - s.lat) / 2), 2)
+    + cos(radians(t.lat)) * cos(radians(s.lat)) * pow(sin(radians(t.lng - s.lng) / 2), 2))))"""
+_NEAREST_EACH_SQL = f"""SELECT target_id, station_id, distance_km, place FROM (
+    SELECT target_id, station_id, distance_km, row_number() OVER (PARTITION BY target_id ORDER BY round(distance_km, 9), station_id) AS place
+    FROM (SELECT target_id, station_id, {_FAR} AS distance_km FROM ({_TARGETS_SQL}) t, ({_PLACES_SQL}) s WHERE t.lat IS NOT NULL AND s.lat IS NOT NULL))
+    WHERE place <= 4"""
+
+
+@query(f"SELECT target_id, place, round(distance_km, 6) AS distance_km FROM ({_NEAREST_EACH_SQL})")
+def nearest_per_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four suppliers nearest to every customer; stations at one distance are told apart by `place` alone."""
+    near = nearest_to_each(_customers(spark, sf_dir), _places(spark, sf_dir))
+    return near.select("target_id", "place", F.round("distance_km", 6).alias("distance_km"))
+
+
+def _observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event is an observation at the station of its user."""
+    return table(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias("station_id"),
         hour_of(F.col("ts")).alias("time"),
         F.col("value").alias("temp"),
         F.when(F.col("event_type") != "error", F.col("value") / 2).alias("wspd"),
     )
-    estimated = W.interpolate(observed, _places(spark, sf_dir))
-    return estimated.select("time", F.round("temp", 6).alias("temp"), F.round("wspd", 6).alias("wspd"))
+
+
+def _estimate_sql(value: str) -> str:
+    return f"""round(coalesce(avg({value}) FILTER (WHERE d = 0), sum({value} / (d * d)) FILTER (WHERE d > 0)
+        / sum(CASE WHEN {value} IS NOT NULL THEN 1 / (d * d) END) FILTER (WHERE d > 0)), 6) AS {value}"""
+
+
+@query(
+    f"""WITH places AS ({_PLACES_SQL}), target AS (
+        SELECT n_nationkey AS target_id, 42.25::double + n_nationkey / 100 + 0.0013 AS lat, -71.01::double - n_nationkey / 97 AS lng FROM nation),
+    near AS (SELECT target_id, station_id, d FROM (SELECT target_id, station_id, {_FAR} AS d,
+            row_number() OVER (PARTITION BY target_id ORDER BY {_FAR}, station_id) AS place
+        FROM target t, places s WHERE s.lat IS NOT NULL) WHERE place <= 4),
+    seen AS (SELECT target_id, date_trunc('hour', ts) AS time, value AS temp, CASE WHEN event_type <> 'error' THEN value / 2 END AS wspd, d
+        FROM events JOIN near ON station_id = cast(user_id AS varchar))
+    SELECT target_id, time, {_estimate_sql("temp")}, {_estimate_sql("wspd")} FROM seen GROUP BY target_id, time"""
+)
+def interpolate_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly weather at a point per nation, from the four stations around each."""
+    key = F.col("n_nationkey")
+    targets = table(spark, sf_dir, "nation").select(
+        key.alias("target_id"), (F.lit(42.25) + key / 100 + F.lit(0.0013)).alias("lat"), (F.lit(-71.01) - key / 97).alias("lng")
+    )
+    estimated = interpolate_each(_observed(spark, sf_dir), nearest_to_each(targets, _places(spark, sf_dir)))
+    return estimated.select("target_id", "time", *(F.round(c, 6).alias(c) for c in ("temp", "wspd")))
+
+
+@query(
+    sql(
+        f"""SELECT t.ride_id, w.temp, w.wspd FROM trips t LEFT JOIN (
+            SELECT time, {_estimate_sql("temp")}, {_estimate_sql("wspd")} FROM (
+                SELECT date_trunc('hour', ts) AS time, value AS temp, CASE WHEN event_type <> 'error' THEN value / 2 END AS wspd, distance_km AS d
+                FROM events JOIN ({_NEAREST_SQL}) near ON station_id = cast(user_id AS varchar))
+            WHERE time BETWEEN TIMESTAMP '2024-01-02' AND TIMESTAMP '2024-01-28' GROUP BY time) w ON date_trunc('hour', t.started_at) = w.time""",
+        "trips",
+    )
+)
+def interpolated_trip_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prepare job's weather: asked for in two requests, estimated at the city's point, checked, cached, joined to trips."""
+    source = interpolated_source(_observed(spark, sf_dir), _places(spark, sf_dir))
+    cache = WeatherCache(spark, scratch_path(spark, "weather"), source)
+    cache.weather(*_HELD)
+    hourly = cache.weather(*_ASKED)
+    joined = W.attach_weather(trips(spark, sf_dir), hourly)
+    return joined.select("ride_id", F.round("temp", 6).alias("temp"), F.round("wspd", 6).alias("wspd"))
