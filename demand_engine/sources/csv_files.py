@@ -108,7 +108,7 @@ def _records_across_lines(lines: DataFrame) -> DataFrame:
     Lines that are records of their own stay where they are; only pieces of others meet, by the line
     that opens them, in whatever blocks they lie. A record is held whole by the task that joins it.
     """
-    begun = cut_lineage(_begins(lines, ["source_path", "block"], "place"))
+    begun = _begins(lines, ["source_path", "block"], "place")
     last = F.max_by(F.struct("is_set", "turned", "opens", "stays"), "place").alias("last")
     blocks = begun.groupBy("source_path", "block").agg(last)
     ends = {to: F.when((F.col("last.turned") + start) % 2 == 1, F.col("last.stays")).otherwise(F.col("last.opens")) for to, start in (("opens", 0), ("stays", 1))}
@@ -174,10 +174,10 @@ def marks(lines: DataFrame) -> Marks:
     return Marks(frozenset(r["source_path"] for r in rows if r["across"]) - carriage, carriage)
 
 
-def _parsed(records: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Records as columns of text, without the first of each file and without blank ones."""
+def _parsed(records: DataFrame, lines: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Records as columns of text, without the one that each file's first line opens and without blank ones."""
     ddl = ", ".join(f"c{i} STRING" for i in range(len(columns)))
-    firsts = records.where("block = 0").groupBy(F.col("source_path").alias("__path")).agg(F.min("place").alias("__first"))
+    firsts = lines.where("block = 0").groupBy(F.col("source_path").alias("__path")).agg(F.min("place").alias("__first"))
     is_first = (F.col("source_path") == F.col("__path")) & (F.col("block") == 0) & (F.col("place") == F.col("__first"))
     text = F.regexp_replace("line", r"\r\z", "")
     return (
@@ -196,9 +196,9 @@ def read_text_columns(spark: SparkSession, header: str, paths: Sequence[str], li
     parts = []
     if len(odd) < len(paths):
         plain = lines.where(~F.col("source_path").isin(odd)) if odd else lines
-        parts.append(_parsed(plain.select("source_path", "block", "place", "line"), columns))
+        parts.append(_parsed(plain.select("source_path", "block", "place", "line"), lines, columns))
     if special:
-        parts.append(_parsed(cut_lineage(_records_across_lines(lines.where(F.col("source_path").isin(special)))), columns))
+        parts.append(_parsed(_records_across_lines(lines.where(F.col("source_path").isin(special))), lines, columns))
     if len(odd) > len(special):
         files = spread(spark.createDataFrame([(p,) for p in paths if p in marked.carriage], "path string"))
         ddl = ", ".join([*(f"c{i} string" for i in range(len(columns))), "source_path string"])
