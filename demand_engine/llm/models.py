@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -14,13 +14,20 @@ def remainder(id_col: Column, divisor: int) -> Column:
     return F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(divisor))
 
 
-def bounded_sample(rows: DataFrame, by: str, label: str, bound: int) -> DataFrame:
-    """About `bound` rows per label at most, chosen by a hash of `by`; all rows where there are fewer.
+#: Rows that a fit takes at most, about, over all labels.
+SAMPLE_ROWS = 24_000
 
-    Meant for few labels; labels beyond the first 1,000 in order are left out.
+
+def bounded_sample(rows: DataFrame, by: str, label: str, bound: int, total: int = SAMPLE_ROWS) -> DataFrame:
+    """About `bound` rows per label at most, and `total` in all, chosen by a hash of `by`; all rows where there are fewer.
+
+    Many labels share the total evenly. Were there more labels than that, the `total` most frequent ones
+    would be taken, with about a row each.
     """
-    shares = rows.groupBy(label).agg(F.least(F.lit(1.0), F.lit(float(bound)) / F.count(F.lit(1))).alias("__share"))
-    shares = shares.orderBy(label).limit(1000)
+    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("__n")).orderBy(F.col("__n").desc(), label).limit(total)
+    labels = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))
+    each = F.least(F.lit(float(bound)), F.lit(float(total)) / labels)
+    shares = counts.select(label, F.least(F.lit(1.0), each / F.col("__n")).alias("__share"))
     place = F.pmod(F.xxhash64(F.col(by), F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     return rows.join(F.broadcast(shares), label).where(place < F.col("__share")).drop("__share")
 

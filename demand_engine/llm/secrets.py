@@ -30,24 +30,26 @@ BASE_KINDS = ("assign", "access", "hex")
 class CharacterClass:
     """Runs of `characters` of at least `window` are candidates; `bits` is the entropy bound per window.
 
-    `mixed` asks a candidate for a digit and a letter, which plain words and plain numbers lack.
+    `letter_bits` is the bound for candidates without a digit, higher since words in mixed case have more
+    entropy than plain ones; None: they are no candidates. Those without a letter never are.
     """
 
     kind: str
     characters: str
     window: int
     bits: float
-    mixed: bool = True
+    letter_bits: float | None = None
 
 
 CLASSES = (
     CharacterClass("entropy_hex", "0-9a-fA-F", 20, 3.0),
-    CharacterClass("entropy_base64", "A-Za-z0-9+/=_-", 24, 4.0),
+    CharacterClass("entropy_base64", "A-Za-z0-9+/=_-", 24, 4.0, 4.1),
 )
-#: A candidate that one of these matches as a whole is no secret.
+#: What stands at a candidate's beginning and needs no look: hosts, with words and short numbers behind them.
+HOSTS = r"(?i)(https?|www|example|localhost)(?![A-Za-z0-9])([/_=+-]+([a-z]{1,16}|\d{1,4})(?![a-z0-9]))*[/_=+-]*"
+#: A candidate that one of these matches as a whole is no secret (what follows a host, if it begins with one).
 ALLOWED = (
     r"(?i)[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}",  # identifiers in their usual grouping
-    r"(?i)(https?|www|example|localhost)[\w/+=-]*",  # parts of addresses
     r"[A-Z]?[a-z]+([-_/][A-Za-z]?[a-z]+)*\d{0,4}",  # words joined by marks, perhaps with a number
     r"[0-9]{4}-?[0-9]{2}-?[0-9]{2}[T_-]?[0-9]*[Zz]?",  # dates and times
     r"(.)\1*|[=_+/-]+",  # rules and fillers
@@ -60,11 +62,13 @@ class Detector:
 
     classes: tuple[CharacterClass, ...] = CLASSES
     allowed: tuple[str, ...] = ALLOWED
+    hosts: str = HOSTS
     _runs: list = field(default_factory=list, repr=False)
 
     def __post_init__(self) -> None:
         self._runs = [(c, re.compile(f"[{c.characters}]{{{c.window},}}")) for c in self.classes]
         self._allow = [re.compile(p) for p in self.allowed]
+        self._hosts = re.compile(self.hosts)
 
     def spans(self, text: str) -> list[tuple[str, int, int]]:
         """(kind, start, end) by start, then by kind as listed; code points, end exclusive."""
@@ -76,12 +80,13 @@ class Detector:
         found += [(m.start(), 2, "hex", m.end()) for m in HEX.finditer(text)]
         for order, (kind, pattern) in enumerate(self._runs, len(BASE_KINDS)):
             for m in pattern.finditer(text):
-                run = m.group()
-                if kind.mixed and not (re.search("[0-9]", run) and re.search("[A-Za-z]", run)):
+                known = self._hosts.match(m.group())
+                at = m.start() + (known.end() if known else 0)
+                run = text[at : m.end()]
+                bits = kind.bits if re.search("[0-9]", run) else kind.letter_bits
+                if bits is None or not re.search("[A-Za-z]", run) or any(a.fullmatch(run) for a in self._allow):
                     continue
-                if any(a.fullmatch(run) for a in self._allow):
-                    continue
-                found += [(m.start() + s, order, kind.kind, m.start() + e) for s, e in dense_spans(run, kind.window, kind.bits)]
+                found += [(at + s, order, kind.kind, at + e) for s, e in dense_spans(run, kind.window, bits)]
         return [(kind, start, end) for start, _, kind, end in sorted(found)]
 
 
@@ -123,11 +128,12 @@ def find_secrets(docs: DataFrame, detector: Detector | None = None, id_col: str
 
     A null or empty text has no spans. Repeated rows give repeated rows. Other columns are ignored.
     """
-    classes, allowed = (detector or Detector()).classes, (detector or Detector()).allowed
+    wanted = detector or Detector()
+    classes, allowed, hosts = wanted.classes, wanted.allowed, wanted.hosts
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Detector(classes, allowed)
+        own = Detector(classes, allowed, hosts)
         for batch in batches:
             spans = []
             for text in batch.column("text"):

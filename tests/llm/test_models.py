@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 
 from demand_engine.llm import language, quality
+from demand_engine.llm.models import bounded_sample
 from demand_engine.llm.language import fit_language, identify, language_report, presence
 from demand_engine.llm.quality import features, fit_quality, quality_report, quality_scores
 
@@ -63,6 +64,19 @@ def test_language_on_the_held_out_fold(spark, small):
     assert got.score.between(0, 1).all()
 
 
+def test_a_frequent_language_is_learned_whatever_its_place_among_many(spark):
+    rng = np.random.default_rng(3)
+    rare = [(k, "".join(rng.choice(list("abcdefghij"), 30)), f"a{k:04d}") for k in range(2000)]
+    often = [(10_000 + k, "zyx wvu " * (1 + k % 3) + "xyz", "zz") for k in range(300)]
+    df = spark.createDataFrame(rare + often, "doc_id bigint, text string, lang string")
+    got = identify(df, fit_language(df)).collect()
+    assert {r.lang_pred for r in got if r.doc_id >= 10_000} == {"zz"}
+    sample = bounded_sample(df, "doc_id", "lang", 1500, total=4000).groupBy("lang").count().toPandas()
+    assert len(sample) == 2001 and sample["count"].max() <= 10
+    few = bounded_sample(df, "doc_id", "lang", 1500, total=40).groupBy("lang").count().toPandas()
+    assert "zz" in set(few["lang"]) and len(few) <= 40
+
+
 def test_language_edge_cases(spark):
     rows = [(k, t, l, 0) for k, (t, l) in enumerate([("the thing and", "en"), ("le chat et la", "fr"), ("12 34 !?", "en"), (None, "fr"), ("", None), ("ß", None)] * 4)]
     df = spark.createDataFrame([*rows, (None, "the end", "en", 0)], "doc_id bigint, text string, lang string, lang_pred int")
