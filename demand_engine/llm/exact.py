@@ -56,7 +56,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     made = cut_lineage(recipes(docs, id_col, text_col))
     doubtful = chunk_table(made).groupBy("id").count().where(F.col("count") > 1)
-    doubted = doubtful.agg(F.collect_list("id").alias("ids"))
+    doubted = cut_lineage(doubtful.agg(F.collect_list("id").alias("ids")))
     exact = F.when(F.arrays_overlap("ids", doubted.scalar()), F.col("text_sha256")).otherwise(F.lit(""))
     keyed = made.select("doc_id", "text_sha256", "ids", exact.alias("exact"))
     groups = cut_lineage(

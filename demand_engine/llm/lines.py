@@ -210,8 +210,11 @@ def dedup_lines(docs: DataFrame, least: int = MIN_CHARS, counts: bool = False, e
     characters stay; with `equal_from`, those of so many characters or more go if an earlier form
     equals theirs. Blank lines stay. A null text stays null, and one that loses all its lines becomes empty. Rows
     that repeat an id and a text count as one place and are treated alike. Null ids come first.
-    Columns may have any names but __id, __key, __kept.
+    Columns may have any names but __id, __key, __kept; with `counts`, columns n_lines and n_removed
+    that `docs` has are replaced.
     """
+    if counts:
+        docs = docs.drop("n_lines", "n_removed")
     keyed, kept = kept_lines(docs, least, equal_from)
     lowest = _lowest(least, equal_from)
     k = kept.alias("k")

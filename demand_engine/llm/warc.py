@@ -30,6 +30,10 @@ LEAST_REVISIT_BYTES = 0
 EPOCH = datetime(2024, 1, 1, tzinfo=timezone.utc)
 _REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _PAGE_URN = "urn:page:"
+#: An own field of revisits: bytes of the payload they stand for.
+_LENGTH = "X-Refers-To-Payload-Length"
+#: Entries that a task merges at once, about.
+RANGE_ENTRIES = 100_000
 
 
 def payload_digest(payload: bytes) -> str:
@@ -65,7 +69,8 @@ def _header_value(text: str) -> str:
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool) -> bytes:
-    """One WARC/1.1 record without the blank lines that close it. A revisit has no payload of its own."""
+    """One WARC/1.1 record without the blank lines that close it. A revisit has no payload of its own; the
+    length of the one it refers to is in a field, so that an index needs no look at other records."""
     urn = "null" if page_id is None else page_id
     fields = [
         ("WARC-Type", "revisit" if revisit else "response"),
@@ -77,7 +82,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     if url is not None:
         fields.insert(2, ("WARC-Target-URI", _header_value(url)))
     if revisit:
-        fields += [("WARC-Profile", _REVISIT_PROFILE), ("WARC-Refers-To", f"<{_PAGE_URN}{refers_to}>")]
+        fields += [("WARC-Profile", _REVISIT_PROFILE), ("WARC-Refers-To", f"<{_PAGE_URN}{refers_to}>"), (_LENGTH, str(len(payload)))]
     body = b"" if revisit else payload
     head = "".join(f"{k}: {v}\r\n" for k, v in [*fields, ("Content-Length", str(len(body)))])
     return b"WARC/1.1\r\n" + head.encode() + b"\r\n" + body
@@ -102,7 +107,7 @@ def parse_records(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
 def with_revisits(pages: DataFrame, least: int = LEAST_REVISIT_BYTES) -> DataFrame:
     """(page_id, url, html, refers_to, revisit): of equal payloads of at least `least` bytes the largest page_id is kept.
 
-    Equal payloads meet by SHA-256 and length. Rows that repeat a payload and its largest id are all
+    Equal payloads meet by SHA-256. Rows that repeat a payload and its largest id are all
     responses; a null id is less than any other.
     """
     html = F.coalesce("html", F.lit(""))
@@ -151,10 +156,7 @@ def _order(entry: tuple) -> tuple:
 
 
 def read_index(path_files: DataFrame) -> DataFrame:
-    """Index entries of archive files (path, content), each file's as a sorted run.
-
-    A revisit's `payload_bytes` is null: its payload is in the record that it refers to.
-    """
+    """Index entries of archive files (path, content), each file's as a sorted run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,7 +178,7 @@ def read_index(path_files: DataFrame) -> DataFrame:
                             offset,
                             kind,
                             digest,
-                            len(block) if kind == "response" else None,
+                            len(block) if kind == "response" else int(fields[_LENGTH.lower()]),
                             int(target.removeprefix(f"<{_PAGE_URN}").removesuffix(">")) if target else None,
                         )
                     )
@@ -237,27 +239,39 @@ class LoserTree:
             self.losers[0] = winner
 
 
+def in_ranges(entries: DataFrame, ranges: int) -> DataFrame:
+    """Entries dealt to ascending key ranges; what a file has in a range arrives there in order."""
+    return entries.repartitionByRange(ranges, "url_key", "captured_at", "page_id", "file", "offset")
+
+
+def sorted_runs(batches: Iterable[pa.RecordBatch]) -> list[list[tuple]]:
+    """The stretches of ascending entries of a range, as they arrive."""
+    runs: list[list[tuple]] = []
+    last = None
+    for batch in batches:
+        for entry in zip(*(batch.column(c).to_pylist() for c in _NAMES)):
+            key = _order(entry)
+            if last is None or key < last:
+                runs.append([])
+            runs[-1].append(entry)
+            last = key
+    return runs
+
+
 def merge_index(entries: DataFrame, ranges: int | None = None) -> DataFrame:
     """Entries in global order: partitions are ascending key ranges, and each is merged from its runs.
 
-    A run is a stretch of ascending entries as they arrive, so the rows of one file that fall into
-    a range stay one run however the shuffle interleaves files. A range's entries are held in one
-    task; ranges are split inside a URL as well, so their number decides how many.
+    The rows of one file that fall into a range stay one run however the shuffle interleaves files: no
+    join or sort comes between. There are as many ranges as keep each at about `RANGE_ENTRIES`, also inside
+    a URL, which bounds what a task holds. `entries` is counted and sampled, so it should be a written table.
     """
-    ranges = ranges or int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if ranges is None:
+        least = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranges = max(least, entries.count() // RANGE_ENTRIES + 1)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs: list[list[tuple]] = []
-        last = None
-        for batch in batches:
-            for entry in zip(*(batch.column(c).to_pylist() for c in _NAMES)):
-                key = _order(entry)
-                if last is None or key < last:
-                    runs.append([])
-                runs[-1].append(entry)
-                last = key
         held = []
-        for entry in LoserTree(runs):
+        for entry in LoserTree(sorted_runs(batches)):
             held.append(entry)
             if len(held) == 10_000:
                 yield _batch(held)
@@ -265,14 +279,7 @@ def merge_index(entries: DataFrame, ranges: int | None = None) -> DataFrame:
         if held:
             yield _batch(held)
 
-    return entries.repartitionByRange(ranges, "url_key", "captured_at", "page_id", "file", "offset").mapInArrow(merge, _ENTRY)
-
-
-def resolved(entries: DataFrame) -> DataFrame:
-    """Entries with the payload length of revisits taken from the responses that have their digest."""
-    sizes = entries.where("record_type = 'response'").groupBy("payload_digest").agg(F.max("payload_bytes").alias("found"))
-    joined = entries.join(cut_lineage(sizes), "payload_digest", "left")
-    return joined.withColumn("payload_bytes", F.coalesce("payload_bytes", "found")).select(*_NAMES)
+    return in_ranges(entries, ranges).mapInArrow(merge, _ENTRY)
 
 
 def archive_pages(pages: DataFrame, path: str | None = None) -> DataFrame:
@@ -285,5 +292,4 @@ def archive_pages(pages: DataFrame, path: str | None = None) -> DataFrame:
     path = path or scratch_path(spark, "warc")
     write_archives(with_revisits(pages), path)
     files = spark.read.format("binaryFile").load(path)
-    entries = cut_lineage(read_index(files))
-    return merge_index(resolved(entries))
+    return merge_index(cut_lineage(read_index(files)))

@@ -90,3 +90,11 @@ def test_registered_and_in_the_pipeline_copies_with_a_short_line_go(spark, tmp_p
 
 def test_empty_table(spark):
     assert dedup_lines(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_counts_of_an_earlier_run_are_replaced(spark):
+    docs = spark.createDataFrame([(1, "the same line, said twice\nother", 5, 6), (2, "the same line, said twice", 7, 8)], "doc_id bigint, text string, n_removed int, n_lines int")
+    once = dedup_lines(docs, counts=True, equal_from=1)
+    assert once.columns == ["doc_id", "text", "n_lines", "n_removed"]
+    again = dedup_lines(once, counts=True, equal_from=1).collect()
+    assert sorted((r.doc_id, r.text, r.n_lines, r.n_removed) for r in again) == [(1, "the same line, said twice\nother", 2, 0), (2, "", 1, 0)]

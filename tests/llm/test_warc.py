@@ -1,10 +1,11 @@
 import gzip
 import random
 
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from demand_engine.llm.warc import _NAMES, _order, LoserTree, archive_pages, merge_index, parse_records, payload_digest, read_index, record, url_key, with_revisits, write_archives
+from demand_engine.llm.warc import _NAMES, _order, LoserTree, archive_pages, in_ranges, merge_index, parse_records, payload_digest, read_index, record, sorted_runs, url_key, with_revisits, write_archives
 
 PAGES = [
     (1, "http://www.Example.org/A?x=1", "<p>same</p>"), (2, None, None), (3, "http://b.example.org:8080/", ""), (4, "no url", "<p>same</p>"),
@@ -59,3 +60,21 @@ def test_merge_is_global_and_splits_one_url(spark):
     flat = [_order(e) for p in parts for e in p]
     assert flat == sorted(map(_order, rows)) and max(map(len, parts)) < 1_200
     assert callable(read_index)
+
+
+def test_a_range_has_no_more_runs_than_files(spark, tmp_path):
+    """Whatever is broadcast or not, nothing sorts the entries anew between a file and the merge."""
+    pages = spark.createDataFrame([(k, f"http://h{k * 7919 % 50}.org/{k % 13}", f"text {k % 40}" * 20) for k in range(600)], "page_id bigint, url string, html string")
+    write_archives(with_revisits(pages.repartition(5)), str(tmp_path / "w"), segment_bytes=8_000)
+    files = len(list((tmp_path / "w").glob("*.gz")))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        read_index(spark.read.format("binaryFile").load(str(tmp_path / "w"))).write.parquet(str(tmp_path / "i"))
+        ranged = in_ranges(spark.read.parquet(str(tmp_path / "i")), 3)
+        counts = ranged.mapInArrow(lambda b: [pa.RecordBatch.from_pydict({"runs": [len(r := sorted_runs(b))], "rows": [sum(map(len, r))]})], "runs bigint, rows bigint").collect()
+        merged = archive_pages(pages).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert merged == 600 == sum(r["rows"] for r in counts) and files > 4
+    assert all(r["runs"] <= files and r["rows"] > 100 for r in counts)
