@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text taken at once; arrays over the bytes of one piece are all that is held beside the batch.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MULTIPLIERS = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
