@@ -7,7 +7,8 @@ own l by estimated cost; a pair must share as many prefix tokens as the smaller
 it is verified. Nothing is lost by this, whatever l each side picks.
 
 1. One pass over the texts. A task sends each token of its documents once to the token's bucket, as
-   packed arrays (a token that several of its documents share is pre-aggregated to a count).
+   packed arrays (a token that several of its documents share is pre-aggregated to a count). There
+   are as many buckets as the measured bytes of the texts need.
 2. A bucket counts documents per token and answers for tokens that two or more documents hold; all
    other tokens can't be in any intersection. Documents with fewer such tokens than the threshold
    needs have no partner and end here.
@@ -43,6 +44,8 @@ PAIR_GROUP = 128
 BLOCK = 512
 #: Multiples of l that documents choose from.
 MATCHES = (1, 2, 4, 8, 16)
+#: Text whose tokens one bucket counts at once; the number of buckets grows with the corpus.
+BUCKET_BYTES = 32 << 20
 _TILE = 4096
 
 _PARTS = pa.schema(
@@ -126,17 +129,15 @@ def _spread(width: int, buckets: int):
         yield _rows(
             _CHUNK, 1, route=[chunk % buckets], chunk=[chunk], payload=[_pack(nodes[kept], n[kept], tokens[several], owner[several])]
         )
+        size = np.uint64((1 << 48) // buckets + 1)
         lone, many = first[count == 1], first[count > 1]
-        size = (1 << 48) // buckets + 1
-        edges = np.array([b * size for b in range(buckets + 1)], dtype=np.uint64)
-        at_lone, at_many = np.searchsorted(tokens[lone], edges), np.searchsorted(tokens[many], edges)
-        blobs, routes = [], []
-        for b in range(buckets):
-            one, more = lone[at_lone[b] : at_lone[b + 1]], slice(at_many[b], at_many[b + 1])
-            if len(one) or at_many[b] < at_many[b + 1]:
-                routes.append(b)
-                blobs.append(_pack(tokens[one], owner[one], tokens[many[more]], count[count > 1][more].astype(np.uint32)))
-        yield _rows(_POSTINGS, len(routes), route=routes, chunk=np.full(len(routes), chunk), payload=blobs)
+        counts, in_lone, in_many = count[count > 1].astype(np.uint32), tokens[lone] // size, tokens[many] // size
+        routes = np.union1d(in_lone, in_many)  # only buckets that get something
+        blobs = []
+        for b in routes:
+            one, more = (slice(*np.searchsorted(at, [b, b + np.uint64(1)])) for at in (in_lone, in_many))
+            blobs.append(_pack(tokens[lone[one]], owner[lone[one]], tokens[many[more]], counts[more]))
+        yield _rows(_POSTINGS, len(routes), route=routes.astype(np.int64), chunk=np.full(len(routes), chunk), payload=blobs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, sets, held, number = [], [], 0, 0
@@ -338,6 +339,12 @@ def _block_links(alive: DataFrame, families: DataFrame, percent: int) -> DataFra
     return dealt.select("family", "node", "n", "tokens", "to.*").groupBy("family", "s", "h", "g", "d").applyInArrow(_verify_block(percent), _BLOCK_DDL)
 
 
+def _buckets(docs: DataFrame) -> int:
+    """Buckets of tokens: a task counts one at a time, so their size must not depend on the session's partitions."""
+    size = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+
+
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) per row of `docs`: exact components of the similarity graph.
 
@@ -346,8 +353,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     its own component. Rows with one id are rows of their own with that id. A component's id is the
     least id in it; a null id takes part and is never the least. Other columns are ignored.
     """
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    buckets = _buckets(slim)
     parts = slim.mapInArrow(_spread(width, buckets), _PARTS_DDL)
     parts = cut_lineage(parts.groupBy("route").applyInArrow(_answer, _PARTS_DDL))
     documents = parts.where(F.col("kind") == _DOCUMENT).select("doc_id", "n", "node")

@@ -95,6 +95,18 @@ def test_copies_longer_than_a_chunk(spark, monkeypatch):
     assert results(df) == brute(rows)
 
 
+def test_buckets_grow_with_the_texts(spark, monkeypatch):
+    rows = corpus(3)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    whole = results(df)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert module._buckets(df) == partitions and whole == brute(rows)
+    monkeypatch.setattr(module, "BUCKET_BYTES", 100)
+    size = sum(len(t or "") for _, t in rows)
+    assert module._buckets(df) == -(-size // 100) > 10 * partitions
+    assert results(df) == whole
+
+
 def test_empty_table(spark):
     assert similar_documents(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
