@@ -6,12 +6,12 @@ a row; no piece of the vocabulary reaches over such a cut, which is checked. The
 words of a stretch of texts are sorted, which lays their trie out depth first: the forward table of a
 word is kept up to the prefix that it has in common with its successor, and only the rest is computed.
 
-The forward step depends on the vocabulary. For a unigram vocabulary it is Viterbi's: the best sum of
-scores up to each position. A byte-pair vocabulary's scores are merge ranks, and the best sum of ranks
-is not its encoding. There a path may only step from one piece to another if merging their joint text
-gives exactly those two; adjacent pieces that all satisfy this are the encoding, and exactly one piece
-that ends at a position continues the encoding of what is before it. So the forward table holds that
-piece, and it depends on the prefix alone as well.
+The forward step is Viterbi's: the best sum of scores up to each position, for every vocabulary. For a
+unigram vocabulary the best path is the encoding. A byte-pair vocabulary's scores are merge ranks, and
+the best sum of ranks is not its encoding. There the same step keeps a second entry: a path may only go
+from one piece to another if merging their joint text gives exactly those two; adjacent pieces that
+all satisfy this are the encoding, and exactly one piece that ends at a position continues the encoding
+of what is before it. Both entries depend on the prefix alone and are shared along the trie.
 """
 
 from __future__ import annotations
@@ -21,9 +21,11 @@ import string
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,12 +48,14 @@ class Vocabulary:
     unknown: int
     unigram: bool = False
     ids: dict[str, int] = field(default_factory=dict, repr=False)
+    tails: dict[str, int] = field(default_factory=dict, repr=False)
 
     def __post_init__(self) -> None:
         plain = set(range(256)) if self.bytes_at is None else set(range(self.bytes_at, self.bytes_at + 256))
         skip = (plain if self.bytes_at is not None else set()) | self.special
         self.ids = {p: i for i, p in enumerate(self.pieces) if i not in skip}
-        self.longest = max(map(len, self.ids), default=1)
+        # Ends of pieces -> the piece that is just that, or -1.
+        self.tails = {p[k:]: -1 for p in self.ids for k in range(1, len(p))} | self.ids
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece has a mark after other characters: words can't be cut at marks")
         apart = "" if any("\n" in p for p in self.ids) else "\n"
@@ -137,56 +141,65 @@ class Encoder:
 
     def words(self, words: list[str]) -> Iterator[list[str]]:
         """The pieces of each of the given words, which are sorted."""
-        step = self._best_sum if self.v.unigram else self._only_successor
-        table: list = [(0.0, "")] if self.v.unigram else [("", self.after.setdefault("", {}))]
-        at = 1 if self.v.unigram else 0
+        return (pieces for pieces, _, _ in self.search(words))
+
+    def search(self, words: list[str]) -> Iterator[tuple[list[str], float, int]]:
+        """For each of the given words, which are sorted: its pieces, the best sum of scores that any
+        pieces of it have, and how many pieces have that sum (of equal sums the longer last piece counts)."""
+        tails, scores, lowest, unigram = self.v.tails, self.v.scores, self.lowest, self.v.unigram
+        # Forward entries of the empty prefix and on: best sum, pieces of it, last piece of the encoding,
+        # and what is known of the pieces that follow that one.
+        sums, counts, lasts, follow = [0.0], [0], [""], [self.after.setdefault("", {})]
         before = ""
         for word in words:
-            same, most = 0, min(len(before), len(word))
-            while same < most and before[same] == word[same]:
+            same = 0
+            for old, new in zip(before, word):
+                if old != new:
+                    break
                 same += 1
-            del table[same + 1 :]
-            step(word, same + 1, table)
+            del sums[same + 1 :], counts[same + 1 :], lasts[same + 1 :], follow[same + 1 :]
+            for end in range(same + 1, len(word) + 1):
+                low, piece = end - 1, word[end - 1]
+                i = tails.get(piece, -1)
+                best, count, heaviest = sums[low] + (scores[i] if i >= 0 else lowest), counts[low] + 1, piece
+                candidates = [(low, piece)]
+                while i is not None and low:  # longer ones, as long as any piece ends like that
+                    low -= 1
+                    piece = word[low:end]
+                    i = tails.get(piece)
+                    if i is not None and i >= 0:
+                        candidates.append((low, piece))
+                        if (total := sums[low] + scores[i]) >= best:
+                            best, count, heaviest = total, counts[low] + 1, piece
+                chosen = heaviest
+                if not unigram:
+                    for low, chosen in reversed(candidates):
+                        known = follow[low]
+                        fits = known.get(chosen)
+                        if fits is None:
+                            fits = known[chosen] = self._joins(lasts[low], chosen)
+                            self.pairs += 1
+                        if fits:
+                            break
+                sums.append(best)
+                counts.append(count)
+                lasts.append(chosen)
+                follow.append(None if unigram else self.after.setdefault(chosen, {}))
             before, out, end = word, [], len(word)
             while end:
-                piece = table[end][at]
+                piece = lasts[end]
                 out.append(piece)
                 end -= len(piece)
             out.reverse()
-            yield out
-
-    def _best_sum(self, word: str, begin: int, table: list) -> None:
-        """Forward entries from `begin` on: (best sum of scores up to there, last piece)."""
-        ids, scores, longest = self.v.ids, self.v.scores, self.v.longest
-        for end in range(begin, len(word) + 1):
-            best, last = table[end - 1][0] + self.lowest, word[end - 1]
-            for low in range(max(0, end - longest), end):
-                i = ids.get(word[low:end])
-                if i is not None and table[low][0] + scores[i] > best:
-                    best, last = table[low][0] + scores[i], word[low:end]
-            table.append((best, last))
-
-    def _only_successor(self, word: str, begin: int, table: list) -> None:
-        """Forward entries from `begin` on: (last piece, what is known of the pieces that follow it)."""
-        ids, longest = self.v.ids, self.v.longest
-        for end in range(begin, len(word) + 1):
-            for low in range(max(0, end - longest), end):
-                piece = word[low:end]
-                if piece in ids or low == end - 1:
-                    left, known = table[low]
-                    fits = known.get(piece)
-                    if fits is None:
-                        fits = known[piece] = self._joins(left, piece)
-                        self.pairs += 1
-                    if fits:
-                        table.append((piece, self.after.setdefault(piece, {})))
-                        break
+            yield out, sums[-1], counts[-1]
 
     def numbers(self, pieces: list[str]) -> list[int]:
         """Ids; a character outside the vocabulary as its bytes, or as the unknown piece."""
+        found = [*map(self.v.ids.get, pieces)]
+        if None not in found:
+            return found
         out = []
-        for piece in pieces:
-            i = self.v.ids.get(piece)
+        for piece, i in zip(pieces, found):
             if i is not None:
                 out.append(i)
             elif self.v.bytes_at is not None:
@@ -207,20 +220,27 @@ class TextEncoder:
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.sizes, self.flat = array("q"), array("i")
+        self.sums, self.counts = array("d"), array("q")
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each text, ids of all texts)."""
+        return self.scored(texts)[:2]
+
+    def scored(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(number of ids of each text, ids of all texts, best sum of scores of each text, pieces of that)."""
         if len(self.known) > REMEMBERED_WORDS:
             self.forget()
         if self.encoder.pairs > REMEMBERED_PAIRS:
             self.encoder = Encoder(self.encoder.v)
         cut = [self.find(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         fresh = sorted({w for words in cut for w in words if w not in self.known})
-        for word, pieces in zip(fresh, self.encoder.words(fresh)):
+        for word, (pieces, best, count) in zip(fresh, self.encoder.search(fresh)):
             numbers = self.encoder.numbers(pieces)
             self.known[word] = len(self.known)
             self.sizes.append(len(numbers))
             self.flat.extend(numbers)
+            self.sums.append(best)
+            self.counts.append(count)
         sizes, table = np.array(self.sizes, dtype=np.int64), np.array(self.flat, dtype=np.int32)
         begins = np.cumsum(sizes) - sizes
         counts = np.array([len(words) for words in cut], dtype=np.int64)
@@ -230,26 +250,25 @@ class TextEncoder:
         ids = table[np.repeat(begins[at] - (ends - long), long) + np.arange(int(ends[-1]) if len(ends) else 0)]
         totals = np.concatenate([[0], ends])
         edges = np.concatenate([[0], np.cumsum(counts)])
-        return totals[edges[1:]] - totals[edges[:-1]], ids
+        text = np.repeat(np.arange(len(texts)), counts)
+        best = np.bincount(text, np.array(self.sums)[at], len(texts))
+        pieces = np.bincount(text, np.array(self.counts)[at], len(texts)).astype(np.int64)
+        return totals[edges[1:]] - totals[edges[:-1]], ids, best, pieces
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, columns: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
-    """`columns` of `docs` and `ids` (array<int>) of the whole text; null and empty texts have none.
+def _stretches(column: pa.Array) -> Iterator[list[str]]:
+    held, chars = [], 0
+    for value in column:
+        held.append(value.as_py() or "")
+        chars += len(held[-1])
+        if chars >= STRETCH_CHARS:
+            yield held
+            held, chars = [], 0
+    yield held
 
-    Repeated rows give repeated rows. Other columns are ignored, whatever their names.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary.plain())
-    slim = docs.select(*columns, F.col(text_col).alias("__text"))
 
-    def stretches(column: pa.Array) -> Iterator[list[str]]:
-        held, chars = [], 0
-        for value in column:
-            held.append(value.as_py() or "")
-            chars += len(held[-1])
-            if chars >= STRETCH_CHARS:
-                yield held
-                held, chars = [], 0
-        yield held
+def _encoding(shared: Broadcast, columns: tuple[str, ...], scores: bool):
+    """Task function: batches of `columns` and `__text` -> `columns`, `ids` and, if asked for, `best_sum`, `n_best`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value  # one object per process while the broadcast lives, over several tasks
@@ -258,23 +277,42 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, columns: tuple[str, ...] = (
         encoder = held["encoder"]
         for batch in batches:
             begin = 0
-            for texts in stretches(batch.column("__text")):
-                sizes, ids = encoder(texts)
+            for texts in _stretches(batch.column("__text")):
+                sizes, ids, best, count = encoder.scored(texts)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(ids, pa.int32()))
                 own = [batch.column(c).slice(begin, len(texts)) for c in columns]
-                yield pa.RecordBatch.from_arrays([*own, lists], [*columns, "ids"])
+                more = [pa.array(best), pa.array(count)] if scores else []
+                yield pa.RecordBatch.from_arrays([*own, lists, *more], [*columns, "ids", *(["best_sum", "n_best"] if scores else [])])
                 begin += len(texts)
 
-    return slim.mapInArrow(run, slim.select(*columns).schema.add("ids", T.ArrayType(T.IntegerType())))
+    return run
 
 
-def decode(encoded: DataFrame, vocabulary: Vocabulary, columns: tuple[str, ...] = ("doc_id",), text: str = "decoded") -> DataFrame:
-    """`columns` and the text that `ids` stand for; null or no ids give an empty text.
+def encode(
+    docs: DataFrame, vocabulary: Vocabulary, columns: tuple[str, ...] = ("doc_id",), text_col: str = "text", scores: bool = False
+) -> DataFrame:
+    """`columns` of `docs` and `ids` (array<int>) of the whole text; null and empty texts have none.
 
-    Marks become spaces and the one put before the text is taken off. Bytes that are no UTF-8 become
-    replacement characters. Control pieces have no text; ids outside the vocabulary are an error.
+    With `scores` also `best_sum` and `n_best`: the best sum of piece scores over all ways to cut the
+    text's words into pieces, as Viterbi's search finds it, and the pieces of that way. For a unigram
+    vocabulary `ids` are that way; for a byte-pair one they are what merging gives.
+
+    Repeated rows give repeated rows. Other columns are ignored, whatever their names; kept ones must
+    not have the names of results.
     """
-    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary.plain())
+    results = ["ids", "best_sum", "n_best"] if scores else ["ids"]
+    if set(columns) & {*results, "__text"}:
+        raise ValueError(f"kept columns have names of results: {', '.join(columns)}")
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary.plain())
+    slim = docs.select(*columns, F.col(text_col).alias("__text"))
+    schema = slim.select(*columns).schema.add("ids", T.ArrayType(T.IntegerType()))
+    if scores:
+        schema = schema.add("best_sum", T.DoubleType()).add("n_best", T.LongType())
+    return slim.mapInArrow(_encoding(shared, columns, scores), schema)
+
+
+def _decoding(shared: Broadcast, columns: tuple[str, ...], ids_col: str, text: str):
+    """Task function: batches with `columns` and ids -> `columns` and the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = Vocabulary(*shared.value["fields"])
@@ -287,7 +325,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, columns: tuple[str, ...]
         begins, letters = np.cumsum(long) - long, np.frombuffer(b"".join(spelled), dtype=np.uint8)
         for batch in batches:
             texts = []
-            for ids in batch.column("__ids"):
+            for ids in batch.column(ids_col):
                 own = ids.values.to_numpy() if ids.is_valid and len(ids) else np.zeros(0, dtype=np.int32)
                 size = long[own]
                 ends = np.cumsum(size)
@@ -295,19 +333,44 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, columns: tuple[str, ...]
                 texts.append(data.decode("utf-8", "replace").removeprefix(" "))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(texts, pa.string())], [*columns, text])
 
+    return run
+
+
+def decode(encoded: DataFrame, vocabulary: Vocabulary, columns: tuple[str, ...] = ("doc_id",), text: str = "decoded") -> DataFrame:
+    """`columns` and the text that `ids` stand for; null or no ids give an empty text.
+
+    Marks become spaces and the one put before the text is taken off. Bytes that are no UTF-8 become
+    replacement characters. Control pieces have no text; ids outside the vocabulary are an error.
+    """
+    if {text, "__ids"} & set(columns):
+        raise ValueError(f"kept columns have names of results: {', '.join(columns)}")
+    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary.plain())
     slim = encoded.select(*columns, F.col("ids").alias("__ids"))
-    return slim.mapInArrow(run, slim.select(*columns).schema.add(text, "string"))
+    return slim.mapInArrow(_decoding(shared, columns, "__ids", text), slim.select(*columns).schema.add(text, "string"))
 
 
 def encoding_report(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids, n_ids, decoded_sha256, lossless) per row of documents."""
-    vocabulary = Vocabulary.load(path)
-    encoded = encode(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), vocabulary, ("doc_id", "text"))
-    back = decode(encoded, vocabulary, ("doc_id", "text", "ids"))
-    return back.select(
-        "doc_id",
-        "ids",
-        F.size("ids").cast("bigint").alias("n_ids"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-        (F.col("decoded") == F.col("text")).alias("lossless"),
-    )
+    """(doc_id, ids, n_ids, best_sum, n_best, decoded_sha256, lossless) per row of documents.
+
+    `ids` are the public library's; `best_sum` and `n_best` are Viterbi's over the same pieces and
+    scores. One task function encodes, decodes and compares, so that no text goes back to the JVM.
+    """
+    shared = spark.sparkContext.broadcast(Vocabulary.load(path).plain())
+    kept = ("doc_id", "__given", "ids", "best_sum", "n_best")
+    there, back = _encoding(shared, kept[:2], True), _decoding(shared, kept, "ids", "decoded")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        doubled = (pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(1)], [*kept[:2], "__text"]) for b in batches)
+        for batch in back(there(doubled)):
+            given, decoded = batch.column("__given").to_pylist(), batch.column("decoded").to_pylist()
+            digests = [sha256(t.encode()).hexdigest() for t in decoded]
+            same = [(g or "") == d for g, d in zip(given, decoded)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("ids"), batch.column("best_sum"), batch.column("n_best"), pa.array(digests, pa.string()), pa.array(same, pa.bool_())],
+                ["doc_id", "ids", "best_sum", "n_best", "decoded_sha256", "lossless"],
+            )
+
+    slim = docs.select("doc_id", F.col("text").alias("__given"))
+    schema = slim.select("doc_id").schema.add("ids", T.ArrayType(T.IntegerType())).add("best_sum", T.DoubleType()).add("n_best", T.LongType())
+    told = slim.mapInArrow(run, schema.add("decoded_sha256", T.StringType()).add("lossless", T.BooleanType()))
+    return told.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_ids"), "best_sum", "n_best", "decoded_sha256", "lossless")

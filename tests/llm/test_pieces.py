@@ -1,9 +1,10 @@
+import hashlib
 import random
 
 import pytest
 import sentencepiece
 
-from demand_engine.llm.pieces import Encoder, TextEncoder, Vocabulary, decode, encode
+from demand_engine.llm.pieces import MARK, Encoder, TextEncoder, Vocabulary, decode, encode, encoding_report
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 TEXTS = ["", " ", "  two  spaces ", "Hello world\n\n\tx", "日本語 🎉 \x00", "a" * 70, " " * 40 + "x", "=====-----", "naïve éèê", "don't stop. It's 1,234!" * 40]
@@ -55,6 +56,44 @@ def test_unigram_is_the_best_sum():
         assert abs(sum(scores[v.ids[p]] if p in v.ids else lowest for p in found) - best(word)) < 1e-9
 
 
+def plain_best(v, text):
+    """(best sum, pieces of it) over a whole marked text, position by position, nothing shared or cut."""
+    if not text:
+        return 0.0, 0
+    marked, lowest, table = MARK + text.replace(" ", MARK), min(v.scores) - 10.0, [(0.0, 0)]
+    for end in range(1, len(marked) + 1):
+        best = None
+        for low in range(max(0, end - 40), end):
+            piece = marked[low:end]
+            if piece in v.ids or low == end - 1:
+                total = table[low][0] + (v.scores[v.ids[piece]] if piece in v.ids else lowest)
+                if best is None or total > best[0]:
+                    best = total, table[low][1] + 1
+        table.append(best)
+    return table[-1]
+
+
+def test_registered_result_against_plain_search_and_library(vocabulary, spark, small):
+    model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").limit(40)
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + [(-1 - k, t) for k, t in enumerate(TEXTS)] + [(None, None), (7, "x y"), (7, "x y")]
+    got = encoding_report(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), MODEL)
+    expected = []
+    for k, t in rows:
+        best, n = plain_best(vocabulary, t)
+        ids = model.encode(t or "")
+        expected.append((k, ids, len(ids), best, n, hashlib.sha256((t or "").encode()).hexdigest(), True))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(expected, key=repr)
+    assert any(r.n_best != r.n_ids for r in got.collect())
+    assert encoding_report(spark, docs.limit(0), MODEL).count() == 0
+
+
+def test_kept_columns_with_names_of_results(spark, vocabulary):
+    df = spark.createDataFrame([(1, "a", 2)], "doc_id bigint, text string, ids int")
+    with pytest.raises(ValueError, match="ids"):
+        encode(df, vocabulary, ("doc_id", "ids"))
+
+
 def test_round_trip_nulls_repeats_and_clashing_columns(spark, vocabulary):
     rows = [(k, t, "x") for k, t in enumerate(TEXTS)] + [(99, None, None), (99, None, None), (None, "word " * 40_000, "y")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, ids string")
