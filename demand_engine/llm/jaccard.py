@@ -118,10 +118,13 @@ def _spread(width: int, buckets: int):
         kept = kept[n[kept] > 0]
         if not len(kept):
             return
-        tokens = np.concatenate([np.unique(sets[i] >> np.uint64(16)) for i in kept])
-        owner = np.repeat(np.arange(len(kept), dtype=np.uint16), [len(np.unique(sets[i] >> np.uint64(16))) for i in kept])
+        del flat, totals, ends
+        short = [np.unique(sets[i] >> np.uint64(16)) for i in kept]
+        tokens, owner = np.concatenate(short), np.repeat(np.arange(len(kept), dtype=np.uint16), [len(s) for s in short])
+        del short
         order = np.argsort(tokens, kind="stable")
         tokens, owner = tokens[order], owner[order]
+        del order
         first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
         count = np.diff(np.append(first, len(tokens)))
         chunk = int(mix(np.array([TaskContext.get().partitionId() << 32 | number], dtype=np.uint64)).view(np.int64)[0])
@@ -134,6 +137,7 @@ def _spread(width: int, buckets: int):
         counts, in_lone, in_many = count[count > 1].astype(np.uint32), tokens[lone] // size, tokens[many] // size
         routes = np.union1d(in_lone, in_many)  # only buckets that get something
         blobs = []
+        del first, count, several
         for b in routes:
             one, more = (slice(*np.searchsorted(at, [b, b + np.uint64(1)])) for at in (in_lone, in_many))
             blobs.append(_pack(tokens[lone[one]], owner[lone[one]], tokens[many[more]], counts[more]))
