@@ -16,7 +16,7 @@ from demand_engine.operators.tables import between
 from demand_engine.plans.prepare import prepare, whole_days
 from demand_engine.plans.report import write_report
 from demand_engine.plans.train import train
-from demand_engine.schemas import STATION_SNAPSHOTS, with_files
+from demand_engine.sources.stations_table import exact_files
 from demand_engine.session import engine_session
 from demand_engine.sources.datasets import load_table
 from demand_engine.sources.dated_trips import read_dated
@@ -31,7 +31,7 @@ def _arguments() -> argparse.Namespace:
     job.add_argument("work_dir")
     job.add_argument("observations", help="Parquet table of hourly weather observations")
     job.add_argument("--observing-stations", help="Parquet table (station_id, lat, lng); with it, observations have a station_id and the city's weather is estimated from them")
-    job.add_argument("--station-files", nargs="+", metavar="NAME", help="exact names of the station lists, by version")
+    job.add_argument("--station-files", nargs="+", metavar="NAME", required=True, help="exact names of the station lists, by version")
 
     job = jobs.add_parser("train", help="fit and log a model")
     job.add_argument("work_dir")
@@ -50,7 +50,7 @@ def main() -> None:
     spark = engine_session()
     if args.job == "prepare":
         observed = load_table(spark, args.observations)
-        lists = with_files(args.station_files) if args.station_files else STATION_SNAPSHOTS
+        lists = exact_files(args.station_files)
 
         def asked(start: datetime, end: datetime) -> DataFrame:
             return between(observed, "time", start, end)

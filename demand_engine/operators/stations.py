@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from demand_engine.functions.names import clean_station_name, gender, user_type
 from demand_engine.functions.times import ntz
 from demand_engine.operators.joins import Size, left_lookup, measure
 from demand_engine.operators.tables import quoted
-from demand_engine.schemas import STATION_SNAPSHOTS, StationSnapshot
+from demand_engine.schemas import VERSION_DATES
 from demand_engine.session import cut_lineage
 
 VersionColumn = Callable[[str], Column]
@@ -29,17 +30,17 @@ _VISITED = {
 
 
 def station_version(
-    time_col: str, snapshots: Sequence[StationSnapshot] = STATION_SNAPSHOTS
+    time_col: str, dates: Mapping[int, datetime] = VERSION_DATES
 ) -> Column:
     """The version in force at a time: the last whose first day is not later, else the first one.
 
-    A null time gets the first version. For a fixed list in ascending order; `version_as_of` takes
-    a table. The place in the list is the number of later first days that the time has reached.
+    A null time gets the first version. For fixed dates in ascending order; `version_as_of` takes
+    a table. The version's place is the number of later first days that the time has reached.
     """
-    versions = F.array(*(F.lit(s.version) for s in snapshots))
+    versions = F.array(*map(F.lit, dates))
     reached = [
-        F.coalesce(F.col(time_col) >= ntz(s.effective_from), F.lit(False)).cast("int")
-        for s in snapshots[1:]
+        F.coalesce(F.col(time_col) >= ntz(day), F.lit(False)).cast("int")
+        for day in list(dates.values())[1:]
     ]
     return versions[sum(reached, F.lit(0))].alias("station_version")
 

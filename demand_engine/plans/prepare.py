@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Collection, Mapping
 from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +12,7 @@ from demand_engine.functions.times import ntz
 from demand_engine.operators.stations import standardize, station_version
 from demand_engine.operators.tables import span
 from demand_engine.operators.weather import attach_weather
-from demand_engine.schemas import STATION_SNAPSHOTS, StationSnapshot
+from demand_engine.schemas import VERSION_DATES
 from demand_engine.session import workspace
 from demand_engine.sources.csv_files import SOURCE_FILE
 from demand_engine.sources.dated_trips import NO_DATE, State, current_state, date_text, replace_dates
@@ -35,12 +35,12 @@ def enrich(
     trips: DataFrame,
     stations: DataFrame,
     weather: DataFrame,
-    snapshots: Sequence[StationSnapshot] = STATION_SNAPSHOTS,
+    dates: Mapping[int, datetime] = VERSION_DATES,
 ) -> DataFrame:
     """Standardised trips with the weather of their hour. Small dimensions are broadcast, so trips
     pass from scan to write without a shuffle."""
     return standardize(
-        trips, stations, lambda column: station_version(column, snapshots)
+        trips, stations, lambda column: station_version(column, dates)
     ).transform(attach_weather, weather)
 
 
@@ -49,10 +49,10 @@ def _weather_hashes(weather: DataFrame) -> dict[str, int]:
     return {r["date"]: r["hash"] for r in hashed.collect()}
 
 
-def _stations_hash(stations: DataFrame, snapshots: Sequence[StationSnapshot]) -> str:
+def _stations_hash(stations: DataFrame, dates: Mapping[int, datetime]) -> str:
     columns = sorted(stations.columns)
     row = stations.agg(F.bit_xor(F.xxhash64(*columns)).alias("hash"), F.count(F.lit(1)).alias("n")).first()
-    return f"{row['hash']}:{row['n']}:{[(s.version, str(s.effective_from)) for s in snapshots]}"
+    return f"{row['hash']}:{row['n']}:{[(version, str(day)) for version, day in dates.items()]}"
 
 
 def touched_dates(trips: DataFrame, state: State, files: dict[str, int | None], weather: dict[str, int]) -> set[str]:
@@ -83,9 +83,11 @@ def prepare(
     source_dir: str,
     work_dir: str,
     weather_source: WeatherSource,
-    snapshots: Sequence[StationSnapshot] = STATION_SNAPSHOTS,
+    station_files: Mapping[int, str],
+    dates: Mapping[int, datetime] = VERSION_DATES,
 ) -> str:
     """The whole job; returns the path of the standardised trips (`dated_trips.read_dated` reads them).
+    `station_files` names the station list of each version (`stations_table.read_snapshots`).
 
     Safe to repeat: only files that are new or changed are read, and only the dates that they, or other
     weather, touch are made again. Other station lists make all of them again.
@@ -95,7 +97,7 @@ def prepare(
         unpack(spark, source_dir, raw)
         folders = [f for f in (raw, source_dir) if exists(spark, f)]
         update_trips(spark, folders, f"{work_dir}/trips")
-        update_stations(spark, folders, stations_path, snapshots)
+        update_stations(spark, folders, stations_path, station_files, dates)
         trips = read_trips(spark, f"{work_dir}/trips")
         days = weather_span(trips).first()
         cache = WeatherCache(spark, f"{work_dir}/weather", weather_source)
@@ -103,7 +105,7 @@ def prepare(
             datetime.combine(days["first_day"], time.min), datetime.combine(days["last_day"], time.min)
         )
         return refresh(
-            trips, read_stations(spark, stations_path), weather, snapshots,
+            trips, read_stations(spark, stations_path), weather, dates,
             f"{work_dir}/trips_standardized", loaded_files(spark, f"{work_dir}/trips"),
         )
 
@@ -112,20 +114,20 @@ def refresh(
     trips: DataFrame,
     stations: DataFrame,
     weather: DataFrame,
-    snapshots: Sequence[StationSnapshot],
+    dates: Mapping[int, datetime],
     table: str,
     files: dict[str, int | None],
 ) -> str:
     """Bring the standardised trips in line with what they are made from, date by date."""
     state = current_state(trips.sparkSession, table)
-    hashes, lists = _weather_hashes(weather), _stations_hash(stations, snapshots)
+    hashes, lists = _weather_hashes(weather), _stations_hash(stations, dates)
     touched = None
     if state is not None and state.stations == lists:
         touched = touched_dates(trips, state, files, hashes)
         if not touched and state.files.keys() == files.keys():
             return table
     rows = trips if touched is None else on_dates(trips, touched)
-    replace_dates(enrich(rows, stations, weather, snapshots), table, touched, files, hashes, lists)
+    replace_dates(enrich(rows, stations, weather, dates), table, touched, files, hashes, lists)
     return table
 
 

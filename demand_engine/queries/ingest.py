@@ -17,8 +17,7 @@ from demand_engine.operators.quality import unreadable
 from demand_engine.operators.tables import between
 from demand_engine.plans.prepare import whole_days
 from demand_engine.queries.registry import query
-from demand_engine.queries.views import SNAPSHOTS, sql, stations, table, trips
-from demand_engine.schemas import StationSnapshot
+from demand_engine.queries.views import VERSION_DATES, sql, stations, table, trips
 from demand_engine.session import scratch_path
 from demand_engine.sources.csv_files import SOURCE_FILE, read_trip_csv
 from demand_engine.sources.datasets import load_table, save_table, save_trips
@@ -300,17 +299,15 @@ def station_snapshots_union(spark: SparkSession, sf_dir: str) -> DataFrame:
            "Public": "public", "District": "district", "Total docks": "total_docks"}
     new = {"# of Docks": "total_docks", "Station": "station_name", "Station ID": "station_id",
            "Municipality": "district", "Latitude": "lat", "Longitude": "lng"}
-    for snapshot in SNAPSHOTS:
-        header = new if snapshot.version == 2 else old
-        listed = rows.where(F.col("station_version") == snapshot.version)
+    for version in VERSION_DATES:
+        header = new if version == 2 else old
+        listed = rows.where(F.col("station_version") == version)
         _write_csv(
             listed.select(*(F.col(c).alias(h) for h, c in header.items())),
-            f"{root}/list{snapshot.version}",
+            f"{root}/list{version}",
         )
-    lists = [
-        StationSnapshot(s.version, f"list{s.version}/*.csv", s.effective_from) for s in SNAPSHOTS
-    ]
-    return read_stations(spark, update_stations(spark, [root], f"{root}/table", lists))
+    lists = {version: f"list{version}/*.csv" for version in VERSION_DATES}
+    return read_stations(spark, update_stations(spark, [root], f"{root}/table", lists, VERSION_DATES))
 
 
 @query(

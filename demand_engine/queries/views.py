@@ -20,15 +20,10 @@ from demand_engine.functions import names
 from demand_engine.functions.times import hour_number, hour_time
 from demand_engine.operators.stations import station_version
 from demand_engine.plans.prepare import enrich
-from demand_engine.schemas import StationSnapshot
 from demand_engine.session import cut_lineage
 
 # The events cover January 2024, so the lists of these tables take effect within it.
-SNAPSHOTS = (
-    StationSnapshot(0, "", datetime(2024, 1, 1)),
-    StationSnapshot(1, "", datetime(2024, 1, 10)),
-    StationSnapshot(2, "", datetime(2024, 1, 20)),
-)
+VERSION_DATES = {0: datetime(2024, 1, 1), 1: datetime(2024, 1, 10), 2: datetime(2024, 1, 20)}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -126,7 +121,7 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def version(column: str):
-    return station_version(column, SNAPSHOTS)
+    return station_version(column, VERSION_DATES)
 
 
 def station_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,7 +135,7 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
         trips(spark, sf_dir),
         station_table(spark, sf_dir),
         cut_lineage(weather(spark, sf_dir)),
-        SNAPSHOTS,
+        VERSION_DATES,
     )
 
 

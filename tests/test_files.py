@@ -7,7 +7,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from demand_engine.schemas import StationSnapshot, STATION_SNAPSHOTS, with_files
+from demand_engine.schemas import VERSION_DATES
 from demand_engine.sources import csv_files as C
 from demand_engine.sources import files, landing, stations_table, trips_table
 
@@ -226,19 +226,20 @@ def test_station_lists(spark, tmp_path):
         "Number,Name,Latitude,Longitude,District,Public,Total docks\nS2,B St,42.2,-71.2,Cambridge,Yes,17\n")
     put(tmp_path, "City_Stations_as_of_July_2017.csv",
         "Number,Name,Latitude,Longitude,District,Public,Total docks\nS3,C St,\\N,-71.3,Boston,Yes,19\n")
-    path = stations_table.update_stations(spark, [str(tmp_path)], str(tmp_path / "table"))
+    names = ["City_Stations_2011_2016.csv", "previous_City_Stations_as_of_July_2017.csv", "City_Stations_as_of_July_2017.csv"]
+    path = stations_table.update_stations(spark, [str(tmp_path)], str(tmp_path / "table"), stations_table.exact_files(names))
     rows = stations_table.read_stations(spark, path).orderBy("station_version").collect()
     assert [r["station_version"] for r in rows] == [0, 1, 2]
     assert [r["station_name"] for r in rows] == ["A St", "B St", "C St"]
     assert [r["total_docks"] for r in rows] == [15, 17, 19]
     assert [r["public"] for r in rows] == [None, "Yes", "Yes"]
     assert rows[2]["lat"] is None
-    assert [r["effective_from"] for r in rows] == [s.effective_from for s in STATION_SNAPSHOTS]
+    assert [r["effective_from"] for r in rows] == list(VERSION_DATES.values())
 
 
 def test_a_missing_station_list_is_an_error(spark, tmp_path):
     put(tmp_path, "other.csv", "Name\nA\n")
-    lists = [StationSnapshot(0, "*_Stations.csv", datetime(2011, 1, 1))]
+    lists = {0: "*_Stations.csv"}
     with pytest.raises(ValueError, match="no files"):
         stations_table.read_snapshots(files.list_objects(spark, str(tmp_path)), lists)
 
@@ -247,10 +248,10 @@ def test_exact_names_of_station_lists(spark, tmp_path):
     names = ["one.csv", "two.csv", "three.csv"]
     for number, name in enumerate([*names, "other two.csv"]):
         put(tmp_path, name, f"Name,Total docks\nS{number},{number}\n")
-    rows = stations_table.read_snapshots(files.list_objects(spark, str(tmp_path)), with_files(names)).collect()
+    rows = stations_table.read_snapshots(files.list_objects(spark, str(tmp_path)), stations_table.exact_files(names)).collect()
     assert sorted((r["station_version"], r["station_name"]) for r in rows) == [(0, "S0"), (1, "S1"), (2, "S2")]
     with pytest.raises(ValueError, match="3 station files"):
-        with_files(["a.csv"])
+        stations_table.exact_files(["a.csv"])
 
 
 def test_line_breaks_in_quotes(spark, tmp_path):

@@ -16,10 +16,11 @@ from demand_engine.plans.prepare import prepare, refresh, whole_days
 from demand_engine.plans.report import write_report
 from demand_engine.plans.train import train
 from demand_engine.queries import views
-from demand_engine.schemas import FEATURE_COLUMNS, STATION_SNAPSHOTS, WEATHER_FILLS
+from demand_engine.schemas import FEATURE_COLUMNS, VERSION_DATES, WEATHER_FILLS
 from demand_engine.session import cut_lineage, shared_dir, workspace
 from demand_engine.sources.dated_trips import current_state, read_dated, replace_dates
 from demand_engine.sources.datasets import load_runs, load_table, log_run
+from demand_engine.sources.stations_table import exact_files
 
 SPACE = {
     "max_depth": M.Range(2, 3, whole=True),
@@ -200,6 +201,8 @@ def test_prepare_from_raw_files_to_a_report(spark, tmp_path):
             f"Name,Total docks,District,Public\nMain Street,{10 + version},Boston,Yes\nSide St.,{20 + version},Boston,Yes\n"
         )
 
+    lists = exact_files(["A_Stations_2011_2016.csv", "previous_A_Stations_as_of_July_2017.csv", "A_Stations_as_of_July_2017.csv"])
+
     def observations(start, end):
         hours = spark.range(0, 24 * 2400).select(
             (F.lit(datetime(2018, 1, 1)).cast("timestamp_ntz")
@@ -209,8 +212,8 @@ def test_prepare_from_raw_files_to_a_report(spark, tmp_path):
         )
         return clamped(hours, start, end)
 
-    path = prepare(spark, str(source), work, observations)
-    assert prepare(spark, str(source), work, observations) == path
+    path = prepare(spark, str(source), work, observations, lists)
+    assert prepare(spark, str(source), work, observations, lists) == path
     trips = read_dated(spark, path)
     assert trips.count() == 10
     assert not [d for d in os.listdir(shared_dir(spark)) if d.startswith(("prepare-", "train-"))]
@@ -239,7 +242,7 @@ def test_prepare_from_raw_files_to_a_report(spark, tmp_path):
     moved = source / "new-trips.csv"
     moved.write_text("started_at,ended_at,start_station_name,bike_id\n2018-01-02 10:00:00,2018-01-02 10:05:00,Nowhere,9\n")
     os.utime(moved, (0, 10**9))
-    prepare(spark, str(source), work, observations)
+    prepare(spark, str(source), work, observations, lists)
     second = current_state(spark, path)
     assert second.number == first.number + 1 and set(second.dates) == {"2018-01-01", "2018-01-02", "2018-01-03"}
     assert {d for d, label in second.dates.items() if first.dates[d] != label} == {"2018-01-02"}
@@ -264,7 +267,7 @@ def test_only_touched_dates_are_made_again(spark, tmp_path):
     def run(rows, warm=0, files=None, docks=stations):
         weather = spark.createDataFrame([(datetime(2024, 3, d, 9), float(d + (warm if d == 5 else 0))) for d in range(1, 9)], "time timestamp_ntz, temp double")
         times = files or {name: 1 for *_, name in rows}
-        refresh(spark.createDataFrame(rows, schema), docks, weather, STATION_SNAPSHOTS, table, times)
+        refresh(spark.createDataFrame(rows, schema), docks, weather, VERSION_DATES, table, times)
         return current_state(spark, table)
 
     def bikes():

@@ -160,7 +160,7 @@ def test_versions(spark, as_table):
     df = spark.createDataFrame([(d,) for d in DATES], "started_at timestamp_ntz")
     if as_table:
         validity = spark.createDataFrame(
-            [(s.effective_from, s.version) for s in S.STATION_SNAPSHOTS],
+            [(day, version) for version, day in S.VERSION_DATES.items()],
             "effective_from timestamp_ntz, station_version int",
         )
         got = S.version_as_of(df, "started_at", validity)
