@@ -7,8 +7,12 @@ every set: tasks sum residuals by (set, node, feature, bin), Spark adds the sums
 is chosen per group, and only the cuts come to the driver. The pass that begins a round also sums the squared
 errors of held-out rows, so that boosting can stop by them; no round is fitted twice.
 
-The margins are written every few rounds, to the folder all executors share; until then the trees grown since
-are applied on the fly. A lost task repeats one pass at most.
+A table of at most `TASK_ROWS` rows, as binned and aggregated by Spark, is one partition, whose sums are whole.
+Passes over it would be thousands of jobs of one small task each. There the tasks share out the parameter sets
+instead: one job, a task per set, which grows all rounds of its set by the same rules.
+
+In passes the margins are written every few rounds, to the folder all executors share; until then the trees grown since
+are applied on the fly. A lost task repeats one pass at most, or its set where sets are shared out.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ from demand_engine.session import cut_lineage
 
 # Bins per feature, rounds without gain that end boosting, seed.
 BINS, PATIENCE, SEED = 32, 50, 42
-# Rounds between two writes of the margins; rows per task at least; open nodes whose sums are one group.
+# Rounds between two writes of the margins; rows per task at least (a smaller table is one task's); open nodes whose sums are one group.
 WRITE_EVERY, TASK_ROWS, NODES = 8, 200_000, 64
 # A cut has to lower the squared error by more than rounding does.
 LEAST_GAIN = 1e-9
@@ -308,13 +312,98 @@ def _best_cuts(number: int, first: int, sums: np.ndarray, settings: Settings, fe
     gain = score(left[..., 0], left[..., 1]) + score(right[..., 0], right[..., 1]) - score(whole[..., 0], whole[..., 1])
     enough = np.minimum(left[..., 1], right[..., 1]) >= max(settings.min_child_samples, 1)
     flat = np.where(enough, gain, 0.0).reshape(len(sums), -1)
-    out = []
-    for node, best in enumerate(flat.argmax(axis=1)):
-        if flat[node, best] > LEAST_GAIN:
-            k, cut = divmod(int(best), sums.shape[2])
-            sides = (weight(*side[node, k, cut]) for side in (left, right))
-            out.append((number, first + node, features[k], cut, float(flat[node, best]), *map(float, sides)))
-    return out
+    best = flat.argmax(axis=1)
+    gains = flat[np.arange(len(sums)), best]
+    node = np.flatnonzero(gains > LEAST_GAIN)
+    k, cut = np.divmod(best[node], sums.shape[2])
+    sides = (weight(side[node, k, cut, 0], side[node, k, cut, 1]).tolist() for side in (left, right))
+    chosen = (features[j] for j in k.tolist())
+    return [(number, *c) for c in zip((first + node).tolist(), chosen, cut.tolist(), gains[node].tolist(), *sides)]
+
+
+_WHOLE = "number int, errors array<double>, sizes array<int>, nodes binary"
+_NODE = np.dtype([("feature", np.int16), ("cut", np.int16), ("left", np.int32), ("value", np.float64)])
+
+
+def _grow_tree(g: _Growing, columns: np.ndarray, n: np.ndarray, residual: np.ndarray) -> None:
+    """The current tree of a set over all rows it is fitted on: bins by feature, counts, sums of residuals."""
+    least = 2 * max(g.settings.min_child_samples, 1)
+    at, wide = np.zeros(len(n), dtype=np.int64), len(columns)
+    column_of = np.zeros(g.features[-1] + 1, dtype=np.int64)
+    column_of[g.features] = np.arange(wide)
+    for _ in range(g.settings.max_depth):
+        nodes = np.array(g.open, dtype=np.int64)
+        place = np.full(len(g.tree.value), -1)
+        place[nodes] = np.arange(len(nodes))
+        large = np.flatnonzero(np.bincount(place[at], n, len(nodes)) >= least)  # others can't be cut
+        if not len(large):
+            return
+        place[:] = -1
+        place[nodes[large]] = np.arange(len(large))
+        own = place[at]
+        if len(large) < len(nodes):
+            stay = own >= 0
+            own, at, n, residual, columns = own[stay], at[stay], n[stay], residual[stay], columns[:, stay]
+        own = own * BINS
+        sums = np.empty((len(large), wide, BINS, 2))
+        for k in range(wide):
+            key = own + columns[k]
+            for what, weights in enumerate((residual, n)):
+                sums[:, k, :, what] = np.bincount(key, weights, len(large) * BINS).reshape(-1, BINS)
+        g.grow([(int(large[c[1]]), *c[2:]) for c in _best_cuts(g.number, 0, sums, g.settings, g.features)])
+        if not g.open:
+            return
+        feature, cut, left = np.array(g.tree.feature), np.array(g.tree.cut), np.array(g.tree.left)
+        inner = feature[at] >= 0
+        if not inner.all():
+            at, n, residual, columns = at[inner], n[inner], residual[inner], columns[:, inner]
+        at = left[at] + (columns[column_of[feature[at]], np.arange(len(at))] > cut[at])
+
+
+def _grow_whole(g: _Growing, x: np.ndarray, n: np.ndarray, total: np.ndarray, squares: np.ndarray, held: np.ndarray, base: float, seed: int, patience: int) -> None:
+    """All rounds of a set over the whole table; errors where rows are held out."""
+    by_feature = np.ascontiguousarray(x.T).astype(np.int64)
+    margin, rows = np.full(len(x), base), n[held].sum()
+    while True:
+        if held.any():
+            m = margin[held]
+            square = (squares[held] - 2 * m * total[held] + n[held] * m * m).sum()
+            g.errors.append(math.sqrt(max(float(square), 0.0) / float(rows)))
+        if len(g.trees) == g.settings.n_estimators or _ended(g.errors, patience):
+            return
+        g.begin(x.shape[1], seed)
+        used = np.flatnonzero(~held & _kept_rows(x, g.settings.subsample, f"{seed}:{g.number}:{len(g.trees)}"))
+        _grow_tree(g, by_feature[np.ix_(g.features, used)], n[used], (total - n * margin)[used])
+        margin += g.tree.predict(x)
+        g.trees.append(g.tree)
+
+
+def _by_set(rows: DataFrame, growing: Sequence[_Growing], width: int, base: float, seed: int, patience: int, keep_trees: bool) -> None:
+    """Grow each set over `rows`, by a task of its own; those likely to take longest begin first."""
+    settings = {g.number: g.settings for g in growing}
+
+    def grown(table: pa.Table) -> pa.Table:
+        number = table.column("number")[0].as_py()
+        x = _rows_of(table.column("x").combine_chunks(), width)
+        n, total, squares = (table.column(c).to_numpy() for c in ("n", "total", "squares"))
+        out = table.column("held_out").to_numpy().astype(bool)
+        g = _Growing(number, settings[number])
+        _grow_whole(g, x, n, total, squares, out, base, seed, patience)
+        nodes = [np.rec.fromarrays([t.feature, t.cut, t.left, t.value], dtype=_NODE).tobytes() for t in g.trees] if keep_trees else []
+        sizes = [len(t.value) for t in g.trees]
+        kinds = (pa.int32(), pa.list_(pa.float64()), pa.list_(pa.int32()), pa.binary())
+        row = (number, g.errors, sizes, b"".join(nodes))
+        return pa.Table.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], ["number", "errors", "sizes", "nodes"])
+
+    order = sorted(growing, key=lambda g: -min(g.settings.n_estimators, 10 / g.settings.learning_rate) * g.settings.max_depth)
+    turns = F.posexplode(F.array(*(F.lit(g.number) for g in order))).alias("turn", "number")
+    dealt = rows.select("held_out", "x", "n", "total", "squares", turns).repartitionByRange(2 * len(order), "turn")
+    for row in dealt.groupBy("turn").applyInArrow(grown, _WHOLE).collect():
+        g = growing[row["number"]]
+        g.errors, nodes = row["errors"], np.frombuffer(row["nodes"], dtype=_NODE)
+        if keep_trees:
+            ends = np.cumsum(row["sizes"], dtype=np.int64)
+            g.trees = [Tree(*(nodes[c][e - s : e].tolist() for c in _NODE.names)) for s, e in zip(row["sizes"], ends)]
 
 
 def _with_margins(rows: DataFrame, growing: Sequence[_Growing], width: int, pending: int) -> DataFrame:
@@ -353,7 +442,7 @@ def _training_table(
     base = sizes[False]["total"] / sizes[False]["n"]
     tasks = 1 + sum(s["rows"] for s in sizes.values()) // TASK_ROWS
     margins = F.array_repeat(F.lit(base), sets)
-    return cut_lineage(table.withColumn("margins", margins).coalesce(tasks)).coalesce(tasks).persist(), bins, base, tasks
+    return cut_lineage(table.withColumn("margins", margins).coalesce(tasks)).coalesce(tasks), bins, base, tasks
 
 
 def boost(
@@ -364,19 +453,32 @@ def boost(
     patience: int = PATIENCE,
     seed: int = SEED,
     columns: Sequence[str] = FEATURE_COLUMNS,
+    keep_trees: bool = True,
 ) -> list[Boosted]:
-    """A boosted model per parameter set, all grown in the same passes over `df`.
+    """A boosted model per parameter set, all grown in the same passes over `df`, or each by a task where its binned table is small.
 
     With `validate_on` (a boolean column) boosting of a set ends `patience` rounds after the least RMSE of
     the rows it marks, or after `n_estimators` rounds, and the model has the rounds up to that least. Without,
     all rows are fitted on and the model has `n_estimators` rounds. Trees grow level by level, best cuts
     first, up to `num_leaves`; rows of a `subsample` are drawn by a hash of their bins. A tree that finds no
     cut is a root of value 0. Rows without a label are left out; nothing to fit on or validate on is an error.
+    Without `keep_trees` the models have their rounds and errors, but can't predict.
     """
     held_out = F.coalesce(F.col(validate_on), F.lit(False)) if validate_on else F.lit(False)
     table, bins, base, tasks = _training_table(df.withColumn("held_out", held_out), label, columns, len(params), validate_on is not None)
-    width, pending = len(columns), 0
     growing = [_Growing(k, Settings.of(p)) for k, p in enumerate(params)]
+    if tasks == 1:
+        _by_set(table, growing, len(columns), base, seed, patience, keep_trees)
+    else:
+        _in_passes(table.persist(), growing, len(columns), tasks, validate_on is not None, seed, patience)
+    return [
+        Boosted(bins, base, g.trees if keep_trees else [], best_round(g.errors) if g.errors else g.settings.n_estimators, g.errors) for g in growing
+    ]
+
+
+def _in_passes(table: DataFrame, growing: Sequence[_Growing], width: int, tasks: int, validated: bool, seed: int, patience: int) -> None:
+    """Grow all sets level by level, each level of all of them by one pass over `table`."""
+    pending = 0
     while active := [g for g in growing if not g.done]:
         for g in active:
             g.begin(width, seed)
@@ -385,7 +487,7 @@ def boost(
             if not now:
                 break
             found: dict[int, list] = {g.number: [] for g in now}
-            for number, place, *cut in _level(table, now, width, pending, seed, validate_on is not None and level == 0, tasks):
+            for number, place, *cut in _level(table, now, width, pending, seed, validated and level == 0, tasks):
                 if place < 0:
                     growing[number].errors.append(math.sqrt(max(cut[3], 0.0) / cut[4]))
                 else:
@@ -404,7 +506,6 @@ def boost(
             table.unpersist()
             table, pending = written, 0
     table.unpersist()
-    return [Boosted(bins, base, g.trees, best_round(g.errors) if g.errors else len(g.trees), g.errors) for g in growing]
 
 
 def root_cuts(df: DataFrame, label: str = "demand", params: Mapping[str, object] | None = None, columns: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:

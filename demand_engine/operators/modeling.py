@@ -198,14 +198,14 @@ def search(
 ) -> list[dict[str, object]]:
     """Random search: fit on `train`, stop early by `val`; the trials, best first, with their rounds and errors.
 
-    All trials grow in the same passes over one binned table (`boosting.boost`), so that a search reads
-    the data as often as its longest trial alone would.
+    All trials grow from one binned table (`boosting.boost`): side by side, a task each, where it is small,
+    else in the same passes, so that a search reads the data as often as its longest trial alone would.
     """
     drawn = [drawn_parameters(number, space, seed) for number in range(trials)]
     rows = df.where(F.col("split").isin(TRAIN, VALIDATION)).withColumn(
         "held_out", F.col("split") == VALIDATION
     )
-    grown = boost(rows, drawn, "held_out", label, patience, seed)
+    grown = boost(rows, drawn, "held_out", label, patience, seed, keep_trees=False)
     results = [
         {"trial": k, "rmse": m.rmse, "rounds": m.rounds, "errors": m.errors, "params": drawn[k]}
         for k, m in enumerate(grown)

@@ -156,3 +156,25 @@ def test_a_slow_rate_keeps_many_rounds(spark):
     df = frame(spark, [(float(k % 10), k % 7 / 7, k % 2 == 0, 1, float(3 * (k % 10) + k % 7), k % 5 == 0) for k in range(700)])
     [model] = B.boost(df, [{"max_depth": 2, "learning_rate": 0.05, "n_estimators": 30}], "held", patience=5, columns=COLUMNS)
     assert model.rounds == 30 and model.rmse < model.errors[0] / 2
+
+
+def test_a_small_table_takes_few_jobs_and_grows_the_same_trees(spark, monkeypatch):
+    df = frame(spark, rows()).repartition(3)
+    params = [
+        {"n_estimators": 25, "max_depth": 5, "subsample": 0.7, "colsample_bytree": 0.5, "learning_rate": 0.2},
+        {"n_estimators": 12, "num_leaves": 6, "min_child_samples": 40, "reg_alpha": 2.0, "reg_lambda": 1.0},
+    ]
+    context = spark.sparkContext
+    context.setJobGroup("few-jobs", "boosting")
+    try:
+        grown = B.boost(df, params, "held", columns=COLUMNS)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(context.statusTracker().getJobIdsForGroup("few-jobs")) < 25  # passes take one per level and round at least
+    bare = B.boost(df, params, "held", columns=COLUMNS, keep_trees=False)
+    monkeypatch.setattr(B, "TASK_ROWS", 200)
+    for one, two, errors_only in zip(grown, B.boost(df, params, "held", columns=COLUMNS), bare):
+        assert one.rounds == two.rounds == errors_only.rounds and errors_only.trees == []
+        assert one.errors == pytest.approx(two.errors, rel=1e-9) and errors_only.errors == one.errors
+        for a, b in zip(one.trees, two.trees, strict=True):
+            assert (a.feature, a.cut, a.left) == (b.feature, b.cut, b.left) and a.value == pytest.approx(b.value, rel=1e-9, abs=1e-12)
