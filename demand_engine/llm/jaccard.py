@@ -45,7 +45,9 @@ BLOCK = 512
 #: Multiples of l that documents choose from.
 MATCHES = (1, 2, 4, 8, 16)
 #: Text whose tokens one bucket counts at once; the number of buckets grows with the corpus.
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 16 << 20
+#: Tokens of a bucket that are sorted together.
+RANGE_TOKENS = 500_000
 _TILE = 4096
 
 _PARTS = pa.schema(
@@ -161,6 +163,20 @@ def _spread(width: int, buckets: int):
     return run
 
 
+def _ranges(runs: list[np.ndarray]) -> Iterator[list[tuple[int, int, int]]]:
+    """Ranges of values that cover ascending arrays: (array, begin, end) of those that have some, about `RANGE_TOKENS` in all."""
+    filled = [i for i, x in enumerate(runs) if len(x)]
+    if not filled:
+        return
+    parts = -(-sum(len(runs[i]) for i in filled) // RANGE_TOKENS)
+    least, most = min(int(runs[i][0]) for i in filled), max(int(runs[i][-1]) for i in filled)
+    edges = np.array([least + (most + 1 - least) * k // parts for k in range(1, parts)], dtype=np.uint64)
+    cuts = [np.concatenate([[0], np.searchsorted(runs[i], edges), [len(runs[i])]]) for i in filled]
+    for k in range(parts):
+        if places := [(i, int(c[k]), int(c[k + 1])) for i, c in zip(filled, cuts) if c[k] < c[k + 1]]:
+            yield places
+
+
 def _answer(table: pa.Table) -> pa.Table:
     """One bucket: documents per token; each chunk hears of its tokens that two or more documents hold."""
     kinds = table.column("kind").to_numpy()
@@ -170,17 +186,26 @@ def _answer(table: pa.Table) -> pa.Table:
         return through
     blobs = [_unpack(b.as_buffer()) for b in rows.column("payload")]
     chunks = rows.column("chunk").to_numpy()
-    lone, many = [len(b[0]) for b in blobs], [len(b[2]) for b in blobs]
-    tokens = np.concatenate([x for b in blobs for x in (b[0], b[2])])
-    count = np.concatenate([x for b in blobs for x in (np.ones(len(b[0]), np.uint32), b[3])])
-    distinct, at = np.unique(tokens, return_inverse=True)
-    df = np.bincount(at, weights=count, minlength=len(distinct)).astype(np.uint32)[at]
-    payloads, begin = [], 0
-    for b, k, m in zip(blobs, lone, many):
-        own = df[begin : begin + k]
-        shared = own > 1
-        payloads.append(_pack(b[0][shared], b[1][shared], own[shared], b[2], df[begin + k : begin + k + m]))
-        begin += k + m
+    runs = [x for b in blobs for x in (b[0], b[2])]  # each ascends
+    counts = [x for b in blobs for x in (None, b[3])]
+    df = [np.empty(len(x), np.uint32) for x in runs]
+    del rows, table
+    for places in _ranges(runs):
+        parts = [runs[i][low:high] for i, low, high in places]
+        tokens = np.concatenate(parts)
+        held = np.concatenate([np.ones(high - low, np.uint32) if counts[i] is None else counts[i][low:high] for i, low, high in places])
+        order = np.argsort(tokens)
+        tokens = tokens[order]
+        first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+        total = np.add.reduceat(held[order], first)
+        held[order] = np.repeat(total, np.diff(np.append(first, len(tokens))))
+        for (i, low, high), own in zip(places, np.split(held, np.cumsum([len(x) for x in parts[:-1]]))):
+            df[i][low:high] = own
+    payloads = []
+    for k, b in enumerate(blobs):
+        shared = df[2 * k] > 1
+        payloads.append(_pack(b[0][shared], b[1][shared], df[2 * k][shared], b[2], df[2 * k + 1]))
+        blobs[k] = runs[2 * k] = runs[2 * k + 1] = df[2 * k] = df[2 * k + 1] = counts[2 * k + 1] = None
     return pa.concat_tables([through.cast(_PARTS), pa.Table.from_batches([_rows(_ANSWER, len(payloads), chunk=chunks, payload=payloads)])])
 
 

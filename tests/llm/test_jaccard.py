@@ -1,5 +1,6 @@
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -133,3 +134,42 @@ def test_components_of_chains_and_hubs(spark):
     got = {r.id: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert {got[k] for k in range(41)} == {0} and {got[k] for k in range(100, 160)} == {100} and got[200] == 200
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_a_bucket_is_counted_in_little_more_than_its_own_memory(monkeypatch):
+    rng = np.random.default_rng(5)
+    alike, rows, true, size = rng.integers(0, 1 << 40, 30_000, dtype=np.uint64), [], {}, 0
+    for chunk in range(24):
+        lone = np.unique(np.concatenate([rng.integers(0, 1 << 40, 40_000, dtype=np.uint64), rng.choice(alike, 5_000)]))
+        many = np.setdiff1d(rng.choice(alike, 3_000), lone)
+        counts = rng.integers(2, 9, len(many)).astype(np.uint32)
+        rows.append((chunk, _pack(lone, np.arange(len(lone)).astype(np.uint16), many, counts)))
+        size += len(lone) + len(many)
+        for tokens, held in ((lone, np.ones(len(lone), int)), (many, counts.astype(int))):
+            for t, n in zip(tokens.tolist(), held.tolist()):
+                true[t] = true.get(t, 0) + n
+    given = pa.Table.from_batches([module._rows(module._POSTINGS, len(rows), route=[0] * len(rows), chunk=[c for c, _ in rows], payload=[b for _, b in rows])])
+    tracemalloc.start()
+    told = module._answer(given)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 48 * size
+    for blob, (_, before) in zip(told.column("payload").to_pylist(), rows):
+        (lone, owner, own, many, df), was = _unpack(blob), _unpack(before)
+        shared = np.array([true[t] > 1 for t in was[0].tolist()])
+        assert lone.tolist() == was[0][shared].tolist() and owner.tolist() == was[1][shared].tolist()
+        assert own.tolist() == [true[t] for t in lone.tolist()] and many.tolist() == was[2].tolist()
+        assert df.tolist() == [true[t] for t in many.tolist()]
+    monkeypatch.setattr(module, "RANGE_TOKENS", 700)
+    assert module._answer(given).equals(told)
+
+
+def test_ranges_cover_runs_of_few_values():
+    runs = [np.array([7] * 5, np.uint64), np.array([], np.uint64), np.array([7, (1 << 48) - 1], np.uint64)]
+    module.RANGE_TOKENS, before = 2, module.RANGE_TOKENS
+    try:
+        covered = [p for places in module._ranges(runs) for p in places]
+    finally:
+        module.RANGE_TOKENS = before
+    assert sorted(i for i, low, high in covered for _ in range(low, high)) == [0] * 5 + [2] * 2
+    assert not list(module._ranges([runs[1]]))
