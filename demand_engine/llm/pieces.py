@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 MARK = "▁"
 #: Text taken at once, and words that a task remembers before it starts anew.
 STRETCH_CHARS = 2 << 20
-REMEMBERED_WORDS = 250_000
+REMEMBERED_WORDS = 600_000
 REMEMBERED_PAIRS = 400_000
 
 
@@ -146,7 +146,7 @@ class Encoder:
     def search(self, words: list[str]) -> Iterator[tuple[list[str], float, int]]:
         """For each of the given words, which are sorted: its pieces, the best sum of scores that any
         pieces of it have, and how many pieces have that sum (of equal sums the longer last piece counts)."""
-        tails, scores, lowest, unigram = self.v.tails, self.v.scores, self.lowest, self.v.unigram
+        tails, scores, lowest, unigram, after = self.v.tails, self.v.scores, self.lowest, self.v.unigram, self.after
         # Forward entries of the empty prefix and on: best sum, pieces of it, last piece of the encoding,
         # and what is known of the pieces that follow that one.
         sums, counts, lasts, follow = [0.0], [0], [""], [self.after.setdefault("", {})]
@@ -184,7 +184,10 @@ class Encoder:
                 sums.append(best)
                 counts.append(count)
                 lasts.append(chosen)
-                follow.append(None if unigram else self.after.setdefault(chosen, {}))
+                known = None if unigram else after.get(chosen)
+                if known is None and not unigram:
+                    known = after[chosen] = {}
+                follow.append(known)
             before, out, end = word, [], len(word)
             while end:
                 piece = lasts[end]
