@@ -178,3 +178,13 @@ def test_a_small_table_takes_few_jobs_and_grows_the_same_trees(spark, monkeypatc
         assert one.errors == pytest.approx(two.errors, rel=1e-9) and errors_only.errors == one.errors
         for a, b in zip(one.trees, two.trees, strict=True):
             assert (a.feature, a.cut, a.left) == (b.feature, b.cut, b.left) and a.value == pytest.approx(b.value, rel=1e-9, abs=1e-12)
+
+
+def test_a_fit_without_held_out_rows_takes_few_jobs_too(spark):
+    context = spark.sparkContext
+    context.setJobGroup("one-fit", "boosting")
+    try:
+        [model] = B.boost(frame(spark, rows(300)), [{"n_estimators": 40, "max_depth": 3, "learning_rate": 0.2}], columns=COLUMNS)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(model.trees) == 40 and len(context.statusTracker().getJobIdsForGroup("one-fit")) < 25
