@@ -37,6 +37,8 @@ from demand_engine.session import cut_lineage
 BINS, PATIENCE, SEED = 32, 50, 42
 # Rounds between two writes of the margins; rows per task at least (a smaller table is one task's); open nodes whose sums are one group.
 WRITE_EVERY, TASK_ROWS, NODES = 8, 200_000, 64
+# Rows that no cut can move any more are left out of sums once the others are fewer than this share.
+FEW = 0.7
 # A cut has to lower the squared error by more than rounding does.
 LEAST_GAIN = 1e-9
 
@@ -121,19 +123,26 @@ class Tree:
         self.value.append(value)
         return len(self.value) - 1
 
+    def _depth(self) -> int:
+        level = [0] * len(self.feature)
+        for node, feature in enumerate(self.feature):
+            if feature >= 0:
+                level[self.left[node]] = level[self.left[node] + 1] = level[node] + 1
+        return max(level)
+
     def leaf_of(self, x: np.ndarray) -> np.ndarray:
         """The number of the leaf each row of bins ends in."""
         feature, cut, left = np.array(self.feature), np.array(self.cut), np.array(self.left)
-        at, rows = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
-        while len(rows):
-            here = at[rows]
-            inner = feature[here] >= 0
-            rows, here = rows[inner], here[inner]
-            at[rows] = left[here] + (x[rows, feature[here]] > cut[here])
+        leaf = np.flatnonzero(feature < 0)  # leads to itself, so that all rows take as many steps
+        feature[leaf], cut[leaf], left[leaf] = 0, BINS, leaf
+        cut = cut.astype(np.int8)
+        at, bins, first = np.zeros(len(x), dtype=np.int64), x.reshape(-1), np.arange(len(x)) * x.shape[1]
+        for _ in range(self._depth()):
+            at = left.take(at) + (bins.take(first + feature.take(at)) > cut.take(at))
         return at
 
     def predict(self, x: np.ndarray) -> np.ndarray:
-        return np.array(self.value)[self.leaf_of(x)]
+        return np.array(self.value).take(self.leaf_of(x))
 
 
 @dataclass
@@ -217,11 +226,22 @@ class _Growing:
 
 def _kept_rows(x: np.ndarray, fraction: float, seed: str) -> np.ndarray:
     """Whether a row's bins are in the sample that the seed stands for."""
+    return _kept(_places(x), fraction, seed)
+
+
+def _places(x: np.ndarray) -> np.ndarray:
+    """The bins by feature, counted from 1."""
+    return np.ascontiguousarray(x.T).astype(np.uint64) + np.uint64(1)
+
+
+def _kept(places: np.ndarray, fraction: float, seed: str) -> np.ndarray:
     if fraction >= 1:
-        return np.ones(len(x), dtype=bool)
+        return np.ones(places.shape[1], dtype=bool)
     rng = np.random.default_rng(np.frombuffer(seed.encode(), dtype=np.uint8))
-    odd = rng.integers(0, 1 << 62, x.shape[1], dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    key = (x.astype(np.uint64) + np.uint64(1)) @ odd
+    odd = rng.integers(0, 1 << 62, len(places), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    key = np.zeros(places.shape[1], dtype=np.uint64)
+    for own, factor in zip(places, odd):
+        key += own * factor
     key = (key ^ (key >> np.uint64(31))) * odd[0]
     key = (key ^ (key >> np.uint64(29))) * odd[-1]
     return (key >> np.uint64(11)) < np.uint64(int(fraction * (1 << 53)))
@@ -333,47 +353,52 @@ def _grow_tree(g: _Growing, columns: np.ndarray, n: np.ndarray, residual: np.nda
     column_of[g.features] = np.arange(wide)
     for _ in range(g.settings.max_depth):
         nodes = np.array(g.open, dtype=np.int64)
-        place = np.full(len(g.tree.value), -1)
+        place = np.full(len(g.tree.value), len(nodes))
         place[nodes] = np.arange(len(nodes))
-        large = np.flatnonzero(np.bincount(place[at], n, len(nodes)) >= least)  # others can't be cut
+        large = np.flatnonzero(np.bincount(place.take(at), n, len(nodes) + 1)[:-1] >= least)  # others can't be cut
         if not len(large):
             return
-        place[:] = -1
+        place[:] = len(large)  # rows of no node that can be cut have their sums behind the others'
         place[nodes[large]] = np.arange(len(large))
-        own = place[at]
-        if len(large) < len(nodes):
-            stay = own >= 0
-            own, at, n, residual, columns = own[stay], at[stay], n[stay], residual[stay], columns[:, stay]
-        own = own * BINS
+        own = place.take(at)
+        stay = np.flatnonzero(own < len(large))
+        if len(stay) < FEW * len(own):
+            own, at, n, residual, columns = own.take(stay), at.take(stay), n.take(stay), residual.take(stay), columns.take(stay, axis=1)
+        own *= BINS
         sums = np.empty((len(large), wide, BINS, 2))
         for k in range(wide):
             key = own + columns[k]
             for what, weights in enumerate((residual, n)):
-                sums[:, k, :, what] = np.bincount(key, weights, len(large) * BINS).reshape(-1, BINS)
+                sums[:, k, :, what] = np.bincount(key, weights, (len(large) + 1) * BINS).reshape(-1, BINS)[:-1]
         g.grow([(int(large[c[1]]), *c[2:]) for c in _best_cuts(g.number, 0, sums, g.settings, g.features)])
         if not g.open:
             return
         feature, cut, left = np.array(g.tree.feature), np.array(g.tree.cut), np.array(g.tree.left)
-        inner = feature[at] >= 0
-        if not inner.all():
-            at, n, residual, columns = at[inner], n[inner], residual[inner], columns[:, inner]
-        at = left[at] + (columns[column_of[feature[at]], np.arange(len(at))] > cut[at])
+        leaf = np.flatnonzero(feature < 0)
+        column, left[leaf] = column_of[np.maximum(feature, 0)], leaf
+        cut[leaf] = BINS
+        column[leaf] = 0
+        bins = columns.reshape(-1).take(column.take(at) * len(at) + np.arange(len(at)))
+        at = left.take(at) + (bins > cut.astype(np.int8).take(at))
 
 
 def _grow_whole(g: _Growing, x: np.ndarray, n: np.ndarray, total: np.ndarray, squares: np.ndarray, held: np.ndarray, base: float, seed: int, patience: int) -> None:
     """All rounds of a set over the whole table; errors where rows are held out."""
-    by_feature = np.ascontiguousarray(x.T).astype(np.int64)
-    margin, rows = np.full(len(x), base), n[held].sum()
+    fit, out = np.flatnonzero(~held), np.flatnonzero(held)
+    columns, places = np.ascontiguousarray(x[fit].T), _places(x[fit])
+    fit_n, fit_total, out_n, out_total, out_squares = n[fit], total[fit], n[out], total[out], squares[out]
+    margin, rows = np.full(len(x), base), out_n.sum()
     while True:
-        if held.any():
-            m = margin[held]
-            square = (squares[held] - 2 * m * total[held] + n[held] * m * m).sum()
+        if len(out):
+            m = margin.take(out)
+            square = (out_squares - 2 * m * out_total + out_n * m * m).sum()
             g.errors.append(math.sqrt(max(float(square), 0.0) / float(rows)))
         if len(g.trees) == g.settings.n_estimators or _ended(g.errors, patience):
             return
         g.begin(x.shape[1], seed)
-        used = np.flatnonzero(~held & _kept_rows(x, g.settings.subsample, f"{seed}:{g.number}:{len(g.trees)}"))
-        _grow_tree(g, by_feature[np.ix_(g.features, used)], n[used], (total - n * margin)[used])
+        used = np.flatnonzero(_kept(places, g.settings.subsample, f"{seed}:{g.number}:{len(g.trees)}"))
+        residual = fit_total - fit_n * margin.take(fit)
+        _grow_tree(g, columns[g.features].take(used, axis=1), fit_n.take(used), residual.take(used))
         margin += g.tree.predict(x)
         g.trees.append(g.tree)
 
@@ -397,7 +422,7 @@ def _by_set(rows: DataFrame, growing: Sequence[_Growing], width: int, base: floa
 
     order = sorted(growing, key=lambda g: -min(g.settings.n_estimators, 10 / g.settings.learning_rate) * g.settings.max_depth)
     turns = F.posexplode(F.array(*(F.lit(g.number) for g in order))).alias("turn", "number")
-    dealt = rows.select("held_out", "x", "n", "total", "squares", turns).repartitionByRange(2 * len(order), "turn")
+    dealt = rows.select("held_out", "x", "n", "total", "squares", turns).repartitionById(len(order), "turn")
     for row in dealt.groupBy("turn").applyInArrow(grown, _WHOLE).collect():
         g = growing[row["number"]]
         g.errors, nodes = row["errors"], np.frombuffer(row["nodes"], dtype=_NODE)
@@ -425,9 +450,9 @@ def _with_margins(rows: DataFrame, growing: Sequence[_Growing], width: int, pend
 
 
 def _training_table(
-    df: DataFrame, label: str, columns: Sequence[str], sets: int, validated: bool = False
+    df: DataFrame, label: str, columns: Sequence[str], validated: bool = False
 ) -> tuple[DataFrame, Bins, float, int]:
-    """(written table with a margin per set, bins, mean label, tasks to read it with) of rows with `held_out`."""
+    """(written table, bins, mean label, tasks that passes read it with) of rows with `held_out`."""
     rows = df.withColumn("__label", quoted(label).cast("double")).where("__label IS NOT NULL")
     bins = fit_bins(rows.where("NOT held_out"), columns)
     square = F.col("__label") * F.col("__label")
@@ -441,8 +466,13 @@ def _training_table(
         raise ValueError("boosting needs rows to fit on and rows to validate on")
     base = sizes[False]["total"] / sizes[False]["n"]
     tasks = 1 + sum(s["rows"] for s in sizes.values()) // TASK_ROWS
+    return table, bins, base, tasks
+
+
+def _with_first_margins(table: DataFrame, base: float, sets: int, tasks: int) -> DataFrame:
+    """The table for passes, written with a margin per set."""
     margins = F.array_repeat(F.lit(base), sets)
-    return cut_lineage(table.withColumn("margins", margins).coalesce(tasks)).coalesce(tasks), bins, base, tasks
+    return cut_lineage(table.withColumn("margins", margins).coalesce(tasks)).coalesce(tasks)
 
 
 def boost(
@@ -465,12 +495,12 @@ def boost(
     Without `keep_trees` the models have their rounds and errors, but can't predict.
     """
     held_out = F.coalesce(F.col(validate_on), F.lit(False)) if validate_on else F.lit(False)
-    table, bins, base, tasks = _training_table(df.withColumn("held_out", held_out), label, columns, len(params), validate_on is not None)
+    table, bins, base, tasks = _training_table(df.withColumn("held_out", held_out), label, columns, validate_on is not None)
     growing = [_Growing(k, Settings.of(p)) for k, p in enumerate(params)]
     if tasks == 1:
-        _by_set(table, growing, len(columns), base, seed, patience, keep_trees)
+        _by_set(table.coalesce(1), growing, len(columns), base, seed, patience, keep_trees)
     else:
-        _in_passes(table.persist(), growing, len(columns), tasks, validate_on is not None, seed, patience)
+        _in_passes(_with_first_margins(table, base, len(params), tasks).persist(), growing, len(columns), tasks, validate_on is not None, seed, patience)
     return [
         Boosted(bins, base, g.trees if keep_trees else [], best_round(g.errors) if g.errors else g.settings.n_estimators, g.errors) for g in growing
     ]
@@ -513,7 +543,8 @@ def root_cuts(df: DataFrame, label: str = "demand", params: Mapping[str, object]
 
     The same pass that grows trees, with a set per feature.
     """
-    table, bins, base, _ = _training_table(df.withColumn("held_out", F.lit(False)), label, columns, len(columns))
+    table, bins, base, tasks = _training_table(df.withColumn("held_out", F.lit(False)), label, columns)
+    table = _with_first_margins(table, base, len(columns), tasks)
     growing = [_Growing(k, Settings.of(params or {})) for k in range(len(columns))]
     for g in growing:
         g.begin(len(columns), SEED)

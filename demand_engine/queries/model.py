@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from demand_engine.functions.measures import TUNED_PREFIX
 from demand_engine.operators import modeling as M
 from demand_engine.operators.boosting import PATIENCE, SEED, boost, load_boosted, root_cuts, save_boosted
-from demand_engine.operators.demand import demand_features
+from demand_engine.operators.demand import FIRST_OF_TRIP, demand_features
 from demand_engine.operators.report import prediction_report
 from demand_engine.plans.prepare import whole_days
 from demand_engine.plans.train import train
 from demand_engine.queries.registry import query
-from demand_engine.queries.views import enriched, features_sql, sql, table
+from demand_engine.queries.views import enriched, features_sql, sql, table, trips
 from demand_engine.schemas import FEATURE_COLUMNS, WEATHER_FILLS
 from demand_engine.session import cut_lineage, scratch_path
 from demand_engine.sources.datasets import load_model, load_runs, log_run, save_model
@@ -140,8 +140,12 @@ def parse_params_digits_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _split_features(enriched(spark, sf_dir))
+
+
+def _split_features(trips: DataFrame) -> DataFrame:
     """Features with a split, written once, as a training job does."""
-    rows = demand_features(enriched(spark, sf_dir), "ride_id", ordered=False)
+    rows = demand_features(trips, "ride_id", ordered=False)
     return cut_lineage(M.chronological_split(rows, _JANUARY_END, 1, days_per_month=10))
 
 
@@ -276,14 +280,17 @@ def training_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Per run: the test rows, the number of tuned parameters in the log, whether the metrics in the log are
     those of the saved model on the test rows, and whether both runs logged the same parameters.
+    The trips are enriched once and written, with the columns that features are made of, since three jobs
+    read them; they are dealt by their id before, as the few files of a small table would be few tasks.
     """
     path = scratch_path(spark, "training")
-    trips = enriched(spark, sf_dir)
-    test = _features(spark, sf_dir).where(F.col("split") == M.TEST)
+    rides = enriched(spark, sf_dir, trips(spark, sf_dir).repartition("ride_id"))
+    known = cut_lineage(rides.select("ride_id", "started_at", "start_station_name", *FIRST_OF_TRIP, *WEATHER_FILLS))
+    test = _split_features(known).where(F.col("split") == M.TEST)
     rows = []
     for run in (1, 2):
         done = train(
-            trips, f"{path}/model", f"{path}/runs", _JANUARY_END, test_months=1,
+            known, f"{path}/model", f"{path}/runs", _JANUARY_END, test_months=1,
             order_by="ride_id", days_per_month=10,
         )
         again = M.evaluate(load_boosted(spark, f"{path}/model"), test)

@@ -129,10 +129,10 @@ def station_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_lineage(stations(spark, sf_dir))
 
 
-def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trips with all attributes, from written stations and weather."""
+def enriched(spark: SparkSession, sf_dir: str, rides: DataFrame | None = None) -> DataFrame:
+    """Trips (those of the tables, or `rides`) with all attributes, from written stations and weather."""
     return enrich(
-        trips(spark, sf_dir),
+        trips(spark, sf_dir) if rides is None else rides,
         station_table(spark, sf_dir),
         cut_lineage(weather(spark, sf_dir)),
         VERSION_DATES,

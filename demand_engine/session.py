@@ -80,8 +80,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write `df` as a table to the shared folder and read it back.
 
     For a table that is read many times: lost executors cost no recomputation of it, and unlike a
-    checkpoint it is columnar, so that each reader takes only the columns and rows it needs.
+    checkpoint it is columnar, so that each reader takes only the columns and rows it needs. Its
+    columns are known, so no job looks for them in the files.
     """
     path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -188,3 +188,31 @@ def test_a_fit_without_held_out_rows_takes_few_jobs_too(spark):
     finally:
         context.setLocalProperty("spark.jobGroup.id", None)
     assert len(model.trees) == 40 and len(context.statusTracker().getJobIdsForGroup("one-fit")) < 25
+
+
+def test_a_small_table_is_written_once(spark, monkeypatch):
+    written, write = [], B.cut_lineage
+    monkeypatch.setattr(B, "cut_lineage", lambda df: written.append(df) or write(df))
+    B.boost(frame(spark, rows(200)), [{"n_estimators": 2}], columns=COLUMNS)
+    assert len(written) == 1
+
+
+def test_rows_reach_the_leaves_that_a_walk_finds():
+    rng, tree = random.Random(3), B.Tree()
+    tree.add(0.0)
+    for node in range(40):  # a deep and uneven tree: some nodes stay leaves
+        if node < len(tree.value) and (node == 0 or rng.random() < 0.7):
+            tree.feature[node], tree.cut[node] = rng.randrange(3), rng.randrange(B.BINS - 1)
+            tree.left[node] = tree.add(rng.random())
+            tree.add(rng.random())
+    x = np.random.default_rng(4).integers(0, B.BINS, (500, 3)).astype(np.int8)
+
+    def walk(row):
+        node = 0
+        while tree.feature[node] >= 0:
+            node = tree.left[node] + int(row[tree.feature[node]] > tree.cut[node])
+        return node
+
+    assert tree.leaf_of(x).tolist() == [walk(r) for r in x]
+    assert tree.predict(x).tolist() == [tree.value[walk(r)] for r in x]
+    assert B.Tree([-1], [0], [0], [2.5]).predict(x[:4]).tolist() == [2.5] * 4 and len(tree.predict(x[:0])) == 0

@@ -312,3 +312,37 @@ def test_a_job_folder_goes_with_its_job(spark):
             assert cut_lineage(spark.range(3)).count() == 3 and os.path.isdir(folder)
             raise ZeroDivisionError
     assert not os.path.exists(folder)
+
+
+def test_the_training_job_enriches_its_trips_once_and_reads_them_as_written(spark, small, monkeypatch):
+    from demand_engine.queries import model as Q
+
+    made, read = [], []
+
+    def enriched(*args):
+        made.append(args)
+        return views.enriched(*args)
+
+    def trained(trips, *args, **kwargs):
+        read.append(trips.inputFiles())
+        return train(trips, *args, **kwargs, trials=1, space=SPACE)
+
+    monkeypatch.setattr(Q, "enriched", enriched)
+    monkeypatch.setattr(Q, "train", trained)
+    rows = Q.training_job(spark, small).collect()
+    assert [r.run for r in sorted(rows)] == [1, 2] and all(r.metrics_agree and r.same_parameters for r in rows)
+    assert len(made) == 1 and len(read) == 2 and read[0] == read[1]
+    assert read[0] and not any(small in f for f in read[0])
+
+
+def test_a_written_table_is_read_back_without_a_job(spark):
+    df = spark.range(20).selectExpr("id", "cast(id AS string) AS name", "array(id, NULL) AS list", "id > 3 AS flag", "timestamp_ntz'2024-01-01' AS at")
+    context = spark.sparkContext
+    context.setJobGroup("written", "cut_lineage")
+    try:
+        back = cut_lineage(df)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(context.statusTracker().getJobIdsForGroup("written")) == 1
+    assert back.dtypes == df.dtypes and sorted(back.collect()) == sorted(df.collect())
+    assert cut_lineage(df.where("id < 0")).count() == 0
