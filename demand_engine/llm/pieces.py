@@ -254,7 +254,7 @@ class TextEncoder:
         totals = np.concatenate([[0], ends])
         edges = np.concatenate([[0], np.cumsum(counts)])
         text = np.repeat(np.arange(len(texts)), counts)
-        best = np.bincount(text, np.array(self.sums)[at], len(texts))
+        best = np.bincount(text, np.array(self.sums)[at], len(texts)).astype(np.float64)  # without words it has integers
         pieces = np.bincount(text, np.array(self.counts)[at], len(texts)).astype(np.int64)
         return totals[edges[1:]] - totals[edges[:-1]], ids, best, pieces
 
@@ -267,7 +267,8 @@ def _stretches(column: pa.Array) -> Iterator[list[str]]:
         if chars >= STRETCH_CHARS:
             yield held
             held, chars = [], 0
-    yield held
+    if held:
+        yield held
 
 
 def _encoding(shared: Broadcast, columns: tuple[str, ...], scores: bool):
@@ -284,7 +285,7 @@ def _encoding(shared: Broadcast, columns: tuple[str, ...], scores: bool):
                 sizes, ids, best, count = encoder.scored(texts)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(ids, pa.int32()))
                 own = [batch.column(c).slice(begin, len(texts)) for c in columns]
-                more = [pa.array(best), pa.array(count)] if scores else []
+                more = [pa.array(best, pa.float64()), pa.array(count, pa.int64())] if scores else []
                 yield pa.RecordBatch.from_arrays([*own, lists, *more], [*columns, "ids", *(["best_sum", "n_best"] if scores else [])])
                 begin += len(texts)
 

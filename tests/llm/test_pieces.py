@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -104,6 +105,32 @@ def test_round_trip_nulls_repeats_and_clashing_columns(spark, vocabulary):
     assert encode(df.limit(0), vocabulary).count() == 0
 
 
+def test_stretches_without_words_have_the_same_types(spark, vocabulary, monkeypatch):
+    import demand_engine.llm.pieces as module
+
+    monkeypatch.setattr(module, "STRETCH_CHARS", 10)
+    shared = type("Shared", (), {"value": vocabulary.plain()})
+    run = module._encoding(shared, ("doc_id",), True)
+
+    def found(texts):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["doc_id", "__text"])
+        return list(run(iter([batch])))
+
+    plain = found(["a"])[0].schema
+    for texts in (["ab", "a full stretch"], ["a full stretch", "", None], ["", None], []):
+        parts = found(texts)
+        assert all(p.schema.equals(plain) and p.num_rows for p in parts)
+        assert [k for p in parts for k in p.column("doc_id").to_pylist()] == [*range(len(texts))]
+    monkeypatch.undo()
+
+    full = "word " * (module.STRETCH_CHARS // 5 + 1)  # ends the first stretch of its batch
+    for rows in ([(1, "x"), (2, full)], [(1, full), (2, ""), (3, None)], [(1, None), (2, "")]):
+        got = encoding_report(spark, spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1), MODEL).collect()
+        digests = [hashlib.sha256((t or "").encode()).hexdigest() for _, t in rows]
+        assert [(r.doc_id, r.decoded_sha256, r.lossless) for r in got] == [(k, d, True) for (k, _), d in zip(rows, digests)]
+        assert [r.doc_id for r in got if (r.n_ids, r.best_sum, r.n_best) == (0, 0.0, 0)] == [k for k, t in rows if not t]
+
+
 def test_a_piece_over_a_cut_is_refused():
     with pytest.raises(ValueError, match="mark"):
         Vocabulary(["a▁b"], [0.0], None, frozenset(), 0)
